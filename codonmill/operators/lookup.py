@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def lookup(
     df: DataFrame,
-    key: str,
+    key: Column,
     values: Column,
     name: str,
     source: str,
@@ -22,9 +22,8 @@ def lookup(
     `drop` lists values that mean "nothing here". NULL elements go as well unless
     `keep_null`.
     """
-    rows = df.select(key, F.explode(values).alias(name))
+    rows = df.select(key, F.explode(values).alias(name), F.lit(source).alias("LOOKUP_SOURCE"))
+    value = F.col(name)
     if drop:
-        rows = rows.where(F.col(name).isNull() | ~F.col(name).isin(*drop))
-    if not keep_null:
-        rows = rows.where(F.col(name).isNotNull())
-    return rows.withColumn("LOOKUP_SOURCE", F.lit(source))
+        rows = rows.where(value.isNull() | ~value.isin(*drop))
+    return rows if keep_null else rows.where(value.isNotNull())

@@ -1,29 +1,24 @@
-"""Full outer equi-join that stands a hot key on either side."""
+"""Full outer equi-join that stands a hot key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def distinct_keys(df: DataFrame, on: str) -> DataFrame:
-    # Partial aggregation leaves one row per key and task before the shuffle.
-    return df.select(on).distinct()
-
-
-def full_outer(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+def full_outer(many: DataFrame, one: DataFrame, on: str) -> DataFrame:
     """Rows of both sides, paired where `on` is equal; rows with a NULL key are dropped.
 
-    Spark's own full outer join can neither broadcast a small side nor split a
-    skewed partition. An inner join can do both, and an anti join against
-    distinct keys can split its only wide side, so the result is put together
-    from those three. The two wide shuffles serve the inner and the anti joins
-    alike.
+    `many` may repeat keys, up to a key that holds much of the table; `one` is
+    close to one row per key. Spark's own full outer join can neither broadcast a
+    small side nor split a skewed partition. A left join from `many` can do both;
+    what only `one` has is found by a second left join, against the distinct keys
+    of `many`, which are thinned out before their shuffle. Both read the same
+    exchange of `one`. (An anti join would say the same as the second, but gets
+    pushed down into `one`, which then has to be computed twice.)
     """
-    left = left.where(left[on].isNotNull())
-    right = right.where(right[on].isNotNull())
-    both = left.join(right, on)
-    only_left = left.join(distinct_keys(right, on), on, "left_anti")
-    only_right = right.join(distinct_keys(left, on), on, "left_anti")
-    return both.unionByName(only_left, allowMissingColumns=True).unionByName(
-        only_right, allowMissingColumns=True
-    )
+    many = many.where(F.col(on).isNotNull())
+    one = one.where(F.col(on).isNotNull())
+    found = many.select(on).distinct().withColumn("_found", F.lit(True))
+    only_one = one.join(found, on, "left").where(F.col("_found").isNull()).drop("_found")
+    return many.join(one, on, "left").unionByName(only_one, allowMissingColumns=True)

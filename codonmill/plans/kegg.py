@@ -1,6 +1,7 @@
 """Jobs for the pathway source: list tables and link tables.
 
-Every job is one narrow pass over its input.
+One function per processed table, each a single pass over the raw rows. All are
+narrow but for the numbering of repeated genes.
 """
 
 from __future__ import annotations
@@ -16,100 +17,105 @@ from codonmill.operators.numbering import numbered_lookup
 from codonmill.sources.delimited import POSITION
 
 
-def pathway(raw: DataFrame, with_class: bool = False) -> dict[str, DataFrame]:
-    table = raw.select(
-        ids.rewrite(F.col("PATHWAY_ID"), fv.PATHWAY_LIST_REWRITES).alias("PATHWAY_ID"),
+def pathway(raw: DataFrame, with_class: bool = False) -> DataFrame:
+    pathway_id = ids.rewrite(F.col("PATHWAY_ID"), fv.PATHWAY_LIST_REWRITES)
+    kind = [ids.pathway_class(pathway_id).alias("PATHWAY_CLASS")] if with_class else []
+    return raw.select(
+        pathway_id.alias("PATHWAY_ID"),
         names.before(F.col("PATHWAY_NAME"), " - ").alias("PATHWAY_NAME"),
+        *kind,
     )
-    if with_class:
-        table = table.withColumn("PATHWAY_CLASS", ids.pathway_class(F.col("PATHWAY_ID")))
-    return {"pathway": table}
 
 
-def gene(raw: DataFrame) -> dict[str, DataFrame]:
-    """Gene table and its numbered symbols.
+def gene(raw: DataFrame) -> DataFrame:
+    position, packed = F.col("CHROMOSOMAL_POSITION"), F.col("GENE_SYMBOL_AND_NAME")
+    return raw.select(
+        ids.rewrite(F.col("GENE_ID"), fv.GENE_REWRITES).alias("GENE_ID"),
+        "GENE_TYPE",
+        names.gene_name(packed).alias("GENE_NAME"),
+        positions.chr_stop(position).alias("CHRSTOP"),
+        positions.chr_start(position).alias("CHRSTART"),
+        positions.complement_flag(position).alias("CHR_COMPLEMENT"),
+        positions.list_chromosome(position).alias("CHROMOSOME"),
+    )
+
+
+def gene_symbol_lookup(raw: DataFrame) -> DataFrame:
+    """Numbered symbols of each gene.
 
     Where the reader added line positions, gene ids may repeat and their numbers
     run on in file order; without positions each id must occur once.
     """
-    position, packed = F.col("CHROMOSOMAL_POSITION"), F.col("GENE_SYMBOL_AND_NAME")
-    gene_id = ids.rewrite(F.col("GENE_ID"), fv.GENE_REWRITES).alias("GENE_ID")
     placed = set(POSITION) <= set(raw.columns)
     file, block, row = POSITION
-    return {
-        "gene": raw.select(
-            gene_id,
-            "GENE_TYPE",
-            names.gene_name(packed).alias("GENE_NAME"),
-            positions.chr_stop(position).alias("CHRSTOP"),
-            positions.chr_start(position).alias("CHRSTART"),
-            positions.complement_flag(position).alias("CHR_COMPLEMENT"),
-            positions.list_chromosome(position).alias("CHROMOSOME"),
+    return numbered_lookup(
+        raw.select(
+            ids.rewrite(F.col("GENE_ID"), fv.GENE_REWRITES).alias("GENE_ID"),
+            "GENE_SYMBOL_AND_NAME",
+            *(POSITION if placed else []),
         ),
-        "gene_symbol_lookup": numbered_lookup(
-            raw.select(gene_id, "GENE_SYMBOL_AND_NAME", *(POSITION if placed else [])),
-            "GENE_ID",
-            names.gene_symbols(packed),
-            name="GENE_SYMBOL",
-            number="GENE_ALIAS_NO",
-            source="gene",
-            order=[row] if placed else [],
-            chunk=[file, block] if placed else [],
-        ),
-    }
+        "GENE_ID",
+        names.gene_symbols(F.col("GENE_SYMBOL_AND_NAME")),
+        name="GENE_SYMBOL",
+        number="GENE_ALIAS_NO",
+        source="gene",
+        order=[row] if placed else [],
+        chunk=[file, block] if placed else [],
+    )
 
 
-def disease(raw: DataFrame) -> dict[str, DataFrame]:
-    listed = raw.select(
+def disease(raw: DataFrame) -> DataFrame:
+    listed = names.disease_names(F.col("DISEASE_NAME"))
+    return raw.select(
         ids.rewrite(F.col("DISEASE_ID"), fv.DISEASE_LIST_REWRITES).alias("DISEASE_ID"),
-        names.disease_names(F.col("DISEASE_NAME")).alias("NAMES"),
+        F.array_size(listed).alias("DISEASE_NAME_COUNT"),
     )
-    return {
-        "disease": listed.select("DISEASE_ID", F.array_size("NAMES").alias("DISEASE_NAME_COUNT")),
-        "disease_name_lookup": lookup(
-            listed, "DISEASE_ID", F.col("NAMES"), "DISEASE_NAME", "disease"
-        ),
-    }
 
 
-def variant(raw: DataFrame) -> dict[str, DataFrame]:
-    raw_id, name = F.col("VARIANT_ID"), F.col("VARIANT_NAME")
-    return {
-        "variant": raw.select(
-            ids.variant_id(raw_id).alias("VARIANT_ID"),
-            "VARIANT_NAME",
-            ids.variant_version(raw_id).alias("VARIANT_VERSION"),
-            names.before(name, " ").alias("GENE_SYMBOL"),
-        )
-    }
+def disease_name_lookup(raw: DataFrame) -> DataFrame:
+    return lookup(
+        raw,
+        ids.rewrite(F.col("DISEASE_ID"), fv.DISEASE_LIST_REWRITES).alias("DISEASE_ID"),
+        names.disease_names(F.col("DISEASE_NAME")),
+        "DISEASE_NAME",
+        "disease",
+    )
 
 
-def module(raw: DataFrame) -> dict[str, DataFrame]:
-    listed = raw.select("MODULE_ID", names.module_names(F.col("MODULE_NAME")).alias("NAMES"))
-    return {
-        "module": listed.select("MODULE_ID", F.array_size("NAMES").alias("MODULE_NAME_COUNT")),
-        "module_name_lookup": lookup(
-            listed, "MODULE_ID", F.col("NAMES"), "MODULE_NAME", "module", keep_null=True
-        ),
-    }
+def variant(raw: DataFrame) -> DataFrame:
+    raw_id = F.col("VARIANT_ID")
+    return raw.select(
+        ids.variant_id(raw_id).alias("VARIANT_ID"),
+        "VARIANT_NAME",
+        ids.variant_version(raw_id).alias("VARIANT_VERSION"),
+        names.before(F.col("VARIANT_NAME"), " ").alias("GENE_SYMBOL"),
+    )
+
+
+def module(raw: DataFrame) -> DataFrame:
+    listed = names.module_names(F.col("MODULE_NAME"))
+    return raw.select("MODULE_ID", F.array_size(listed).alias("MODULE_NAME_COUNT"))
 
 
-def link(raw: DataFrame, table: str) -> dict[str, DataFrame]:
+def module_name_lookup(raw: DataFrame) -> DataFrame:
+    listed = names.module_names(F.col("MODULE_NAME"))
+    return lookup(raw, F.col("MODULE_ID"), listed, "MODULE_NAME", "module", keep_null=True)
+
+
+def link(raw: DataFrame) -> DataFrame:
     """Pairs of identifiers; each known id column gets its standard spelling."""
-    if table == "gene_disease":
-        raw = _gene_first(raw)
-    columns = [
-        ids.rewrite(F.col(name), fv.LINK_REWRITES.get(name, [])).alias(name) for name in raw.columns
-    ]
-    return {f"{table}_lookup": raw.select(*columns)}
+    return raw.select(
+        *[ids.rewrite(F.col(c), fv.LINK_REWRITES.get(c, [])).alias(c) for c in raw.columns]
+    )
 
 
-def _gene_first(raw: DataFrame) -> DataFrame:
-    """The two columns come in either order; the gene is the one spelled `hsa:`."""
+def gene_disease_link(raw: DataFrame) -> DataFrame:
+    """Pairs whose columns come in either order; the gene is the one spelled `hsa:`."""
     one, two = (F.col(name) for name in raw.columns[:2])
-    swapped = two.startswith("hsa:") & ~F.coalesce(one.startswith("hsa:"), F.lit(False))
-    swapped = F.coalesce(swapped, F.lit(False))
-    return raw.select(
-        F.when(swapped, two).otherwise(one).alias("GENE_ID"),
-        F.when(swapped, one).otherwise(two).alias("DISEASE_ID"),
+    gene_second = F.coalesce(two.startswith("hsa:") & ~one.startswith("hsa:"), F.lit(False))
+    return link(
+        raw.select(
+            F.when(gene_second, two).otherwise(one).alias("GENE_ID"),
+            F.when(gene_second, one).otherwise(two).alias("DISEASE_ID"),
+        )
     )

@@ -21,7 +21,12 @@ from codonmill.operators.outer_join import full_outer
 def gene_merged(
     gene_info: DataFrame, gene_summary: DataFrame, gene: DataFrame, ncbi_gene_lookup: DataFrame
 ) -> DataFrame:
-    """One profile per gene from both sources; a gene known to either is kept."""
+    """One profile per gene from both sources; a gene known to either is kept.
+
+    Gene id is the primary key of the two annotation tables, so their outer join
+    cannot be skewed. The listed genes get their id from the other source's, and
+    many may get the same.
+    """
     listed = (
         gene.select("GENE_ID", "CHR_COMPLEMENT", F.col("GENE_TYPE").alias("GENE_TYPE_KEGG"))
         .join(ncbi_gene_lookup.select("GENE_ID", "NCBI_GENE_ID"), "GENE_ID", "left")
@@ -31,12 +36,11 @@ def gene_merged(
             "GENE_TYPE_KEGG",
         )
     )
-    annotated = full_outer(
-        gene_info.select("GENE_ID", "GENE_TYPE", "NOMENCLATURE_STATUS"), gene_summary, "GENE_ID"
-    )
-    merged = full_outer(annotated, listed, "GENE_ID")
+    info = gene_info.select("GENE_ID", "GENE_TYPE", "NOMENCLATURE_STATUS")
+    has_id = F.col("GENE_ID").isNotNull()
+    annotated = info.where(has_id).join(gene_summary.where(has_id), "GENE_ID", "full_outer")
     gene_type = F.coalesce("GENE_TYPE", "GENE_TYPE_KEGG")
-    return merged.select(
+    return full_outer(listed, annotated, "GENE_ID").select(
         "GENE_ID",
         gene_type.alias("GENE_TYPE"),
         "NOMENCLATURE_STATUS",

@@ -1,4 +1,8 @@
-"""Jobs for the gene source: annotation files and document-summary records."""
+"""Jobs for the gene source: annotation files and document-summary records.
+
+One function per processed table, each a single narrow pass over the raw rows
+that reads only the columns it needs.
+"""
 
 from __future__ import annotations
 
@@ -14,11 +18,15 @@ from codonmill.operators.lookup import lookup
 # --- annotation files --------------------------------------------------------
 
 
-def human_rows(raw: DataFrame, renames: dict[str, str] | None = None) -> DataFrame:
-    """Human rows under standard names and gene ids.
+def only_human(df: DataFrame, column: str = "#tax_id") -> DataFrame:
+    """Human rows. The taxon is compared in its own type, so the filter reaches the scan."""
+    kinds = {name.upper(): kind for name, kind in df.dtypes}
+    is_text = kinds[column.upper()] == "string"
+    return df.where(F.col(f"`{column}`") == (str(fv.HUMAN_TAX_ID) if is_text else fv.HUMAN_TAX_ID))
 
-    The taxon is compared in the column's own type, so the filter reaches the scan.
-    """
+
+def human_rows(raw: DataFrame, renames: dict[str, str] | None = None) -> DataFrame:
+    """Human rows under standard names and gene ids."""
     df = upper_columns(raw).withColumnsRenamed(
         {"#TAX_ID": "TAX_ID", "GENEID": "GENE_ID", **(renames or {})}
     )
@@ -29,107 +37,114 @@ def human_rows(raw: DataFrame, renames: dict[str, str] | None = None) -> DataFra
     )
 
 
-def only_human(df: DataFrame, column: str = "#tax_id") -> DataFrame:
-    kinds = {name.upper(): kind for name, kind in df.dtypes}
-    is_text = kinds[column.upper()] == "string"
-    return df.where(F.col(f"`{column}`") == (str(fv.HUMAN_TAX_ID) if is_text else fv.HUMAN_TAX_ID))
-
-
-def gene_info(raw: DataFrame) -> dict[str, DataFrame]:
+def gene_info(raw: DataFrame) -> DataFrame:
     df = human_rows(
         raw, {"FULL_NAME_FROM_NOMENCLATURE_AUTHORITY": "NAME", "TYPE_OF_GENE": "GENE_TYPE"}
     )
+    authority = F.col("SYMBOL_FROM_NOMENCLATURE_AUTHORITY")
+    return df.select(
+        "GENE_ID",
+        positions.bar_chromosome(F.col("CHROMOSOME")).alias("CHROMOSOME"),
+        positions.bar_chromosome(F.col("MAP_LOCATION")).alias("MAP_LOCATION"),
+        "DESCRIPTION",
+        names.gene_type(F.col("GENE_TYPE")).alias("GENE_TYPE"),
+        names.approved_symbol(authority, F.col("SYMBOL")).alias("GENE_SYMBOL"),
+        F.nullif(F.col("NAME"), F.lit(fv.DASH)).alias("GENE_NAME"),
+        names.flag(F.col("NOMENCLATURE_STATUS"), "O").alias("NOMENCLATURE_STATUS"),
+    )
+
+
+def _info_values(raw: DataFrame, column: str, name: str) -> DataFrame:
+    return lookup(
+        human_rows(raw),
+        F.col("GENE_ID"),
+        names.bar_values(F.col(column)),
+        name,
+        "gene_info",
+        drop=[fv.DASH_PLACEHOLDER],
+    )
+
+
+def gene_info_symbol_lookup(raw: DataFrame) -> DataFrame:
+    return _info_values(raw, "SYNONYMS", "GENE_SYMBOL")
+
+
+def gene_info_dbxref_lookup(raw: DataFrame) -> DataFrame:
+    item = F.col("DBXREF")
+    return _info_values(raw, "DBXREFS", "DBXREF").select(
+        "GENE_ID",
+        names.after_last(item, ":").alias("REF_ID"),
+        names.before(item, ":").alias("REF"),
+        "LOOKUP_SOURCE",
+    )
+
 
-    def values(column: str, name: str) -> DataFrame:
-        listed = names.bar_values(F.col(column))
-        return lookup(df, "GENE_ID", listed, name, "gene_info", drop=[fv.DASH_PLACEHOLDER])
-
-    refs = values("DBXREFS", "ITEM")
-    features = values("FEATURE_TYPE", "ITEM")
-    item = F.col("ITEM")
-    return {
-        "gene_info": df.select(
-            "GENE_ID",
-            positions.bar_chromosome(F.col("CHROMOSOME")).alias("CHROMOSOME"),
-            positions.bar_chromosome(F.col("MAP_LOCATION")).alias("MAP_LOCATION"),
-            "DESCRIPTION",
-            names.gene_type(F.col("GENE_TYPE")).alias("GENE_TYPE"),
-            names.approved_symbol(
-                F.col("SYMBOL_FROM_NOMENCLATURE_AUTHORITY"), F.col("SYMBOL")
-            ).alias("GENE_SYMBOL"),
-            F.nullif(F.col("NAME"), F.lit(fv.DASH)).alias("GENE_NAME"),
-            names.flag(F.col("NOMENCLATURE_STATUS"), "O").alias("NOMENCLATURE_STATUS"),
-        ),
-        "gene_info_symbol_lookup": values("SYNONYMS", "GENE_SYMBOL"),
-        "gene_info_dbxref_lookup": refs.select(
-            "GENE_ID",
-            names.after_last(item, ":").alias("REF_ID"),
-            names.before(item, ":").alias("REF"),
-            "LOOKUP_SOURCE",
-        ),
-        "gene_info_otherdesig_lookup": values("OTHER_DESIGNATIONS", "OTHER_DESIGNATIONS"),
-        "gene_info_feature_lookup": features.select(
-            "GENE_ID",
-            names.before(item, ":").alias("FEATURE_CAT"),
-            names.feature_name(item).alias("FEATURE"),
-            "LOOKUP_SOURCE",
-        ),
-    }
-
-
-def gene_orthologs(raw: DataFrame) -> dict[str, DataFrame]:
-    df = human_rows(raw, {"OTHER_GENEID": "OTHER_GENE_ID"})
-    return {"gene_orthologs": df.drop("RELATIONSHIP")}
-
-
-def gene2go(raw: DataFrame) -> dict[str, DataFrame]:
-    df = human_rows(raw, {"PUBMED": "PUBMED_ID"}).drop("PUBMED_ID")
-    return {"gene2go": df.withColumn("GO_ID", ids.rewrite(F.col("GO_ID"), fv.GO_REWRITES))}
+def gene_info_otherdesig_lookup(raw: DataFrame) -> DataFrame:
+    return _info_values(raw, "OTHER_DESIGNATIONS", "OTHER_DESIGNATIONS")
+
+
+def gene_info_feature_lookup(raw: DataFrame) -> DataFrame:
+    item = F.col("FEATURE_TYPE")
+    return _info_values(raw, "FEATURE_TYPE", "FEATURE_TYPE").select(
+        "GENE_ID",
+        names.before(item, ":").alias("FEATURE_CAT"),
+        names.feature_name(item).alias("FEATURE"),
+        "LOOKUP_SOURCE",
+    )
+
+
+def gene_orthologs(raw: DataFrame) -> DataFrame:
+    return human_rows(raw, {"OTHER_GENEID": "OTHER_GENE_ID"}).drop("RELATIONSHIP")
+
+
+def gene2go(raw: DataFrame) -> DataFrame:
+    df = human_rows(raw).drop("PUBMED")
+    return df.withColumn("GO_ID", ids.rewrite(F.col("GO_ID"), fv.GO_REWRITES))
 
 
 # --- document-summary records ------------------------------------------------
 
+def _gene_id() -> Column:
+    return ids.prefixed(fv.GENE_PREFIX, F.col("UID")).alias("GENE_ID")
 
-def gene_summary(raw: DataFrame) -> dict[str, DataFrame]:
-    """Summary table and its symbol and disease-catalogue lookups.
 
-    The order of the summary by gene id is made by the writer, see `refresh`.
-    """
-    df = upper_columns(raw).withColumn("GENE_ID", ids.prefixed(fv.GENE_PREFIX, F.col("UID")))
-    symbol, other = F.col("NOMENCLATURESYMBOL"), F.col("OTHERALIASES")
+def gene_summary(raw: DataFrame) -> DataFrame:
+    """One row per record. The writer puts the table in order of gene id."""
 
     def first(field: str) -> Column:
         return positions.genomic_info(F.col("GENOMICINFO"), field)
 
-    aliases = lookup(
-        df.where(other.isNotNull() & (other != "")),
-        "GENE_ID",
-        names.comma_space_values(other),
-        "GENE_SYMBOL",
-        "gene_summary",
+    return raw.select(
+        _gene_id(),
+        names.blank_to_null(F.col("NOMENCLATURESYMBOL")).alias("GENE_SYMBOL"),
+        "DESCRIPTION",
+        positions.comma_chromosome(F.col("CHROMOSOME")).alias("CHROMOSOME"),
+        names.blank_to_null(F.col("MAPLOCATION")).alias("MAP_LOCATION"),
+        names.blank_to_null(F.col("NOMENCLATURENAME")).alias("GENE_NAME"),
+        F.col("GENEWEIGHT").alias("GENE_WEIGHT"),
+        names.blank_to_null(F.col("SUMMARY")).alias("SUMMARY"),
+        positions.start_or_zero(first("CHRSTART")).alias("CHRSTART"),
+        F.coalesce(first("CHRSTOP"), F.lit(0)).alias("CHRSTOP"),
+        first("EXONCOUNT").alias("EXONCOUNT"),
     )
-    other_names = df.where(names.is_other_name(F.col("NAME"), symbol)).select(
-        "GENE_ID", F.col("NAME").alias("GENE_SYMBOL"), F.lit("gene_summary").alias("LOOKUP_SOURCE")
-    )
-    return {
-        "gene_summary": df.select(
-            "GENE_ID",
-            names.blank_to_null(symbol).alias("GENE_SYMBOL"),
-            "DESCRIPTION",
-            positions.comma_chromosome(F.col("CHROMOSOME")).alias("CHROMOSOME"),
-            names.blank_to_null(F.col("MAPLOCATION")).alias("MAP_LOCATION"),
-            names.blank_to_null(F.col("NOMENCLATURENAME")).alias("GENE_NAME"),
-            F.col("GENEWEIGHT").alias("GENE_WEIGHT"),
-            names.blank_to_null(F.col("SUMMARY")).alias("SUMMARY"),
-            positions.start_or_zero(first("CHRSTART")).alias("CHRSTART"),
-            F.coalesce(first("CHRSTOP"), F.lit(0)).alias("CHRSTOP"),
-            first("EXONCOUNT").alias("EXONCOUNT"),
-        ),
-        "gene_summary_symbol_lookup": aliases.unionByName(other_names),
-        "gene_summary_omim_lookup": lookup(
-            df, "GENE_ID", F.col("MIM"), "OMIM_ID", "gene_summary"
-        ),
-    }
+
+
+def gene_summary_symbol_lookup(raw: DataFrame) -> DataFrame:
+    """Aliases of each gene, and its name where that is not its official symbol.
+
+    Both come from one pass: the name joins the list of aliases before the list
+    is taken apart.
+    """
+    aliases, name = F.col("OTHERALIASES"), F.col("NAME")
+    listed = F.when(aliases.isNotNull() & (aliases != ""), names.comma_space_values(aliases))
+    other = F.when(names.is_other_name(name, F.col("NOMENCLATURESYMBOL")), F.array(name))
+    none = F.array().cast("array<string>")
+    both = F.concat(F.coalesce(listed, none), F.coalesce(other, none))
+    return lookup(raw, _gene_id(), both, "GENE_SYMBOL", "gene_summary", keep_null=True)
+
+
+def gene_summary_omim_lookup(raw: DataFrame) -> DataFrame:
+    return lookup(raw, _gene_id(), F.col("MIM"), "OMIM_ID", "gene_summary")
 
 
 # Record fields that are not kept, in either spelling.
@@ -153,26 +168,33 @@ SNP_UNUSED = [
 ]
 
 
-def snp_summary(raw: DataFrame) -> dict[str, DataFrame]:
+def snp_summary(raw: DataFrame) -> DataFrame:
     df = drop_marked(upper_columns(raw), SNP_UNUSED, "_SORT").withColumnsRenamed(
         {"CHR": "CHROMOSOME", "CHRPOS": "MAP_LOCATION"}
     )
-    df = df.withColumn("SNP_ID", ids.prefixed(fv.SNP_PREFIX, F.col("SNP_ID")))
-    for absent in {"CHROMOSOME", "MAP_LOCATION"} - set(df.columns):
-        df = df.withColumn(absent, F.lit(None).cast("string"))
-
-    def values(listed: Column, name: str) -> DataFrame:
-        return lookup(df, "SNP_ID", listed, name, "snp_summary", drop=[""])
-
-    summary = df.withColumns(
+    absent = {"CHROMOSOME", "MAP_LOCATION"} - set(df.columns)
+    return df.withColumns(
         {
+            "SNP_ID": ids.prefixed(fv.SNP_PREFIX, F.col("SNP_ID")),
             "CLINICAL_SIGNIFICANCE": names.blank_to_null(F.col("CLINICAL_SIGNIFICANCE")),
             **{key: names.keyed_value(F.col("DOCSUM"), key) for key in ("SEQ", "LEN", "HGVS")},
+            **{name: F.lit(None).cast("string") for name in absent},
         }
-    )
-    return {
-        "snp_summary": summary.drop("GENES", "FXN_CLASS", "SS", "DOCSUM"),
-        "snp_summary_gene_lookup": values(names.literal_gene_ids(F.col("GENES")), "GENE_ID"),
-        "snp_summary_fxn_lookup": values(names.comma_values(F.col("FXN_CLASS")), "FXN_CLASS"),
-        "snp_summary_ss_lookup": values(names.comma_values(F.col("SS")), "SS"),
-    }
+    ).drop("GENES", "FXN_CLASS", "SS", "DOCSUM")
+
+
+def _snp_values(raw: DataFrame, listed: Column, name: str) -> DataFrame:
+    snp_id = ids.prefixed(fv.SNP_PREFIX, F.col("SNP_ID")).alias("SNP_ID")
+    return lookup(raw, snp_id, listed, name, "snp_summary", drop=[""])
+
+
+def snp_summary_gene_lookup(raw: DataFrame) -> DataFrame:
+    return _snp_values(raw, names.literal_gene_ids(F.col("GENES")), "GENE_ID")
+
+
+def snp_summary_fxn_lookup(raw: DataFrame) -> DataFrame:
+    return _snp_values(raw, names.comma_values(F.col("FXN_CLASS")), "FXN_CLASS")
+
+
+def snp_summary_ss_lookup(raw: DataFrame) -> DataFrame:
+    return _snp_values(raw, names.comma_values(F.col("SS")), "SS")

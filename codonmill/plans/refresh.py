@@ -76,7 +76,7 @@ class Pipeline:
         chosen = [spec(self.source, name) for name in (list(tables) or REGISTRY[self.source])]
         for one in chosen:
             raw = self.extract(one.name)
-            if load and len(one.job(raw)) > 1:
+            if load and len(one.jobs) > 1:
                 raw = self.raw[one.name] = self._staged(one, raw)
             for name in self.transform(one.name, raw):
                 if load:

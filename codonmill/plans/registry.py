@@ -14,33 +14,37 @@ from codonmill.schemas import conform, full_name
 from codonmill.sources.delimited import read_tab_header, read_tab_list
 from codonmill.sources.docsum import read_docsum_json, read_docsum_xml
 
-Job = Callable[[DataFrame], dict[str, DataFrame]]
+Job = Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
 class TableSpec:
     """One raw table.
 
-    `job` maps it to its processed tables by short name. `read` takes a session
-    and paths. `keep` is a filter worth applying before raw rows are staged.
-    `order_by` names a processed table whose files are kept in order, and by
-    which column.
+    `jobs` has one function per processed table, by short name. `read` takes a
+    session and paths. `keep` is a filter worth applying before raw rows are
+    staged. `order_by` names a processed table whose files are kept in order, and
+    by which column.
     """
 
     source: str
     name: str
-    job: Job
+    jobs: dict[str, Job]
     read: Callable[[SparkSession, list[str]], DataFrame]
-    keep: Callable[[DataFrame], DataFrame] | None = None
+    keep: Job | None = None
     order_by: tuple[str, str] | None = None
 
-    def outputs(self, raw: DataFrame) -> dict[str, DataFrame]:
+    def loose(self, raw: DataFrame) -> dict[str, DataFrame]:
         """Processed tables by full name, before types are applied."""
-        return {full_name(self.source, short): df for short, df in self.job(raw).items()}
+        return {full_name(self.source, short): job(raw) for short, job in self.jobs.items()}
 
     def run(self, raw: DataFrame) -> dict[str, DataFrame]:
         """Processed tables by full name, with their final columns and types."""
-        return {name: conform(df, name) for name, df in self.outputs(raw).items()}
+        return {full_name(self.source, short): self.table(raw, short) for short in self.jobs}
+
+    def table(self, raw: DataFrame, short: str) -> DataFrame:
+        """One of the processed tables."""
+        return conform(self.jobs[short](raw), full_name(self.source, short))
 
 
 def _read_list(spark: SparkSession, paths: list[str], name: str) -> DataFrame:
@@ -54,30 +58,72 @@ def _read_docsum(spark: SparkSession, paths: list[str], name: str) -> DataFrame:
     return read(spark, paths, name)
 
 
-def _kegg(name: str) -> TableSpec:
-    job = getattr(kegg, name, None) or partial(kegg.link, table=name)
-    return TableSpec("kegg", name, job, partial(_read_list, name=name))
-
+def _kegg(name: str, jobs: dict[str, Job]) -> TableSpec:
+    return TableSpec("kegg", name, jobs, partial(_read_list, name=name))
+
+
+def _link(name: str, job: Job = kegg.link) -> TableSpec:
+    return _kegg(name, {f"{name}_lookup": job})
+
+
+_KEGG = [
+    _kegg("pathway", {"pathway": kegg.pathway}),
+    _kegg("gene", {"gene": kegg.gene, "gene_symbol_lookup": kegg.gene_symbol_lookup}),
+    _kegg(
+        "disease", {"disease": kegg.disease, "disease_name_lookup": kegg.disease_name_lookup}
+    ),
+    _kegg("variant", {"variant": kegg.variant}),
+    _kegg("module", {"module": kegg.module, "module_name_lookup": kegg.module_name_lookup}),
+    _link("pathway_gene"),
+    _link("pathway_module"),
+    _link("pathway_disease"),
+    _link("gene_disease", kegg.gene_disease_link),
+    _link("ncbi_gene"),
+]
+
+_NCBI = [
+    TableSpec(
+        "ncbi",
+        "gene_info",
+        {
+            "gene_info": ncbi.gene_info,
+            "gene_info_symbol_lookup": ncbi.gene_info_symbol_lookup,
+            "gene_info_dbxref_lookup": ncbi.gene_info_dbxref_lookup,
+            "gene_info_otherdesig_lookup": ncbi.gene_info_otherdesig_lookup,
+            "gene_info_feature_lookup": ncbi.gene_info_feature_lookup,
+        },
+        read_tab_header,
+        keep=ncbi.only_human,
+    ),
+    TableSpec("ncbi", "gene_orthologs", {"gene_orthologs": ncbi.gene_orthologs}, read_tab_header),
+    TableSpec("ncbi", "gene2go", {"gene2go": ncbi.gene2go}, read_tab_header),
+    TableSpec(
+        "ncbi",
+        "gene_summary",
+        {
+            "gene_summary": ncbi.gene_summary,
+            "gene_summary_symbol_lookup": ncbi.gene_summary_symbol_lookup,
+            "gene_summary_omim_lookup": ncbi.gene_summary_omim_lookup,
+        },
+        partial(_read_docsum, name="gene_summary"),
+        order_by=("ncbi_human_gene_summary", "GENE_ID"),
+    ),
+    TableSpec(
+        "ncbi",
+        "snp_summary",
+        {
+            "snp_summary": ncbi.snp_summary,
+            "snp_summary_gene_lookup": ncbi.snp_summary_gene_lookup,
+            "snp_summary_fxn_lookup": ncbi.snp_summary_fxn_lookup,
+            "snp_summary_ss_lookup": ncbi.snp_summary_ss_lookup,
+        },
+        partial(_read_docsum, name="snp_summary"),
+    ),
+]
 
 REGISTRY: dict[str, dict[str, TableSpec]] = {
-    "kegg": {name: _kegg(name) for name in fv.KEGG_RAW_COLUMNS},
-    "ncbi": {
-        "gene_info": TableSpec(
-            "ncbi", "gene_info", ncbi.gene_info, read_tab_header, keep=ncbi.only_human
-        ),
-        "gene_orthologs": TableSpec("ncbi", "gene_orthologs", ncbi.gene_orthologs, read_tab_header),
-        "gene2go": TableSpec("ncbi", "gene2go", ncbi.gene2go, read_tab_header),
-        "gene_summary": TableSpec(
-            "ncbi",
-            "gene_summary",
-            ncbi.gene_summary,
-            partial(_read_docsum, name="gene_summary"),
-            order_by=("ncbi_human_gene_summary", "GENE_ID"),
-        ),
-        "snp_summary": TableSpec(
-            "ncbi", "snp_summary", ncbi.snp_summary, partial(_read_docsum, name="snp_summary")
-        ),
-    },
+    "kegg": {one.name: one for one in _KEGG},
+    "ncbi": {one.name: one for one in _NCBI},
 }
 
 
