@@ -68,11 +68,16 @@ def flag(text: Column, yes: str) -> Column:
 
 def approved_symbol(authority: Column, symbol: Column) -> Column:
     """Symbol of the naming authority, else the plain one, else NULL."""
-    return F.nullif(F.when(authority == fv.DASH, symbol).otherwise(authority), F.lit(fv.DASH))
+    return unless(F.when(authority == fv.DASH, symbol).otherwise(authority), fv.DASH)
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
+def unless(text: Column, sentinel: str) -> Column:
+    """NULL in place of the sentinel.
+
+    Not `nullif`: each use of that gets a generated name in the plan, and two
+    otherwise equal exchanges are then not recognised as one.
+    """
+    return F.when(text != sentinel, text)
 
 
 # --- summary records -------------------------------------------------------

@@ -51,24 +51,24 @@ def running_total(
     `chunk` columns cut the input into pieces of bounded size that follow each
     other in `order` (file blocks, ranges of the order column). A window over a
     whole key would put a hot key into one task; here a key's rows meet only
-    within a chunk, and a second window adds up one total per chunk.
+    within a chunk, and a second window adds up one total per chunk. The rows are
+    shuffled once. Rows without a key get no sum.
     """
     rows = df.withColumn("_amount", F.coalesce(amount, F.lit(0)).cast("long"))
+    before = (Window.unboundedPreceding, -1)
 
-    totals = rows.groupBy(key, *chunk).agg(F.sum("_amount").alias("_total"))
-    up_to_chunk = Window.partitionBy(key).orderBy(*chunk).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        F.col(key).alias("_key"),
-        *[F.col(c).alias(f"_at_{c}") for c in chunk],
-        F.coalesce(F.sum("_total").over(up_to_chunk), F.lit(0)).alias("_start"),
+    per_key = Window.partitionBy(key).orderBy(*chunk).rowsBetween(*before)
+    starts = (
+        rows.where(F.col(key).isNotNull())
+        .groupBy(key, *chunk)
+        .agg(F.sum("_amount").alias("_total"))
+        .select(key, *chunk, F.coalesce(F.sum("_total").over(per_key), F.lit(0)).alias("_start"))
     )
 
-    in_chunk = (
-        Window.partitionBy(key, *chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    per_chunk = Window.partitionBy(key, *chunk).orderBy(*order).rowsBetween(*before)
+    within = F.coalesce(F.sum("_amount").over(per_chunk), F.lit(0))
+    return (
+        rows.withColumn("_within", within)
+        .join(starts, [key, *chunk], "left")
+        .select(*df.columns, (F.col("_start") + F.col("_within")).alias(out))
     )
-    within = rows.withColumn("_within", F.coalesce(F.sum("_amount").over(in_chunk), F.lit(0)))
-
-    same = F.col(key).eqNullSafe(F.col("_key"))
-    for c in chunk:
-        same = same & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
-    return within.join(starts, same).select(*df.columns, (F.col("_start") + F.col("_within")).alias(out))

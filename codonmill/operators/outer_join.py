@@ -21,4 +21,8 @@ def full_outer(many: DataFrame, one: DataFrame, on: str) -> DataFrame:
     one = one.where(F.col(on).isNotNull())
     found = many.select(on).distinct().withColumn("_found", F.lit(True))
     only_one = one.join(found, on, "left").where(F.col("_found").isNull()).drop("_found")
-    return many.join(one, on, "left").unionByName(only_one, allowMissingColumns=True)
+    paired = many.join(one, on, "left")
+    # The optimizer keeps the column aliases of a union's first input, however deep.
+    # New ones at its top let those below go, and both readings of `one` stay alike.
+    renewed = paired.select(*[F.col(name).alias(name) for name in paired.columns])
+    return renewed.unionByName(only_one, allowMissingColumns=True)

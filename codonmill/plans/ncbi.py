@@ -49,7 +49,7 @@ def gene_info(raw: DataFrame) -> DataFrame:
         "DESCRIPTION",
         names.gene_type(F.col("GENE_TYPE")).alias("GENE_TYPE"),
         names.approved_symbol(authority, F.col("SYMBOL")).alias("GENE_SYMBOL"),
-        F.nullif(F.col("NAME"), F.lit(fv.DASH)).alias("GENE_NAME"),
+        names.unless(F.col("NAME"), fv.DASH).alias("GENE_NAME"),
         names.flag(F.col("NOMENCLATURE_STATUS"), "O").alias("NOMENCLATURE_STATUS"),
     )
 
@@ -116,13 +116,13 @@ def gene_summary(raw: DataFrame) -> DataFrame:
 
     return raw.select(
         _gene_id(),
-        names.blank_to_null(F.col("NOMENCLATURESYMBOL")).alias("GENE_SYMBOL"),
+        names.unless(F.col("NOMENCLATURESYMBOL"), "").alias("GENE_SYMBOL"),
         "DESCRIPTION",
         positions.comma_chromosome(F.col("CHROMOSOME")).alias("CHROMOSOME"),
-        names.blank_to_null(F.col("MAPLOCATION")).alias("MAP_LOCATION"),
-        names.blank_to_null(F.col("NOMENCLATURENAME")).alias("GENE_NAME"),
+        names.unless(F.col("MAPLOCATION"), "").alias("MAP_LOCATION"),
+        names.unless(F.col("NOMENCLATURENAME"), "").alias("GENE_NAME"),
         F.col("GENEWEIGHT").alias("GENE_WEIGHT"),
-        names.blank_to_null(F.col("SUMMARY")).alias("SUMMARY"),
+        names.unless(F.col("SUMMARY"), "").alias("SUMMARY"),
         positions.start_or_zero(first("CHRSTART")).alias("CHRSTART"),
         F.coalesce(first("CHRSTOP"), F.lit(0)).alias("CHRSTOP"),
         first("EXONCOUNT").alias("EXONCOUNT"),
@@ -176,7 +176,7 @@ def snp_summary(raw: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "SNP_ID": ids.prefixed(fv.SNP_PREFIX, F.col("SNP_ID")),
-            "CLINICAL_SIGNIFICANCE": names.blank_to_null(F.col("CLINICAL_SIGNIFICANCE")),
+            "CLINICAL_SIGNIFICANCE": names.unless(F.col("CLINICAL_SIGNIFICANCE"), ""),
             **{key: names.keyed_value(F.col("DOCSUM"), key) for key in ("SEQ", "LEN", "HGVS")},
             **{name: F.lit(None).cast("string") for name in absent},
         }
