@@ -11,7 +11,10 @@ from codonmill import fixed_values as fv
 from codonmill.schemas import full_name, spark_schema
 
 # One line may hold any text: quotes are doubled, line breaks stay inside quotes.
+# Missing values are written as nothing and empty text as "". A reader whose null
+# word cannot occur tells the two apart.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true", "nullValue": "\u0000"}
 
 
 def stage_path(base: str, table: str, kind: str, source: str) -> str:
@@ -47,5 +50,5 @@ def load_stage(
     name = full_name(source, table)
     if schema is None and kind == "processed" and name in fv.TABLES:
         schema = spark_schema(name)
-    reader = spark.read.options(**CSV_OPTIONS, multiLine="true")
+    reader = spark.read.options(**CSV_READ_OPTIONS)
     return (reader.schema(schema) if schema else reader).csv(path)
