@@ -9,11 +9,11 @@ from codonmill import fixed_values as fv
 
 
 def before(text: Column, mark: str) -> Column:
-    return F.split_part(text, F.lit(mark), F.lit(1))
+    return F.substring_index(text, mark, 1)
 
 
 def after_last(text: Column, mark: str) -> Column:
-    return F.split_part(text, F.lit(mark), F.lit(-1))
+    return F.substring_index(text, mark, -1)
 
 
 # --- gene list: "SYM1, SYM2; full name" ------------------------------------
@@ -109,6 +109,12 @@ def literal_gene_ids(text: Column) -> Column:
 
 
 def keyed_value(text: Column, key: str) -> Column:
-    """Value of the last `key=value` item of a `|` list, up to a further `=`."""
-    items = F.filter(F.split(text, "[|]"), lambda item: before(item, "=") == key)
-    return F.get(F.split(F.try_element_at(items, F.lit(-1)), "="), F.lit(1))
+    """Value of the last `key=value` item of a `|` list, up to a further `=`.
+
+    NULL where the key is absent or its last item has no `=`.
+    """
+    framed = F.concat(F.lit("|"), text, F.lit("|"))
+    item = f"|{key}="
+    rest = F.substring_index(framed, item, -1)
+    found = framed.contains(item) & ~rest.contains(f"|{key}|")
+    return F.when(found, before(before(rest, "|"), "="))

@@ -43,7 +43,7 @@ def _whole_number(text: Column) -> Column:
 
 def list_chromosome(position: Column) -> Column:
     """Chromosome of a gene-list position; the first rule that applies wins."""
-    arm = lambda mark: F.split_part(position, F.lit(mark), F.lit(1))
+    arm = lambda mark: F.substring_index(position, mark, 1)
     return (
         F.when(position.isNull(), fv.UNKNOWN)
         .when(position.contains("MT"), "MT")

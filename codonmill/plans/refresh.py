@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +37,7 @@ class Pipeline:
             raise ValueError(f"unknown source {source!r}; known are {sorted(REGISTRY)}")
         self.spark, self.source = spark, source
         self.landing, self.target = landing, target
-        self._stage = stage
+        self._stage = stage or shared_folder(spark)
         self.raw: dict[str, DataFrame] = {}
         self.processed: dict[str, DataFrame] = {}
 
@@ -64,25 +65,33 @@ class Pipeline:
         return write_table(df, name, self.target, overwrite)
 
     def refresh(
-        self, tables: Iterable[str] = (), load: bool | None = None, overwrite: bool = True
+        self,
+        tables: Iterable[str] = (),
+        load: bool | None = None,
+        overwrite: bool = True,
+        at_once: int = 4,
     ) -> dict[str, str]:
         """Refresh the given tables, or all of the source; paths by full table name.
 
-        Loads by default where a target is set. Raw rows that feed several tables
-        are staged as Parquet once, and each table then scans only its columns.
+        Loads by default where a target is set. `at_once` raw tables are worked on
+        side by side, so that small ones do not leave the cluster idle.
         """
         load = self.target is not None if load is None else load
-        written = {}
         chosen = [spec(self.source, name) for name in (list(tables) or REGISTRY[self.source])]
-        for one in chosen:
-            raw = self.extract(one.name)
-            if load and len(one.jobs) > 1:
-                raw = self.raw[one.name] = self._staged(one, raw)
-            for name in self.transform(one.name, raw):
-                if load:
-                    written[name] = self.load(name, overwrite)
+        written: dict[str, str] = {}
+        with ThreadPoolExecutor(at_once) as pool:
+            # A failed table's error comes out here, after the others have ended.
+            for paths in pool.map(lambda one: self._refresh_one(one, load, overwrite), chosen):
+                written.update(paths)
         return written
 
+    def _refresh_one(self, one: TableSpec, load: bool, overwrite: bool) -> dict[str, str]:
+        raw = self.extract(one.name)
+        if load and one.stage:
+            raw = self.raw[one.name] = self._staged(one, raw)
+        made = self.transform(one.name, raw)
+        return {name: self.load(name, overwrite) for name in made} if load else {}
+
     def violations(self) -> DataFrame:
         """Broken keys, references, widths and missing values of what is processed."""
         return all_checks(self.processed)
@@ -97,8 +106,6 @@ class Pipeline:
         return write_table(upsert(stored, self.processed[name], key), name, self.target, True)
 
     def _staged(self, one: TableSpec, raw: DataFrame) -> DataFrame:
-        if self._stage is None:
-            self._stage = shared_folder(self.spark)
         kept = one.keep(raw) if one.keep else raw
         save_stage(kept, self._stage, one.name, self.source, kind="raw")
         return load_stage(self.spark, self._stage, one.name, self.source, kind="raw")

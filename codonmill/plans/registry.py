@@ -22,15 +22,17 @@ class TableSpec:
     """One raw table.
 
     `jobs` has one function per processed table, by short name. `read` takes a
-    session and paths. `keep` is a filter worth applying before raw rows are
-    staged. `order_by` names a processed table whose files are kept in order, and
-    by which column.
+    session and paths. With `stage`, raw rows that are costly to parse and feed
+    several tables are written as Parquet first, through the filter `keep`.
+    `order_by` names a processed table whose files are kept in order, and by which
+    column.
     """
 
     source: str
     name: str
     jobs: dict[str, Job]
     read: Callable[[SparkSession, list[str]], DataFrame]
+    stage: bool = False
     keep: Job | None = None
     order_by: tuple[str, str] | None = None
 
@@ -93,6 +95,7 @@ _NCBI = [
             "gene_info_feature_lookup": ncbi.gene_info_feature_lookup,
         },
         read_tab_header,
+        stage=True,
         keep=ncbi.only_human,
     ),
     TableSpec("ncbi", "gene_orthologs", {"gene_orthologs": ncbi.gene_orthologs}, read_tab_header),
@@ -106,6 +109,7 @@ _NCBI = [
             "gene_summary_omim_lookup": ncbi.gene_summary_omim_lookup,
         },
         partial(_read_docsum, name="gene_summary"),
+        stage=True,
         order_by=("ncbi_human_gene_summary", "GENE_ID"),
     ),
     TableSpec(
@@ -118,6 +122,7 @@ _NCBI = [
             "snp_summary_ss_lookup": ncbi.snp_summary_ss_lookup,
         },
         partial(_read_docsum, name="snp_summary"),
+        stage=True,
     ),
 ]
 

@@ -44,14 +44,30 @@ def table_of(file_path: Column, source: str, tables: Iterable[str]) -> Column:
     )
 
 
-def scan_landing(
+def lines_per_table(
     spark: SparkSession, folder: str, source: str, tables: Iterable[str]
 ) -> DataFrame:
-    """Every line under the folder, beside the table its file belongs to."""
+    """What has landed: lines by table, NULL for files of no table.
+
+    Lines are counted per file before names are looked at, so the matching of
+    names costs once per file, not per line.
+    """
     lines = spark.read.option("recursiveFileLookup", "true").text(folder)
-    return lines.select(
-        "value", table_of(F.col("_metadata.file_path"), source, tables).alias("SRC_TABLE")
+    per_file = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+        F.count(F.lit(1)).alias("n")
     )
+    return per_file.groupBy(table_of(F.col("path"), source, tables).alias("SRC_TABLE")).agg(
+        F.sum("n").alias("N_LINES")
+    )
+
+
+def landing_glob(folder: str, source: str, table: str) -> str:
+    """Glob for the table's files and folders, and those of tables whose name goes on."""
+    return f"{folder.rstrip('/')}/{source}_human_{table}{{,.*,_*}}"
+
+
+def longer_names(table: str, tables: Iterable[str]) -> list[str]:
+    return [name for name in tables if name.startswith(table + "_")]
 
 
 def _path_pattern(source: str) -> str:

@@ -14,7 +14,7 @@ from codonmill import fixed_values as fv
 from codonmill.plans.registry import REGISTRY, spec
 from codonmill.schemas import for_sink
 from codonmill.sources.delimited import fields
-from codonmill.sources.landing import table_of
+from codonmill.sources.landing import landing_glob, longer_names, table_of
 
 SOURCE = "kegg"
 
@@ -22,13 +22,13 @@ SOURCE = "kegg"
 def stream_list(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """Raw rows of one list table, from files of that table only."""
     spec(SOURCE, table)
-    lines = (
-        spark.readStream.option("recursiveFileLookup", "true")
-        .text(folder)
-        .where(table_of(F.col("_metadata.file_path"), SOURCE, REGISTRY[SOURCE]) == table)
-        .where(F.col("value") != "")
+    lines = spark.readStream.option("recursiveFileLookup", "true").text(
+        landing_glob(folder, SOURCE, table)
     )
-    return fields(lines, fv.KEGG_RAW_COLUMNS[table])
+    if longer_names(table, REGISTRY[SOURCE]):
+        owner = table_of(F.col("_metadata.file_path"), SOURCE, REGISTRY[SOURCE])
+        lines = lines.where(owner == table)
+    return fields(lines.where(F.col("value") != ""), fv.KEGG_RAW_COLUMNS[table])
 
 
 def load_new_files(

@@ -21,7 +21,7 @@ from codonmill.plans.registry import REGISTRY, spec
 from codonmill.session import shared_folder
 from codonmill.sources.delimited import read_tab_generic, read_tab_header, read_tab_list
 from codonmill.sources.docsum import read_docsum_json, read_docsum_xml, union_pages
-from codonmill.sources.landing import scan_landing
+from codonmill.sources.landing import lines_per_table
 from codonmill.sources.sinks import write_table
 from codonmill.sources.stage import load_stage, save_stage
 from codonmill.streaming.landing import load_new_files
@@ -321,8 +321,7 @@ def s09_landed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("gene", ""), ("gene_disease", ""), ("pathway", "_first"), ("pathway", "_second"),
     ]:
         land_lines(shapes.raw(spark, sf_dir, table), f"{landing}/kegg_human_{table}{part}")
-    lines = scan_landing(spark, landing, "kegg", REGISTRY["kegg"])
-    return lines.groupBy("SRC_TABLE").agg(F.count(F.lit(1)).alias("N_LINES"))
+    return lines_per_table(spark, landing, "kegg", REGISTRY["kegg"])
 
 
 def s10_generic_tab(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -199,7 +199,16 @@ def test_literal_gene_ids(table):
 def test_keyed_values(table):
     got = evaluate(
         table,
-        ["HGVS=NC_1:g.5=|LEN=1|LEN=2", "LEN", "SEQ=|XLEN=3", "", None],
+        [
+            "HGVS=NC_1:g.5=|LEN=1|LEN=2",
+            "LEN",
+            "SEQ=|XLEN=3",
+            "",
+            None,
+            "LEN=1|LEN",
+            "LEN|LEN=4=5",
+            "A=LEN=7|HGVS=x|",
+        ],
         *[names.keyed_value(X, key) for key in ("HGVS", "LEN", "SEQ")],
     )
     assert got == [
@@ -208,6 +217,9 @@ def test_keyed_values(table):
         (None, None, ""),
         (None, None, None),
         (None, None, None),
+        (None, None, None),
+        (None, "4", None),
+        ("x", None, None),
     ]
 
 

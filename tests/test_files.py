@@ -10,7 +10,7 @@ from codonmill.session import shared_folder
 from codonmill.sources import sinks
 from codonmill.sources.delimited import read_tab_generic, read_tab_header, read_tab_list
 from codonmill.sources.docsum import read_docsum_json, read_docsum_xml, union_pages
-from codonmill.sources.landing import landed_files, scan_landing
+from codonmill.sources.landing import landed_files, lines_per_table
 from codonmill.sources.stage import load_stage, save_stage
 from codonmill.streaming.landing import load_new_files
 from tests.conftest import rows
@@ -114,8 +114,8 @@ def test_landed_files_are_told_apart(spark, tmp_path):
     assert found("gene_disease") == ["kegg_human_gene_disease.csv"]
     assert found("pathway") == ["part-0.txt"]
     assert found("module") == []
-    assert rows(scan_landing(spark, str(tmp_path), "kegg", tables)) == sorted(
-        [("a", "gene"), ("b", "gene"), ("c", "gene_disease"), ("d", "pathway"), ("e", None), ("f", None)], key=repr
+    assert rows(lines_per_table(spark, str(tmp_path), "kegg", tables)) == sorted(
+        [("gene", 2), ("gene_disease", 1), ("pathway", 1), (None, 2)], key=repr
     )
 
 
@@ -268,7 +268,10 @@ def test_new_files_are_loaded_once(spark, tmp_path):
         load_new_files(spark, str(folder), "disease", out, memory).awaitTermination()
         return rows(spark.read.parquet(names).select("DISEASE_ID", "DISEASE_NAME"))
 
+    put(folder / "kegg_human_gene.csv", "hsa:1\tCDS\tX\tA; n\n")
     assert load() == [("DS1", "a"), ("DS1", "b")]
+    load_new_files(spark, str(folder), "gene", out, memory).awaitTermination()
+    assert spark.read.parquet(f"{out}/kegg_human_gene").count() == 1
     put(folder / "kegg_human_disease_2.csv", "H2\tc\n")
     assert load() == [("DS1", "a"), ("DS1", "b"), ("DS2", "c")]
     assert load() == [("DS1", "a"), ("DS1", "b"), ("DS2", "c")]
