@@ -89,9 +89,15 @@ def _no_violations(df: DataFrame) -> DataFrame:
     )
 
 
-def all_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every check that applies to the given full-named tables."""
-    reports = [column_checks(df, name) for name, df in tables.items()]
+def all_checks(
+    tables: dict[str, DataFrame], loose: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """Every check that applies to the given full-named tables.
+
+    `loose` may hold the same tables before their types were applied; columns are
+    then checked there, where a wrongly typed value can still be seen.
+    """
+    reports = [column_checks((loose or {}).get(name, df), name) for name, df in tables.items()]
     reports += [unique_check(df, name) for name, df in tables.items() if name in fv.PRIMARY_KEYS]
     for child, (_, parent) in fv.FOREIGN_KEYS.items():
         if child in tables and parent in tables:

@@ -57,12 +57,18 @@ class Pipeline:
         return made
 
     def load(self, name: str, overwrite: bool = False) -> str:
-        """Write one processed table, to the target folder or to the catalog."""
+        """Write one processed table, to the target folder or to the catalog.
+
+        `processed` then holds the written table, not the plan that made it.
+        """
         df = self.processed[name]
         for chosen in REGISTRY[self.source].values():
             if chosen.order_by and chosen.order_by[0] == name:
                 df = ordered_by(df, chosen.order_by[1])
-        return write_table(df, name, self.target, overwrite)
+        where = write_table(df, name, self.target, overwrite)
+        read = self.spark.table if self.target is None else self.spark.read.parquet
+        self.processed[name] = read(where)
+        return where
 
     def refresh(
         self,
@@ -93,8 +99,11 @@ class Pipeline:
         return {name: self.load(name, overwrite) for name in made} if load else {}
 
     def violations(self) -> DataFrame:
-        """Broken keys, references, widths and missing values of what is processed."""
-        return all_checks(self.processed)
+        """Broken keys, references, widths, types and missing values of what is processed."""
+        loose: dict[str, DataFrame] = {}
+        for table, raw in self.raw.items():
+            loose.update(spec(self.source, table).loose(raw))
+        return all_checks(self.processed, loose)
 
     def update(self, name: str, key: str, previous: str) -> str:
         """Write the target table as `previous` with new and changed rows put in.

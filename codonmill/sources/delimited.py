@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codonmill import fixed_values as fv
+
 TAB = "\t"
 POSITION = ["SRC_FILE", "SRC_BLOCK", "SRC_ROW"]
 
@@ -79,6 +81,13 @@ def read_tab_generic(spark: SparkSession, path: str | Sequence[str]) -> DataFram
     return lines.select(*[F.get(parts, F.lit(i)).alias(f"_c{i}") for i in range(width)])
 
 
+def read_reactome(spark: SparkSession, folder: str, extract: str) -> DataFrame:
+    """One of the pathway-mapping extracts, which come without column names."""
+    if extract not in fv.REACTOME_FILES:
+        raise ValueError(f"unknown extract {extract!r}; known are {list(fv.REACTOME_FILES)}")
+    return read_tab_generic(spark, f"{folder.rstrip('/')}/{fv.REACTOME_FILES[extract]}")
+
+
 def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.text(paths).where(F.col("value") != "")

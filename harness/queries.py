@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,8 +57,11 @@ def t01_pathway(spark: SparkSession, sf_dir: str) -> DataFrame:
 def t14_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land every list and link table, refresh them all, count what was written."""
     landing, target = shared_folder(spark), shared_folder(spark)
-    for table in REGISTRY["kegg"]:
-        land_lines(shapes.raw(spark, sf_dir, table), f"{landing}/kegg_human_{table}")
+    with ThreadPoolExecutor(4) as pool:
+        land = lambda table: land_lines(
+            shapes.raw(spark, sf_dir, table), f"{landing}/kegg_human_{table}"
+        )
+        list(pool.map(land, REGISTRY["kegg"]))
     written = Pipeline(spark, "kegg", landing, target).refresh()
     counts = [
         spark.read.parquet(path).agg(
@@ -232,12 +236,16 @@ def v04_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources and sinks: write to the shared folder, read back ------------------------
 
 
+# Gzip and XML files are one task each, so extracts land as several.
+FILES = 16
+
+
 def land_lines(df: DataFrame, path: str, header: bool = False, compression: str = "none") -> None:
     """Write rows as tab-separated lines; they hold no tabs and no missing values."""
     text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     if header:
         # No character starts a comment, so that the leading # of a name stays bare.
-        text.write.options(
+        text.repartition(FILES).write.options(
             header="true", sep="\t", comment="\u0002", emptyValue="", compression=compression
         ).csv(path)
     else:
@@ -270,7 +278,7 @@ def s03_docsum_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.array(F.col("o_custkey").cast("string")).alias("int")).alias("Mim"),
         F.struct(F.array(info).alias("GenomicInfoType")).alias("GenomicInfo"),
         F.struct(F.lit(fv.HUMAN_TAX_ID).alias("TaxID")).alias("Organism"),
-    ).write.format("xml").options(rowTag="DocumentSummary", rootTag="DocumentSummarySet").save(path)
+    ).repartition(FILES).write.format("xml").options(rowTag="DocumentSummary", rootTag="DocumentSummarySet").save(path)
     return read_docsum_xml(spark, path, "gene_summary").select(
         "UID",
         "NAME",

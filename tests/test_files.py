@@ -8,7 +8,12 @@ from codonmill import fixed_values as fv
 from codonmill.plans.refresh import Pipeline, main
 from codonmill.session import shared_folder
 from codonmill.sources import sinks
-from codonmill.sources.delimited import read_tab_generic, read_tab_header, read_tab_list
+from codonmill.sources.delimited import (
+    read_reactome,
+    read_tab_generic,
+    read_tab_header,
+    read_tab_list,
+)
 from codonmill.sources.docsum import read_docsum_json, read_docsum_xml, union_pages
 from codonmill.sources.landing import landed_files, lines_per_table
 from codonmill.sources.stage import load_stage, save_stage
@@ -53,6 +58,13 @@ def test_generic_tab(spark, tmp_path):
     assert rows(df) == [("1", "R", "x"), ("2", "S", None)]
 
 
+def test_reactome(spark, tmp_path):
+    put(tmp_path / "Reactome2OMIM.txt", "R-HSA-1\t100\n")
+    assert rows(read_reactome(spark, str(tmp_path), "omim")) == [("R-HSA-1", "100")]
+    with pytest.raises(ValueError, match="omim"):
+        read_reactome(spark, str(tmp_path), "nope")
+
+
 GENE_XML = """<?xml version="1.0"?>
 <eSummaryResult><DocumentSummarySet status="OK">
 <DocumentSummary uid="{uid}"><Name>{name}</Name><Description>d</Description>
@@ -181,6 +193,17 @@ def test_refresh_of_lists(spark, tmp_path):
     assert ("kegg_human_gene", "unique", "GENE_ID", "G1", 2) in found and len(found) == 1
 
 
+def test_refresh_reports_wrong_types(spark, tmp_path):
+    put(tmp_path / "in" / "kegg_human_variant.csv", "1v2\tABL1 x\n1vx\tABL1 y\nodd\tK z\n")
+    pipeline = Pipeline(spark, "kegg", str(tmp_path / "in"), str(tmp_path / "out"))
+    pipeline.refresh(["variant"])
+    assert rows(pipeline.violations()) == [
+        ("kegg_human_variant", "not_null", "VARIANT_ID", None, 1),
+        ("kegg_human_variant", "not_null", "VARIANT_VERSION", None, 1),
+        ("kegg_human_variant", "type", "VARIANT_VERSION", None, 1),
+    ]
+
+
 def test_refresh_appends_and_overwrites(spark, tmp_path):
     land_kegg(tmp_path / "in")
     pipeline = Pipeline(spark, "kegg", str(tmp_path / "in"), str(tmp_path / "out"))
