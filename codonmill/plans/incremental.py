@@ -38,7 +38,7 @@ def changed_rows(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
 def upsert(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """The stored table with the changed rows in place of those of the same key.
 
-    Stored rows whose key is absent from `incoming` stay.
+    `key` is a primary key. Stored rows whose key is absent from `incoming` stay.
     """
     return replace_keys(stored, changed_rows(stored, incoming, key), key)
 

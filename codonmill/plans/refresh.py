@@ -8,10 +8,12 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from codonmill import fixed_values as fv
 from codonmill.operators.ordering import ordered_by
 from codonmill.operators.quality import all_checks
-from codonmill.plans.incremental import upsert
+from codonmill.plans.incremental import replace_keys, upsert
 from codonmill.plans.registry import REGISTRY, TableSpec, spec
+from codonmill.schemas import for_sink
 from codonmill.session import build_session, shared_folder
 from codonmill.sources.landing import landed_files
 from codonmill.sources.sinks import write_table
@@ -47,7 +49,10 @@ class Pipeline:
         paths = landed_files(self.spark, self.landing, self.source, table, REGISTRY[self.source])
         if not paths:
             raise FileNotFoundError(f"nothing landed for {self.source} {table} in {self.landing}")
-        self.raw[table] = chosen.read(self.spark, paths)
+        if all(path.endswith(".parquet") for path in paths):
+            self.raw[table] = self.spark.read.parquet(*paths)
+        else:
+            self.raw[table] = chosen.read(self.spark, paths)
         return self.raw[table]
 
     def transform(self, table: str, raw: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -105,14 +110,23 @@ class Pipeline:
             loose.update(spec(self.source, table).loose(raw))
         return all_checks(self.processed, loose)
 
-    def update(self, name: str, key: str, previous: str) -> str:
-        """Write the target table as `previous` with new and changed rows put in.
+    def update(self, name: str, previous: str) -> str:
+        """Write the target table as its last version with new and changed records put in.
 
-        `previous` is the folder of the table's last version; the target must be
-        another, since that version is read while the new one is written.
+        `previous` is the folder of that version; the target must be another, since
+        the one is read while the other is written. In a table with a primary key
+        only changed rows take the place of stored ones. In others, lookups and
+        links, all rows of each incoming id replace the stored rows of that id.
         """
+        if self.target is None or previous.rstrip("/") == self.target.rstrip("/"):
+            raise ValueError("an update needs a target folder that is not the previous one")
         stored = self.spark.read.parquet(f"{previous.rstrip('/')}/{name}")
-        return write_table(upsert(stored, self.processed[name], key), name, self.target, True)
+        incoming = for_sink(self.processed[name], name)
+        if name in fv.PRIMARY_KEYS:
+            merged = upsert(stored, incoming, fv.PRIMARY_KEYS[name])
+        else:
+            merged = replace_keys(stored, incoming, incoming.columns[0])
+        return write_table(merged, name, self.target, True)
 
     def _staged(self, one: TableSpec, raw: DataFrame) -> DataFrame:
         kept = one.keep(raw) if one.keep else raw

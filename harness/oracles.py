@@ -367,8 +367,8 @@ SELECT CAST(event_id AS STRING), NULL, event_type FROM events"""
 
 R12 = """
 SELECT coalesce(a.KEY, b.KEY) AS KEY, a.LINES, b.NAME
-FROM (SELECT l_orderkey AS KEY, l_linenumber AS LINES FROM lineitem WHERE l_returnflag = 'A') a
-FULL OUTER JOIN (SELECT o_orderkey AS KEY, o_orderpriority AS NAME FROM orders WHERE o_orderstatus = 'P') b
+FROM (SELECT l_partkey * 3 AS KEY, l_linenumber AS LINES FROM lineitem) a
+FULL OUTER JOIN (SELECT o_orderkey * 2 AS KEY, o_orderpriority AS NAME FROM orders) b
 ON a.KEY = b.KEY"""
 
 R19 = f"""

@@ -180,14 +180,10 @@ def r11_ordered_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r12_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys repeat on the left, and either side has keys of its own."""
     lines = shapes.frame(
-        spark,
-        sf_dir,
-        "SELECT l_orderkey AS KEY, l_linenumber AS LINES FROM {lineitem} WHERE l_returnflag = 'A'",
+        spark, sf_dir, "SELECT l_partkey * 3 AS KEY, l_linenumber AS LINES FROM {lineitem}"
     )
     orders = shapes.frame(
-        spark,
-        sf_dir,
-        "SELECT o_orderkey AS KEY, o_orderpriority AS NAME FROM {orders} WHERE o_orderstatus = 'P'",
+        spark, sf_dir, "SELECT o_orderkey * 2 AS KEY, o_orderpriority AS NAME FROM {orders}"
     )
     return full_outer(lines, orders, "KEY")
 

@@ -277,8 +277,29 @@ def test_update_writes_a_new_version(spark, tmp_path):
     put(tmp_path / "in2" / "kegg_human_disease.csv", "H8\tnew\nH7\tonly\n")
     second = Pipeline(spark, "kegg", str(tmp_path / "in2"), str(tmp_path / "v2"))
     second.transform("disease", second.extract("disease"))
-    path = second.update("kegg_human_disease", "DISEASE_ID", str(tmp_path / "v1"))
+    path = second.update("kegg_human_disease", str(tmp_path / "v1"))
     assert rows(spark.read.parquet(path)) == [("DS7", 1), ("DS8", 1)]
+    path = second.update("kegg_human_disease_name_lookup", str(tmp_path / "v1"))
+    assert rows(spark.read.parquet(path)) == [("DS7", "only", "disease"), ("DS8", "new", "disease")]
+    with pytest.raises(ValueError, match="previous"):
+        second.update("kegg_human_disease", str(tmp_path / "v2"))
+
+
+def test_update_of_narrowed_columns(spark, table, tmp_path):
+    land_ncbi(tmp_path / "in")
+    name = "ncbi_human_gene_summary"
+    Pipeline(spark, "ncbi", str(tmp_path / "in"), str(tmp_path / "v1")).refresh(["gene_summary"])
+    again = Pipeline(spark, "ncbi", str(tmp_path / "in"), str(tmp_path / "v2"))
+    again.transform("gene_summary", again.extract("gene_summary"))
+    path = again.update(name, str(tmp_path / "v1"))
+    assert rows(spark.read.parquet(path)) == rows(spark.read.parquet(str(tmp_path / "v1" / name)))
+
+
+def test_raw_parquet_can_land(spark, table, tmp_path):
+    raw = table("DISEASE_ID DISEASE_NAME", [("H1", "a; b")])
+    raw.write.parquet(str(tmp_path / "in" / "kegg_human_disease"))
+    written = Pipeline(spark, "kegg", str(tmp_path / "in"), str(tmp_path / "out")).refresh(["disease"])
+    assert rows(spark.read.parquet(written["kegg_human_disease"])) == [("DS1", 2)]
 
 
 def test_new_files_are_loaded_once(spark, tmp_path):
