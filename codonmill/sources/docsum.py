@@ -6,6 +6,7 @@ page lacks are NULL.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codonmill import fixed_values as fv
+from codonmill.operators.columns import upper_columns
 
 RECORD = "DocumentSummary"
 
@@ -41,8 +43,17 @@ def read_docsum_xml(spark: SparkSession, path: str | Sequence[str], table: str)
 def read_docsum_json(
     spark: SparkSession, path: str | Sequence[str], table: str, schema: str | None = None
 ) -> DataFrame:
+    """Records as JSON lines, field names in upper or lower case throughout.
+
+    JSON fields match by exact case, so the first record decides which it is. A
+    `schema` of the caller's own is taken as it is.
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(schema or RAW_DDL[table]).json(paths)
+    if schema is None:
+        first = spark.read.text(paths).where("trim(value) <> ''").first()
+        is_lower = first is not None and any(name.islower() for name in json.loads(first["value"]))
+        schema = RAW_DDL[table].lower() if is_lower else RAW_DDL[table]
+    return upper_columns(spark.read.schema(schema).json(paths))
 
 
 def union_pages(pages: Sequence[DataFrame]) -> DataFrame:

@@ -462,9 +462,44 @@ _KEGG_TABLES = {
     "kegg_human_gene_disease_lookup": T6_GENE_DISEASE,
     "kegg_human_ncbi_gene_lookup": T6_NCBI_GENE,
 }
-T14 = "\nUNION ALL ".join(
-    f"SELECT '{name}' AS TABLE_NAME, count(*) AS N_ROWS FROM ({text})" for name, text in _KEGG_TABLES.items()
+_NCBI_TABLES = {
+    "ncbi_human_gene_info": T7_INFO,
+    "ncbi_human_gene_info_symbol_lookup": T7_SYMBOL,
+    "ncbi_human_gene_info_dbxref_lookup": T7_DBXREF,
+    "ncbi_human_gene_info_otherdesig_lookup": T7_OTHERDESIG,
+    "ncbi_human_gene_info_feature_lookup": T7_FEATURE,
+    "ncbi_human_gene_orthologs": T8,
+    "ncbi_human_gene2go": T9,
+    "ncbi_human_gene_summary": T10_SUMMARY,
+    "ncbi_human_gene_summary_symbol_lookup": T10_SYMBOL,
+    "ncbi_human_gene_summary_omim_lookup": T10_OMIM,
+    "ncbi_human_snp_summary": T11_SUMMARY,
+    "ncbi_human_snp_summary_gene_lookup": T11_GENE,
+    "ncbi_human_snp_summary_fxn_lookup": T11_FXN,
+    "ncbi_human_snp_summary_ss_lookup": T11_SS,
+}
+
+
+def _counts(tables: dict[str, str]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS TABLE_NAME, count(*) AS N_ROWS FROM ({text})" for name, text in tables.items()
+    )
+
+
+T13 = _over(
+    shapes.GENE_ORTHOLOGS,
+    """
+SELECT 'G' || GeneID AS GENE_ID, relationship AS RELATIONSHIP, Other_tax_id AS OTHER_TAX_ID,
+  Other_GeneID AS OTHER_GENE_ID
+FROM raw WHERE "#tax_id" = 9606""",
 )
+T14_KEGG = _counts(_KEGG_TABLES)
+T14_NCBI = _counts(_NCBI_TABLES)
+
+T15_REPLACE = """
+SELECT l_orderkey AS ID, l_linenumber AS VALUE FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_custkey FROM orders)
+UNION ALL SELECT o_custkey, CAST(o_orderkey AS INTEGER) FROM orders"""
 
 # Orders of status P get another name on the second day, and customers' numbers are new records.
 T15 = """
@@ -502,8 +537,11 @@ ORACLES = {
     "t11_snp_summary_fxn_lookup": T11_FXN,
     "t11_snp_summary_ss_lookup": T11_SS,
     "t12_j01_gene_merged": J1,
-    "t14_refresh": T14,
+    "t13_human_rows": T13,
+    "t14_refresh_kegg": T14_KEGG,
+    "t14_refresh_ncbi": T14_NCBI,
     "t15_upsert": T15,
+    "t15_replace_keys": T15_REPLACE,
     "t15_new_files": T6_PATHWAY_GENE,
     "j02_pathway_genes": J2,
     "j03_pathway_modules": J3_MODULES,

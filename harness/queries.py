@@ -15,8 +15,8 @@ from codonmill.operators import quality
 from codonmill.operators.numbering import numbered_lookup
 from codonmill.operators.ordering import ordered_by
 from codonmill.operators.outer_join import full_outer
-from codonmill.plans import kegg, links
-from codonmill.plans.incremental import upsert
+from codonmill.plans import kegg, links, ncbi
+from codonmill.plans.incremental import replace_keys, upsert
 from codonmill.plans.refresh import Pipeline
 from codonmill.plans.registry import REGISTRY, spec
 from codonmill.session import shared_folder
@@ -54,15 +54,13 @@ def t01_pathway(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spec("kegg", "pathway").table(raw, "pathway")
 
 
-def t14_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land every list and link table, refresh them all, count what was written."""
-    landing, target = shared_folder(spark), shared_folder(spark)
-    with ThreadPoolExecutor(4) as pool:
-        land = lambda table: land_lines(
-            shapes.raw(spark, sf_dir, table), f"{landing}/kegg_human_{table}"
-        )
-        list(pool.map(land, REGISTRY["kegg"]))
-    written = Pipeline(spark, "kegg", landing, target).refresh()
+def t13_human_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ncbi.human_rows(
+        shapes.raw(spark, sf_dir, "gene_orthologs"), {"OTHER_GENEID": "OTHER_GENE_ID"}
+    )
+
+
+def _row_counts(spark: SparkSession, written: dict[str, str]) -> DataFrame:
     counts = [
         spark.read.parquet(path).agg(
             F.lit(name).alias("TABLE_NAME"), F.count(F.lit(1)).alias("N_ROWS")
@@ -72,6 +70,37 @@ def t14_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).select("TABLE_NAME", "N_ROWS")
 
 
+def t14_refresh_kegg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land every list and link table, refresh them all, count what was written."""
+    landing, target = shared_folder(spark), shared_folder(spark)
+
+    def land(table: str) -> None:
+        land_lines(shapes.raw(spark, sf_dir, table), f"{landing}/kegg_human_{table}")
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(land, REGISTRY["kegg"]))
+    return _row_counts(spark, Pipeline(spark, "kegg", landing, target).refresh())
+
+
+def t14_refresh_ncbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land gzip annotation files and JSON records, refresh, count what was written."""
+    landing, target = shared_folder(spark), shared_folder(spark)
+
+    def land(table: str) -> None:
+        raw, path = shapes.raw(spark, sf_dir, table), f"{landing}/ncbi_human_{table}"
+        if table == "gene_summary":
+            info = "array<struct<CHRSTART:int,CHRSTOP:int,EXONCOUNT:int>>"
+            raw.withColumn("GENOMICINFO", F.col("GENOMICINFO").cast(info)).write.json(path)
+        elif table == "snp_summary":
+            raw.write.json(path)
+        else:
+            land_lines(raw, path, header=True, compression="gzip")
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(land, REGISTRY["ncbi"]))
+    return _row_counts(spark, Pipeline(spark, "ncbi", landing, target).refresh())
+
+
 def t15_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = shapes.frame(
         spark,
@@ -89,6 +118,17 @@ def t15_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(stored, incoming, "DISEASE_ID")
 
 
+def t15_replace_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of an order make way for the new lines of that order."""
+    stored = shapes.frame(
+        spark, sf_dir, "SELECT l_orderkey AS ID, l_linenumber AS VALUE FROM {lineitem}"
+    )
+    incoming = shapes.frame(
+        spark, sf_dir, "SELECT o_custkey AS ID, CAST(o_orderkey AS INT) AS VALUE FROM {orders}"
+    )
+    return replace_keys(stored, incoming, "ID")
+
+
 def t15_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, target, checkpoint = (shared_folder(spark) for _ in range(3))
     land_lines(
@@ -384,8 +424,11 @@ QUERIES: dict[str, Query] = {
     "t12_j01_gene_merged": _link(
         links.gene_merged, INFO, ("ncbi", "gene_summary", "gene_summary"), GENE, NCBI_GENE
     ),
-    "t14_refresh": t14_refresh,
+    "t13_human_rows": t13_human_rows,
+    "t14_refresh_kegg": t14_refresh_kegg,
+    "t14_refresh_ncbi": t14_refresh_ncbi,
     "t15_upsert": t15_upsert,
+    "t15_replace_keys": t15_replace_keys,
     "t15_new_files": t15_new_files,
     "j02_pathway_genes": _link(
         links.pathway_genes, PATHWAY, ("kegg", "pathway_gene", "pathway_gene_lookup"), GENE

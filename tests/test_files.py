@@ -113,6 +113,17 @@ def test_pages(spark, tmp_path, table):
     assert rows(pages) == [("1", "a", None), ("2", None, "b"), ("3", None, "c")]
 
 
+def test_json_in_lower_case(spark, tmp_path):
+    put(
+        tmp_path / "ncbi_human_gene_summary.json",
+        '\n{"uid": "1", "name": "a", "nomenclaturesymbol": "b", "genomicinfo": [{"chrstart": 5, "chrstop": 4}]}\n',
+    )
+    pipeline = Pipeline(spark, "ncbi", str(tmp_path))
+    pipeline.refresh(["gene_summary"])
+    row = pipeline.processed["ncbi_human_gene_summary"].first()
+    assert (row.GENE_ID, row.GENE_SYMBOL, row.CHRSTART, row.CHRSTOP) == ("G1", "b", 5, 4)
+
+
 def test_landed_files_are_told_apart(spark, tmp_path):
     tables = list(fv.KEGG_RAW_COLUMNS)
     put(tmp_path / "kegg_human_gene.csv", "a\n")
