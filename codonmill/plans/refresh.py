@@ -14,7 +14,7 @@ from codonmill.operators.quality import all_checks
 from codonmill.plans.incremental import replace_keys, upsert
 from codonmill.plans.registry import REGISTRY, TableSpec, spec
 from codonmill.schemas import for_sink
-from codonmill.session import build_session, shared_folder
+from codonmill.session import build_session, shared_folder, size_shuffles
 from codonmill.sources.landing import landed_files
 from codonmill.sources.sinks import write_table
 from codonmill.sources.stage import load_stage, save_stage
@@ -98,8 +98,12 @@ class Pipeline:
 
     def _refresh_one(self, one: TableSpec, load: bool, overwrite: bool) -> dict[str, str]:
         raw = self.extract(one.name)
+        if one.keep:
+            # Adaptive execution sizes the partitions by what the filter has left.
+            raw = one.keep(raw).hint("rebalance")
         if load and one.stage:
-            raw = self.raw[one.name] = self._staged(one, raw)
+            raw = self._staged(one, raw)
+        self.raw[one.name] = raw
         made = self.transform(one.name, raw)
         return {name: self.load(name, overwrite) for name in made} if load else {}
 
@@ -129,8 +133,7 @@ class Pipeline:
         return write_table(merged, name, self.target, True)
 
     def _staged(self, one: TableSpec, raw: DataFrame) -> DataFrame:
-        kept = one.keep(raw) if one.keep else raw
-        save_stage(kept, self._stage, one.name, self.source, kind="raw")
+        save_stage(raw, self._stage, one.name, self.source, kind="raw")
         return load_stage(self.spark, self._stage, one.name, self.source, kind="raw")
 
 
@@ -145,6 +148,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = build_session(f"refresh {args.source}")
+    size_shuffles(spark, args.landing)
     pipeline = Pipeline(spark, args.source, args.landing, args.target)
     for name, where in pipeline.refresh(args.tables, load=True, overwrite=not args.append).items():
         print(f"{name}\t{where}")

@@ -23,8 +23,9 @@ class TableSpec:
 
     `jobs` has one function per processed table, by short name. `read` takes a
     session and paths. With `stage`, raw rows that are costly to parse and feed
-    several tables are written as Parquet first, through the filter `keep`.
-    `order_by` names a processed table whose files are kept in order, and by which
+    several tables are written as Parquet first. `keep` is a filter that leaves
+    few of the raw rows, as the taxon does: what it leaves is packed into fewer
+    partitions. `order_by` names a processed table whose files are kept in order, and by which
     column.
     """
 
@@ -98,8 +99,16 @@ _NCBI = [
         stage=True,
         keep=ncbi.only_human,
     ),
-    TableSpec("ncbi", "gene_orthologs", {"gene_orthologs": ncbi.gene_orthologs}, read_tab_header),
-    TableSpec("ncbi", "gene2go", {"gene2go": ncbi.gene2go}, read_tab_header),
+    TableSpec(
+        "ncbi",
+        "gene_orthologs",
+        {"gene_orthologs": ncbi.gene_orthologs},
+        read_tab_header,
+        keep=ncbi.only_human,
+    ),
+    TableSpec(
+        "ncbi", "gene2go", {"gene2go": ncbi.gene2go}, read_tab_header, keep=ncbi.only_human
+    ),
     TableSpec(
         "ncbi",
         "gene_summary",

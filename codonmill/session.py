@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from functools import cache
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -30,6 +32,22 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+BYTES_PER_PARTITION = 128 * 1024 * 1024
+
+
+def size_shuffles(spark: SparkSession, folder: str) -> int:
+    """Give shuffles enough partitions for the files under `folder`, and return the number.
+
+    Adaptive execution merges partitions that turn out small but adds none, so the
+    first number has to suit the data. Only file lengths are looked at.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    total = files.agg(F.sum("length")).first()[0] or 0
+    wanted = max(spark.sparkContext.defaultParallelism, math.ceil(total / BYTES_PER_PARTITION))
+    spark.conf.set("spark.sql.shuffle.partitions", wanted)
+    return wanted
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new path under the folder named by `spark.checkpoint.dir`.
 

@@ -5,6 +5,7 @@ import gzip
 import pytest
 
 from codonmill import fixed_values as fv
+from codonmill import session
 from codonmill.plans.refresh import Pipeline, main
 from codonmill.session import shared_folder
 from codonmill.sources import sinks
@@ -275,9 +276,22 @@ def test_refresh_of_annotation_and_records(spark, tmp_path):
     ]
 
 
+def test_kept_rows_are_packed_in_one_shuffle(spark, tmp_path):
+    head = "#tax_id\tGeneID\trelationship\tOther_tax_id\tOther_GeneID\n"
+    for part in "ab":
+        put(tmp_path / f"ncbi_human_gene_orthologs_{part}.gz", head + f"9606\t{part}\tO\t1\t2\n7\tz\tO\t1\t2\n")
+    pipeline = Pipeline(spark, "ncbi", str(tmp_path))
+    pipeline.refresh(["gene_orthologs"])
+    made = pipeline.processed["ncbi_human_gene_orthologs"]
+    assert rows(made) == [("Ga", 1, "2"), ("Gb", 1, "2")]
+    text = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert text.count("Exchange") == 1 and text.index("Exchange") < text.index("9606")
+
+
 def test_refresh_script(spark, tmp_path, capsys):
     land_kegg(tmp_path / "in")
     main(["kegg", "disease", "--landing", str(tmp_path / "in"), "--target", str(tmp_path / "out"), "--check"])
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"  # few bytes: one per slot
     shown = capsys.readouterr().out
     assert "kegg_human_disease_name_lookup\t" in shown and "TABLE_NAME" in shown
 
@@ -332,6 +346,18 @@ def test_new_files_are_loaded_once(spark, tmp_path):
     assert load() == [("DS1", "a"), ("DS1", "b"), ("DS2", "c")]
 
 
+def test_shuffles_follow_the_size_of_the_files(spark, tmp_path, monkeypatch):
+    put(tmp_path / "a" / "x.csv", "x" * 1000)
+    put(tmp_path / "b.csv", "x" * 1000)
+    monkeypatch.setattr(session, "BYTES_PER_PARTITION", 100)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.size_shuffles(spark, str(tmp_path)) == 20
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "20"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_shared_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     first, second = shared_folder(spark), shared_folder(spark)
