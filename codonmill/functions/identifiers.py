@@ -6,12 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from codonmill import fixed_values as fv
+from codonmill.functions import text
 
 
 def rewrite(col: Column, pairs: list[tuple[str, str]]) -> Column:
     """Replace every occurrence of each literal text, pair after pair."""
-    for text, replacement in pairs:
-        col = F.replace(col, F.lit(text), F.lit(replacement))
+    for old, new in pairs:
+        col = F.replace(col, F.lit(old), F.lit(new))
     return col
 
 
@@ -29,18 +30,10 @@ def pathway_class(pathway_id: Column) -> Column:
 
 
 def variant_id(raw_id: Column) -> Column:
-    """`V` + the text before the last `v`."""
-    return _around_last_v(raw_id, F.concat(F.lit(fv.VARIANT_PREFIX), _v_part(raw_id, 1)))
+    """`V` + the text before the last `v`; NULL where there is no `v`."""
+    return F.concat(F.lit(fv.VARIANT_PREFIX), text.before_last(raw_id, "v"))
 
 
 def variant_version(raw_id: Column) -> Column:
-    """Text after the last `v`."""
-    return _around_last_v(raw_id, _v_part(raw_id, 2))
-
-
-def _v_part(raw_id: Column, group: int) -> Column:
-    return F.regexp_extract(raw_id, "(?s)^(.*)v(.*)$", group)
-
-
-def _around_last_v(raw_id: Column, value: Column) -> Column:
-    return F.when(raw_id.contains("v"), value)
+    """Text after the last `v`; NULL where there is no `v`."""
+    return F.when(raw_id.contains("v"), text.after_last(raw_id, "v"))

@@ -6,64 +6,59 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from codonmill import fixed_values as fv
-
-
-def before(text: Column, mark: str) -> Column:
-    return F.substring_index(text, mark, 1)
-
-
-def after_last(text: Column, mark: str) -> Column:
-    return F.substring_index(text, mark, -1)
+from codonmill.functions import text
 
 
 # --- gene list: "SYM1, SYM2; full name" ------------------------------------
 
 
-def gene_name(text: Column) -> Column:
+def gene_name(packed: Column) -> Column:
     """Second `;` part, untrimmed; the whole text where there is no `;`."""
-    return F.when(text.contains(";"), F.split_part(text, F.lit(";"), F.lit(2))).otherwise(text)
+    return F.coalesce(text.second(packed, ";"), packed)
 
 
-def gene_symbols(text: Column) -> Column:
+def gene_symbols(packed: Column) -> Column:
     """Symbols before the first `;`; a fixed marker where there is no `;`."""
-    named = F.split(before(text, ";"), ", ")
-    return F.when(text.contains(";"), named).when(text.isNotNull(), F.array(F.lit(fv.NO_SYMBOL)))
+    named = text.parts(text.before(packed, ";"), ", ")
+    return F.when(packed.contains(";"), named).when(
+        packed.isNotNull(), F.array(F.lit(fv.NO_SYMBOL))
+    )
 
 
-def disease_names(text: Column) -> Column:
-    return F.split(text, "; ")
+def disease_names(packed: Column) -> Column:
+    return text.parts(packed, "; ")
 
 
-def module_names(text: Column) -> Column:
+def module_names(packed: Column) -> Column:
     """Names in a module title: the part after the last comma is dropped and
     bracketed names count as names of their own."""
-    title = F.regexp_replace(text, ",[^,]*$", "")
+    title = F.coalesce(text.before_last(packed, ","), packed)
     opened = F.replace(title, F.lit(" ("), F.lit(","))
     closed = F.replace(opened, F.lit(")"), F.lit(""))
-    return F.coalesce(F.split(closed, ","), F.array(F.lit(None).cast("string")))
+    return F.coalesce(text.parts(closed, ","), F.array(F.lit(None).cast("string")))
 
 
 # --- gene annotation: "a|b|c", "db:id", "category:feature" -----------------
 
 
-def bar_values(text: Column) -> Column:
+def bar_values(packed: Column) -> Column:
     """Values of a `|` list; a lone dash stands for none."""
-    return F.split(F.when(text == fv.DASH, fv.DASH_PLACEHOLDER).otherwise(text), "[|]")
+    return text.parts(F.when(packed == fv.DASH, fv.DASH_PLACEHOLDER).otherwise(packed), "|")
 
 
-def feature_name(text: Column) -> Column:
-    return F.get(F.split(text, ":"), F.lit(1))
+def feature_name(item: Column) -> Column:
+    return text.second(item, ":")
 
 
-def gene_type(text: Column) -> Column:
-    label = text
-    for raw, standard in fv.GENE_TYPES.items():
-        label = F.when(text == raw, standard).otherwise(label)
+def gene_type(raw: Column) -> Column:
+    label = raw
+    for word, standard in fv.GENE_TYPES.items():
+        label = F.when(raw == word, standard).otherwise(label)
     return label
 
 
-def flag(text: Column, yes: str) -> Column:
-    return F.coalesce((text == yes).cast("int"), F.lit(0))
+def flag(raw: Column, yes: str) -> Column:
+    return F.coalesce((raw == yes).cast("int"), F.lit(0))
 
 
 def approved_symbol(authority: Column, symbol: Column) -> Column:
@@ -71,20 +66,20 @@ def approved_symbol(authority: Column, symbol: Column) -> Column:
     return unless(F.when(authority == fv.DASH, symbol).otherwise(authority), fv.DASH)
 
 
-def unless(text: Column, sentinel: str) -> Column:
+def unless(raw: Column, sentinel: str) -> Column:
     """NULL in place of the sentinel.
 
     Not `nullif`: each use of that gets a generated name in the plan, and two
     otherwise equal exchanges are then not recognised as one.
     """
-    return F.when(text != sentinel, text)
+    return F.when(raw != sentinel, raw)
 
 
 # --- summary records -------------------------------------------------------
 
 
-def comma_space_values(text: Column) -> Column:
-    return F.split(text, ", ")
+def comma_space_values(packed: Column) -> Column:
+    return text.parts(packed, ", ")
 
 
 def is_other_name(name: Column, symbol: Column) -> Column:
@@ -94,27 +89,27 @@ def is_other_name(name: Column, symbol: Column) -> Column:
     return symbol.isNotNull() & ~name.eqNullSafe(plain)
 
 
-def comma_values(text: Column) -> Column:
-    return F.split(text, ",")
+def comma_values(packed: Column) -> Column:
+    return text.parts(packed, ",")
 
 
-def literal_gene_ids(text: Column) -> Column:
+def literal_gene_ids(literal: Column) -> Column:
     """Gene ids of a list of records written as Python literals."""
     records = F.from_json(
-        text,
+        literal,
         "array<struct<NAME:string,GENE_ID:string>>",
         {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"},
     )
     return F.transform(records, lambda record: record["GENE_ID"])
 
 
-def keyed_value(text: Column, key: str) -> Column:
+def keyed_value(packed: Column, key: str) -> Column:
     """Value of the last `key=value` item of a `|` list, up to a further `=`.
 
     NULL where the key is absent or its last item has no `=`.
     """
-    framed = F.concat(F.lit("|"), text, F.lit("|"))
+    framed = F.concat(F.lit("|"), packed, F.lit("|"))
     item = f"|{key}="
-    rest = F.substring_index(framed, item, -1)
+    rest = text.after_last(framed, item)
     found = framed.contains(item) & ~rest.contains(f"|{key}|")
-    return F.when(found, before(before(rest, "|"), "="))
+    return F.when(found, text.before(text.before(rest, "|"), "="))

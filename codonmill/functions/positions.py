@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from codonmill import fixed_values as fv
+from codonmill.functions import text
 
 COMPLEMENT = "complement"
 
@@ -29,21 +30,22 @@ def complement_flag(position: Column) -> Column:
 
 
 def _span_end(position: Column, side: int) -> Column:
-    reverse = F.replace(F.split_part(position, F.lit("("), F.lit(2)), F.lit(")"), F.lit(""))
-    forward = F.split_part(position, F.lit(":"), F.lit(2))
-    span = F.when(position.contains(COMPLEMENT), reverse).otherwise(forward)
-    return F.coalesce(_whole_number(F.split_part(span, F.lit(".."), F.lit(side))), F.lit(0))
+    reverse = F.replace(text.second(position, "("), F.lit(")"), F.lit(""))
+    span = F.when(position.contains(COMPLEMENT), reverse).otherwise(text.second(position, ":"))
+    end = text.before(span, "..") if side == 1 else text.second(span, "..")
+    return F.coalesce(_whole_number(end), F.lit(0))
 
 
-def _whole_number(text: Column) -> Column:
+def _whole_number(digits: Column) -> Column:
     # Underscores between digits group them, as in 12_000.
-    grouped = text.contains("_") & text.rlike(r"^\s*[+-]?[0-9]+(_[0-9]+)+\s*$")
-    return F.when(grouped, F.replace(text, F.lit("_"), F.lit(""))).otherwise(text).try_cast("int")
+    grouped = digits.contains("_") & digits.rlike(r"^\s*[+-]?[0-9]+(_[0-9]+)+\s*$")
+    plain = F.when(grouped, F.replace(digits, F.lit("_"), F.lit(""))).otherwise(digits)
+    return plain.try_cast("int")
 
 
 def list_chromosome(position: Column) -> Column:
     """Chromosome of a gene-list position; the first rule that applies wins."""
-    arm = lambda mark: F.substring_index(position, mark, 1)
+    arm = lambda mark: text.before(position, mark)
     return (
         F.when(position.isNull(), fv.UNKNOWN)
         .when(position.contains("MT"), "MT")
@@ -56,19 +58,19 @@ def list_chromosome(position: Column) -> Column:
     )
 
 
-def bar_chromosome(text: Column) -> Column:
+def bar_chromosome(raw: Column) -> Column:
     """Chromosome or map location whose alternatives are separated by `|`."""
     return (
-        F.when(text.isin(fv.DASH, "Un"), fv.UNKNOWN)
-        .when(text.isin("X|Y", "XY"), "X;Y")
-        .otherwise(F.replace(text, F.lit("|"), F.lit(";")))
+        F.when(raw.isin(fv.DASH, "Un"), fv.UNKNOWN)
+        .when(raw.isin("X|Y", "XY"), "X;Y")
+        .otherwise(F.replace(raw, F.lit("|"), F.lit(";")))
     )
 
 
-def comma_chromosome(text: Column) -> Column:
+def comma_chromosome(raw: Column) -> Column:
     """Chromosome whose alternatives are separated by `, `; no value means unknown."""
-    known = F.replace(text, F.lit(", "), F.lit(";"))
-    return F.when(text.isNull() | text.isin("", "Un"), fv.UNKNOWN).otherwise(known)
+    known = F.replace(raw, F.lit(", "), F.lit(";"))
+    return F.when(raw.isNull() | raw.isin("", "Un"), fv.UNKNOWN).otherwise(known)
 
 
 def genomic_info(records: Column, field: str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from codonmill import fixed_values as fv
 from codonmill.functions import identifiers as ids
-from codonmill.functions import names, positions
+from codonmill.functions import names, positions, text
 from codonmill.operators.lookup import lookup
 from codonmill.operators.numbering import numbered_lookup
 from codonmill.sources.delimited import POSITION
@@ -22,7 +22,7 @@ def pathway(raw: DataFrame, with_class: bool = False) -> DataFrame:
     kind = [ids.pathway_class(pathway_id).alias("PATHWAY_CLASS")] if with_class else []
     return raw.select(
         pathway_id.alias("PATHWAY_ID"),
-        names.before(F.col("PATHWAY_NAME"), " - ").alias("PATHWAY_NAME"),
+        text.before(F.col("PATHWAY_NAME"), " - ").alias("PATHWAY_NAME"),
         *kind,
     )
 
@@ -88,7 +88,7 @@ def variant(raw: DataFrame) -> DataFrame:
         ids.variant_id(raw_id).alias("VARIANT_ID"),
         "VARIANT_NAME",
         ids.variant_version(raw_id).alias("VARIANT_VERSION"),
-        names.before(F.col("VARIANT_NAME"), " ").alias("GENE_SYMBOL"),
+        text.before(F.col("VARIANT_NAME"), " ").alias("GENE_SYMBOL"),
     )
 
 

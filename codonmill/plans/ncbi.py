@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from codonmill import fixed_values as fv
 from codonmill.functions import identifiers as ids
-from codonmill.functions import names, positions
+from codonmill.functions import names, positions, text
 from codonmill.operators.columns import drop_marked, upper_columns
 from codonmill.operators.lookup import lookup
 
@@ -73,8 +73,8 @@ def gene_info_dbxref_lookup(raw: DataFrame) -> DataFrame:
     item = F.col("DBXREF")
     return _info_values(raw, "DBXREFS", "DBXREF").select(
         "GENE_ID",
-        names.after_last(item, ":").alias("REF_ID"),
-        names.before(item, ":").alias("REF"),
+        text.after_last(item, ":").alias("REF_ID"),
+        text.before(item, ":").alias("REF"),
         "LOOKUP_SOURCE",
     )
 
@@ -87,7 +87,7 @@ def gene_info_feature_lookup(raw: DataFrame) -> DataFrame:
     item = F.col("FEATURE_TYPE")
     return _info_values(raw, "FEATURE_TYPE", "FEATURE_TYPE").select(
         "GENE_ID",
-        names.before(item, ":").alias("FEATURE_CAT"),
+        text.before(item, ":").alias("FEATURE_CAT"),
         names.feature_name(item).alias("FEATURE"),
         "LOOKUP_SOURCE",
     )

@@ -1,11 +1,13 @@
 """Golden values of the column expressions."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from codonmill import fixed_values as fv
 from codonmill.functions import identifiers as ids
-from codonmill.functions import names, positions
+from codonmill.functions import names, positions, text
 
 X = None
 
@@ -42,6 +44,9 @@ POSITIONS = [
     ("3:1_000..2_000_000", 2000000, 1000, 0, "3"),
     ("3:1__0..2_", 0, 0, 0, "3"),
     ("3:1.5..2.5", 0, 0, 0, "3"),
+    ("3:5...9", 0, 5, 0, "3"),
+    ("3:5..9..7:8", 9, 5, 0, "3"),
+    ("complement(5..9)(7)", 9, 5, 1, "complement(5..9)(7)"),
     ("complement", 0, 0, 1, "complement"),
     (None, 0, 0, 0, "Unknown"),
 ]
@@ -107,7 +112,7 @@ def test_pathway_name(table):
     got = evaluate(
         table,
         ["Glycolysis / Gluconeogenesis - Homo sapiens (human)", "A - B - Homo"],
-        names.before(X, " - "),
+        text.before(X, " - "),
     )
     assert got == ["Glycolysis / Gluconeogenesis", "A"]
 
@@ -137,8 +142,8 @@ def test_references_and_features(table):
     got = evaluate(
         table,
         ["HGNC:HGNC:5", "regulatory:enhancer:x", "misc"],
-        names.before(X, ":"),
-        names.after_last(X, ":"),
+        text.before(X, ":"),
+        text.after_last(X, ":"),
         names.feature_name(X),
     )
     assert got == [("HGNC", "5", "HGNC"), ("regulatory", "x", "enhancer"), ("misc", "misc", None)]
@@ -238,3 +243,24 @@ def test_starts_and_organism(spark):
     assert [tuple(r) for r in got] == [
         (5, 9, 2, 9606), (0, 7, None, 1), (0, None, None, None), (0, None, None, None),
     ]
+
+
+PIECES = ["a", "b", "é", ", ", ",", "; ", "|", "..", ".", "v", "\u0001", " "]
+
+
+@pytest.mark.parametrize("mark", [";", ", ", "; ", "..", "|", "v", ","])
+def test_text_parts_are_those_of_split(table, mark):
+    draw = random.Random(mark)
+    values = ["", mark, mark * 2, mark * 3] + [
+        "".join(draw.choice([*PIECES, mark, mark]) for _ in range(draw.randrange(9))) for _ in range(150)
+    ]
+    got = evaluate(
+        table, values, text.before(X, mark), text.second(X, mark), text.after_last(X, mark), text.parts(X, mark)
+    )
+    for value, (before, second, last, parts) in zip(values, got, strict=True):
+        split = value.split(mark)
+        assert (before, parts) == (split[0], split), value
+        assert second == (split[1] if len(split) > 1 else None), value
+        assert last == value.rsplit(mark, 1)[-1], value
+    got = evaluate(table, values, text.before_last(X, mark))
+    assert got == [v.rsplit(mark, 1)[0] if mark in v else None for v in values]
