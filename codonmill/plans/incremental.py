@@ -19,20 +19,16 @@ def row_digest(columns: list[str]) -> list[Column]:
     ]
 
 
-def changed_rows(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Incoming rows that are new or differ from the stored row of their key.
+def changed_rows(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Incoming rows that the stored table does not have as they are.
 
-    Of the stored table only key and hashes are shuffled.
+    Of the stored table only the hashes are shuffled, each once however many
+    copies a row has.
     """
     columns = sorted(incoming.columns)
-    known = stored.select(F.col(key).alias("_key"), *row_digest(columns)).distinct()
+    known = stored.select(*row_digest(columns)).distinct()
     marked = incoming.select("*", *row_digest(columns))
-    same = (
-        F.col(key).eqNullSafe(F.col("_key"))
-        & (marked["_h1"] == known["_h1"])
-        & (marked["_h2"] == known["_h2"])
-    )
-    return marked.join(known, same, "left_anti").select(*incoming.columns)
+    return marked.join(known, ["_h1", "_h2"], "left_anti").select(*incoming.columns)
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
@@ -40,7 +36,7 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
 
     `key` is a primary key. Stored rows whose key is absent from `incoming` stay.
     """
-    return replace_keys(stored, changed_rows(stored, incoming, key), key)
+    return replace_keys(stored, changed_rows(stored, incoming), key)
 
 
 def replace_keys(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
