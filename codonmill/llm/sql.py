@@ -20,7 +20,7 @@ def measures_sql(table: str) -> str:
         SELECT *, row_number() OVER () AS row_id,
             regexp_extract_all(coalesce(text, ''), '{WORD}') AS words,
             list_filter(string_split(coalesce(text, ''), chr(10)),
-                        line -> regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines
+                        lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines
         FROM {table}
     ),
     windows AS (
@@ -42,7 +42,7 @@ def measures_sql(table: str) -> str:
             len(regexp_extract_all(coalesce(text, ''), '{rules.SYMBOLS}')) AS n_symbols,
             len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
             coalesce(n_repeat_words, 0) AS n_repeat_words,
-            len(list_filter(words, w -> w IN ({listed}))) AS n_stop_words
+            len(list_filter(words, lambda w: w IN ({listed}))) AS n_stop_words
         FROM split LEFT JOIN covered USING (row_id)
     ),
     shares AS (
