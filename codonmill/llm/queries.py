@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codonmill.llm import jaccard_join, packing, quality_rules, sql, substring_dedup
+from codonmill.llm import jaccard_join, mixing, packing, quality_rules, secret_scan, sql, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,15 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(_documents(spark, sf_dir))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(_documents(spark, sf_dir))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, taken = mixing.mix(_documents(spark, sf_dir))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir))
 
@@ -43,6 +52,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_jaccard_join": op3_jaccard_join,
+    "op5_secret_scan": op5_secret_scan,
+    "op7_mixing": op7_mixing,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }

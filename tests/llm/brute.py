@@ -82,3 +82,35 @@ def similar(docs, percent=80):
     ]
     found = groups(links, sets)
     return {d: (len(sets[d]), found[d]) for d in sets}
+
+
+def secrets(text):
+    """Base spans of a text: (kind, start, end) by start, then kind."""
+    import re
+
+    text = text or ""
+    assign = r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found = [(m.start(), 0, m.end()) for m in re.finditer(assign, text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [(("assign", "access", "hex")[k], s, e) for s, k, e in sorted(found)]
+
+
+def base_sha(spans):
+    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()
+
+
+def targets(size_of, weights=(3, 1, 2), budget=1.5, most=2):
+    """{source: target} of {source: size}; None is the last source."""
+    order = sorted((s for s in size_of if s is not None)) + [None] * (None in size_of)
+    weight = {s: weights[i % 3] for i, s in enumerate(order)}
+    fixed = {}
+    while True:
+        left = budget * sum(size_of.values()) - sum(fixed.values())
+        open_ = [s for s in order if s not in fixed]
+        total = sum(weight[s] for s in open_)
+        want = {s: left * weight[s] / total for s in open_}
+        above = [s for s in open_ if want[s] > most * size_of[s]]
+        if not above:
+            return {**want, **fixed}
+        fixed.update({s: most * size_of[s] for s in above})
