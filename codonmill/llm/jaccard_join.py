@@ -17,7 +17,10 @@ text are one representative from the start.
 Within a signature, everyone is first compared with the smallest document; what this links
 is one group, and after that only documents of different groups are compared. So a
 group of n near copies costs n comparisons and not n squares, while every pair that could
-join two groups is still verified on whole sets.
+join two groups is still verified on whole sets. Each set also has `BITS` parity bits: every
+token flips one. Sets differ in at least as many tokens as their bits differ in places, an
+exact bound (Sandes et al., "Bitmap Filter", 2017), which the join of a signature's rows
+checks before it gives out a pair.
 
 Rows: null texts and texts without words have no shingles and link with nothing. Rows
 without a doc_id are returned with the component of the documents of the same text, or
@@ -39,6 +42,7 @@ from codonmill.session import shared_folder
 FREQUENT = 64
 SMALL = 200
 M = 64
+BITS = 512
 
 
 def shingles(text: bytes, words_each: int = 5) -> np.ndarray:
@@ -88,6 +92,12 @@ def _pairs(tokens: np.ndarray, needed: int, n_classes: int) -> np.ndarray:
     return np.concatenate(found) if found else tokens[:0]
 
 
+def parity_bits(tokens: np.ndarray) -> np.ndarray:
+    """`BITS` bits as longs; each token flips the one its hash names."""
+    flips = np.bincount((tokens % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 def similar_groups(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -122,7 +132,7 @@ def similar_groups(
 
 
 def _sets(texts: DataFrame, words_each: int, percent: int) -> DataFrame:
-    """One row per distinct text: (digest, n, signatures, members if it has signatures)."""
+    """One row per distinct text: (digest, n, signatures, bits and members if it has signatures)."""
     total = chunks.text_bytes(texts)
     n_chunks = chunks.parts(total, chunks.CHUNK_BYTES)
 
@@ -153,6 +163,10 @@ def _sets(texts: DataFrame, words_each: int, percent: int) -> DataFrame:
                 "digest": pa.array(sets, pa.binary()),
                 "n": pa.array([len(s) for s in sets.values()], pa.int64()),
                 "signatures": pa.array([x.view(np.int64) for x in signed], pa.list_(pa.int64())),
+                "bits": pa.array(
+                    [parity_bits(s) if len(x) else None for s, x in zip(sets.values(), signed, strict=True)],
+                    pa.list_(pa.int64()),
+                ),
                 "members": pa.array(
                     [s.tobytes() if len(x) else None for s, x in zip(sets.values(), signed, strict=True)],
                     pa.binary(),
@@ -168,7 +182,7 @@ def _sets(texts: DataFrame, words_each: int, percent: int) -> DataFrame:
         chunked,
         keys,
         finish,
-        "digest binary, n long, signatures array<long>, members binary",
+        "digest binary, n long, signatures array<long>, bits array<long>, members binary",
         chunks.parts(total, chunks.RANGE_BYTES),
     )
 
@@ -176,8 +190,7 @@ def _sets(texts: DataFrame, words_each: int, percent: int) -> DataFrame:
 def _links(sets: DataFrame, percent: int, folder: str) -> DataFrame:
     """Enough verified links (a, b) to connect what any link connects."""
     spark = sets.sparkSession
-    signed = sets.where("doc IS NOT NULL").select("doc", "n", F.explode("signatures").alias("signature"))
-    fits = lambda a, b: (100 * a >= percent * b) & (100 * b >= percent * a)
+    signed = sets.where("doc IS NOT NULL").select("doc", "n", "bits", F.explode("signatures").alias("signature"))
 
     heads = (
         signed.groupBy("signature")
@@ -199,10 +212,19 @@ def _links(sets: DataFrame, percent: int, folder: str) -> DataFrame:
     )
     open_rows = placed.join(parted, "signature")
     one, two = open_rows.alias("one"), open_rows.alias("two")
+    n_one, n_two = F.col("one.n"), F.col("two.n")
+    differ = sum(
+        (F.bit_count(F.col("one.bits")[i].bitwiseXOR(F.col("two.bits")[i])) for i in range(BITS // 64)), F.lit(0)
+    )
+    may_link = (
+        (F.col("one.signature") == F.col("two.signature"))
+        & (F.col("one.part") < F.col("two.part"))
+        & (100 * n_one >= percent * n_two)
+        & (100 * n_two >= percent * n_one)
+        & ((100 + percent) * differ <= (100 - percent) * (n_one + n_two))
+    )
     crossing = (
-        one.join(two, F.col("one.signature") == F.col("two.signature"))
-        .where(F.col("one.part") < F.col("two.part"))
-        .where(fits(F.col("one.n"), F.col("two.n")))
+        one.join(two, may_link)
         .select(F.col("one.doc").alias("a"), F.col("two.doc").alias("b"))
         .distinct()
         .join(links, ["a", "b"], "left_anti")

@@ -11,13 +11,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codonmill.llm import jaccard_join, mixing, packing, quality_rules, secret_scan, sql, substring_dedup
+from codonmill.llm import (
+    embedding_dedup,
+    jaccard_join,
+    license_scan,
+    lm_scoring,
+    mixing,
+    packing,
+    quality_rules,
+    secret_scan,
+    sql,
+    substring_dedup,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return _table(spark, sf_dir, "documents")
+
+
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(_documents(spark, sf_dir))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,15 +49,27 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(_documents(spark, sf_dir))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(_documents(spark, sf_dir))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(_documents(spark, sf_dir))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, taken = mixing.mix(_documents(spark, sf_dir))
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir))
 
@@ -50,10 +82,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_toxicity": op4_toxicity,
     "op5_secret_scan": op5_secret_scan,
+    "op6_license_scan": op6_license_scan,
     "op7_mixing": op7_mixing,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }

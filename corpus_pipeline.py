@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from codonmill.llm import quality_rules
+from codonmill.llm import jaccard_join, mixing, packing, quality_rules, secret_scan
 from codonmill.session import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,8 +18,38 @@ def passing_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return quality_rules.keep(docs)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id.
+
+    Rows with one id and one text are one document; rows without an id stay.
+    """
+    groups = jaccard_join.similar_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    first = docs.join(groups, "doc_id", "left_anti")
+    identified = first.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    return identified.unionByName(first.where("doc_id IS NULL")).select(*docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets masked in their texts."""
+    return secret_scan.redact(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of their sources takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in sequences."""
+    return packing.pack_documents(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", passing_quality),
+    ("jaccard_join", one_of_each_group),
+    ("secret_scan", without_secrets),
+    ("mixing", mixed),
+    ("packing", packed),
 ]
 
 #: Packing into sequences of tokens is no SQL.
