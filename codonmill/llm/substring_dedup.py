@@ -7,14 +7,14 @@ is cut into paths: consecutive edges that select the same anchor, the smallest h
 windows select the same anchor, so equal edges always lie in paths of one anchor, and a
 path is one row in place of some twenty edges.
 
-1. Paths (one row each): anchor, 128-bit digest of the words, source coordinates.
-2. Joins compact what does not branch: if all paths of an anchor have one digest, the
-   path is decided as a whole, by the first document that holds it.
-3. Only anchors with several paths in several documents branch. Their distinct paths are
-   looked up at their source coordinates, opened into edges, and each edge gets the first
-   document that holds it; per path this is packed again.
-4. Every occurrence of a path is joined with that verdict, which gives spans (document,
-   from, to). Spans are merged and cut out of the whole text.
+1. Occurrences of paths: anchor, 128-bit digest of the words, source coordinates.
+2. A join with what is known of each anchor keeps those in several documents, and compacts
+   what does not branch: if all paths of an anchor have one digest, the path is decided as
+   a whole, by the first document that holds it.
+3. Paths of the other anchors are looked up at the source coordinates of their first
+   occurrence, opened into edges, and each edge gets the first document that holds it; a
+   join brings that back to every occurrence of the path.
+4. The spans (document, from, to) are merged and cut out of the whole text.
 
 Digests are two independent 64-bit sums over two independent halves of 128-bit word
 hashes. Anchors and paths in very many documents are aggregated before they are shuffled;
@@ -132,53 +132,48 @@ def repeated_spans(
                     }
                 )
 
-    path = ["anchor", "high", "low"]
     schema = "anchor long, high long, low long, id long, sum long, start int, n_windows int"
     keyed.mapInArrow(walk, schema).write.parquet(f"{folder}/walks")
     walks = spark.read.parquet(f"{folder}/walks")
 
-    paths = walks.groupBy(*path).agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    shared = (
-        paths.groupBy("anchor")
-        .agg(
-            F.count(F.lit(1)).alias("n_paths"),
-            F.min("first").alias("anchor_first"),
-            F.max("last").alias("anchor_last"),
-        )
-        .where("anchor_first < anchor_last")
-        .select("anchor", "n_paths")
-    )
-    paths.join(shared, "anchor").write.parquet(f"{folder}/paths")
-    paths = spark.read.parquet(f"{folder}/paths")
-
-    straight = paths.where("n_paths = 1").select(
-        *path, "first", F.lit(None).cast("array<struct<from:int,to:int,first:long>>").alias("pieces")
+    ends = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("id", "high", "low")]
+    anchors = (
+        walks.groupBy("anchor")
+        .agg(*ends)
+        .where("min_id < max_id")
+        .selectExpr("anchor", "min_id AS first", "min_high = max_high AND min_low = max_low AS straight")
     )
-    branching = paths.where("n_paths > 1")
-    opened = _opened(keyed, walks, branching, path, width)
-    verdicts = straight.unionByName(opened)
+    walks.join(anchors, "anchor").drop("anchor").write.parquet(f"{folder}/shared")
+    shared = spark.read.parquet(f"{folder}/shared")
 
-    found = walks.join(verdicts, path)
-    whole = F.array(
-        F.struct(F.lit(0).alias("from"), F.col("n_windows").alias("to"), F.col("first").alias("first"))
+    straight = shared.where("straight").select(
+        "id", "sum", "start", (F.col("start") + F.col("n_windows") + width - 1).alias("end"), "first"
     )
-    pieces = found.withColumn("piece", F.explode(F.coalesce("pieces", whole)))
-    return pieces.where("piece.first < id").select(
-        "id",
-        "sum",
-        (F.col("start") + F.col("piece.from")).alias("start"),
-        (F.col("start") + F.col("piece.to") + width - 1).alias("end"),
-        F.col("piece.first").alias("first_id"),
+    branching = shared.where("NOT straight").select("high", "low", "id", "sum", "start", "n_windows")
+    opened = (
+        branching.join(_opened(keyed, branching, width), ["high", "low"])
+        .withColumn("edge", F.explode("edges"))
+        .select(
+            "id",
+            "sum",
+            (F.col("start") + F.col("edge.offset")).alias("start"),
+            (F.col("start") + F.col("edge.offset") + width).alias("end"),
+            F.col("edge.first").alias("first"),
+        )
     )
+    return straight.unionByName(opened).where("first < id").withColumnRenamed("first", "first_id")
 
 
-def _opened(keyed: DataFrame, walks: DataFrame, branching: DataFrame, path: list[str], width: int) -> DataFrame:
-    """Verdicts of paths that share some of their edges with other paths.
+def _opened(keyed: DataFrame, branching: DataFrame, width: int) -> DataFrame:
+    """(high, low, edges) of paths that share some of their edges with other paths.
 
+    `edges` has for each edge of a path its place and the first document that holds it.
     The words of each path are read again at the coordinates of its first occurrence.
     """
+    path = ["high", "low"]
+    firsts = branching.groupBy(*path).agg(F.min("id").alias("id"))
     where = (
-        walks.join(branching.select(*path, F.col("first").alias("id")), [*path, "id"])
+        branching.join(firsts, [*path, "id"])
         .groupBy(*path, "id")
         .agg(F.min(F.struct("sum", "start", "n_windows")).alias("at"))
         .select(*path, "id", "at.*")
@@ -196,30 +191,24 @@ def _opened(keyed: DataFrame, walks: DataFrame, branching: DataFrame, path: list
                 words = Words(text)
                 for one in wanted_:
                     offset = np.arange(one["n_windows"])
-                    high, low = words.digests(one["start"] + offset, one["start"] + offset + width)
-                    rows.append((high, low, offset, [(one["anchor"], one["high"], one["low"], id_)] * len(offset)))
+                    found = words.digests(one["start"] + offset, one["start"] + offset + width)
+                    rows.append((*found, offset, np.tile([[one["high"]], [one["low"]], [id_]], len(offset))))
             if rows:
                 high, low, offset = (np.concatenate([r[k] for r in rows]) for k in range(3))
-                keys = np.array([k for r in rows for k in r[3]], np.int64).reshape(-1, 4)
-                columns = [high.view(np.int64), low.view(np.int64), offset.astype(np.int32), *keys.T]
-                names = ["edge_high", "edge_low", "offset", "anchor", "high", "low", "id"]
+                of_path = np.concatenate([r[3] for r in rows], axis=1)
+                columns = [high.view(np.int64), low.view(np.int64), offset.astype(np.int32), *of_path]
+                names = ["edge_high", "edge_low", "offset", "high", "low", "id"]
                 yield pa.RecordBatch.from_pydict(dict(zip(names, columns, strict=True)))
 
-    schema = "edge_high long, edge_low long, offset int, anchor long, high long, low long, id long"
+    schema = "edge_high long, edge_low long, offset int, high long, low long, id long"
     opened = sources.mapInArrow(edges, schema)
-    firsts = opened.groupBy("edge_high", "edge_low").agg(F.min("id").alias("first"))
-    by_path = (
-        opened.join(firsts, ["edge_high", "edge_low"])
+    first_of = opened.groupBy("edge_high", "edge_low").agg(F.min("id").alias("first"))
+    return (
+        opened.drop("id")
+        .join(first_of, ["edge_high", "edge_low"])
         .groupBy(*path)
-        .agg(F.sort_array(F.collect_list(F.struct("offset", "first"))).alias("edges"))
-    )
-    pieces = F.transform(
-        "edges",
-        lambda e: F.struct(
-            e["offset"].alias("from"), (e["offset"] + 1).alias("to"), e["first"].alias("first")
-        ),
+        .agg(F.collect_set(F.struct("offset", "first")).alias("edges"))
     )
-    return by_path.select(*path, F.lit(None).cast("long").alias("first"), pieces.alias("pieces"))
 
 
 def cut_repeats(
