@@ -32,10 +32,10 @@ from codonmill.llm import chunks
 BITS = 20
 SAMPLE = 24_000
 SHARDS = 4
-EPOCHS = 3
+EPOCHS = 5
 FOLDS = 5
 
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.5, 1.0
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 6.0, 0.1
 
 _WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _SKIP = np.uint64(0x5851F42D4C957F2D)
@@ -142,8 +142,6 @@ def score_documents(
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of `docs`."""
     used, weights = train(docs, labels, doc_id, text, label)
-    dense = np.zeros((1 << BITS) + 1, np.float32)
-    dense[used] = weights
     model = docs.sparkSession.sparkContext.broadcast((used, weights))
 
     def score(batches):
