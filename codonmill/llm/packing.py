@@ -46,8 +46,10 @@ def default_tokenizer() -> str:
 class Encoder:
     """Token ids of whole texts as bytes (unsigned little-endian 32-bit numbers).
 
-    The tokenizer treats white space as a border and drops it, so a text's ids are those
-    of its blank-separated parts. Parts are encoded once and kept while they fit the cache.
+    The tokenizer ignores case, treats white space as a border and drops it, so a text's
+    ids are those of its blank-separated parts in lower case. A full stop or comma after a
+    letter at a part's end is a token of its own. Parts without it are encoded once and
+    kept while they fit the cache. Special tokens keep their case, as it counts.
     """
 
     def __init__(self, path: str):
@@ -58,16 +60,20 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        new = list({w for words in split for w in words} - self.known.keys())
-        coded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self.known.update(
-            (w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, coded, strict=True)
-        )
+        new = set().union(*split) - self.known.keys()
+        ended = {w for w in new if w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
+        self._learn((new - ended) | {w[:-1] for w in ended} | {b".", b","})
+        self.known.update((w, self.known[w[:-1]] + self.known[w[-1:]]) for w in ended)
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
+    def _learn(self, words: set[bytes]) -> None:
+        new = list(words - self.known.keys())
+        coded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, coded, strict=True))
+
 
 def pieces(
     docs: DataFrame,
