@@ -143,6 +143,9 @@ def repeated_spans(
         .where("min_id < max_id")
         .selectExpr("anchor", "min_id AS first", "min_high = max_high AND min_low = max_low AS straight")
     )
+    # Read again, so that the join deals out both sides itself and can split a hot anchor.
+    anchors.write.parquet(f"{folder}/anchors")
+    anchors = spark.read.parquet(f"{folder}/anchors")
     walks.join(anchors, "anchor").drop("anchor").write.parquet(f"{folder}/shared")
     shared = spark.read.parquet(f"{folder}/shared")
 
