@@ -94,9 +94,20 @@ def comma_values(packed: Column) -> Column:
 
 
 def literal_gene_ids(literal: Column) -> Column:
-    """Gene ids of a list of records written as Python literals."""
+    """Gene ids of a list of records written as Python literals.
+
+    Bare words of that language, outside quotes, become those of JSON.
+    """
+    spelled = literal
+    for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
+        until = (
+            r"""\G((?:[^'"\w]|'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|\b(?!WORD\b)\w++)*+)\bWORD\b"""
+        ).replace("WORD", word)
+        spelled = F.when(
+            literal.contains(word), F.regexp_replace(spelled, until, f"$1{json_word}")
+        ).otherwise(spelled)
     records = F.from_json(
-        literal,
+        spelled,
         "array<struct<NAME:string,GENE_ID:string>>",
         {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"},
     )

@@ -83,6 +83,12 @@ def column_checks(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def surplus_check(raw: DataFrame, table: str, column: str) -> DataFrame:
+    """Raw rows with more fields than the table has names for."""
+    counted = raw.agg(F.count(column).alias("_n")).where("_n > 0")
+    return _report(counted, table, "surplus", column, F.lit(None), F.col("_n"))
+
+
 def _no_violations(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(
         [], "TABLE_NAME string, RULE string, COLUMN_NAME string, KEY_VALUE string, N_ROWS long"

@@ -34,14 +34,24 @@ def changed_rows(stored: DataFrame, incoming: DataFrame) -> DataFrame:
 def upsert(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """The stored table with the changed rows in place of those of the same key.
 
-    `key` is a primary key. Stored rows whose key is absent from `incoming` stay.
+    `key` is a primary key. Stored rows whose key is absent from `incoming` stay. Where
+    `incoming` repeats a key, none of its rows is lost: if one has changed, all come in.
     """
-    return replace_keys(stored, changed_rows(stored, incoming), key)
+    changed = changed_rows(stored, incoming).select(F.col(key).alias("_key")).distinct()
+    whole = incoming.join(changed, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    return replace_keys(stored, whole, key)
 
 
-def replace_keys(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+def replace_keys(
+    stored: DataFrame, incoming: DataFrame, key: str, came: DataFrame | None = None
+) -> DataFrame:
     """For lookup tables, where a key has many rows: all rows of each incoming key
-    take the place of the stored rows of that key."""
-    replaced = incoming.select(F.col(key).alias("_key")).distinct()
+    take the place of the stored rows of that key.
+
+    `came` may hold the keys that came in, in one column, where some of them have no
+    incoming rows any more.
+    """
+    keys = incoming.select(key) if came is None else came
+    replaced = keys.toDF("_key").distinct()
     kept = stored.join(replaced, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
     return kept.unionByName(incoming)

@@ -14,7 +14,7 @@ from codonmill.functions import identifiers as ids
 from codonmill.functions import names, positions, text
 from codonmill.operators.lookup import lookup
 from codonmill.operators.numbering import numbered_lookup
-from codonmill.sources.delimited import POSITION
+from codonmill.sources.delimited import POSITION, SURPLUS
 
 
 def pathway(raw: DataFrame, with_class: bool = False) -> DataFrame:
@@ -105,7 +105,11 @@ def module_name_lookup(raw: DataFrame) -> DataFrame:
 def link(raw: DataFrame) -> DataFrame:
     """Pairs of identifiers; each known id column gets its standard spelling."""
     return raw.select(
-        *[ids.rewrite(F.col(c), fv.LINK_REWRITES.get(c, [])).alias(c) for c in raw.columns]
+        *[
+            ids.rewrite(F.col(c), fv.LINK_REWRITES.get(c, [])).alias(c)
+            for c in raw.columns
+            if c not in (*POSITION, SURPLUS)
+        ]
     )
 
 

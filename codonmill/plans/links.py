@@ -129,7 +129,11 @@ def gene_aliases(*symbol_lookups: DataFrame) -> DataFrame:
 
 
 def variant_genes(variant: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Genes a variant's symbol stands for, under any of their symbols."""
-    return variant.select("VARIANT_ID", "VARIANT_VERSION", "GENE_SYMBOL").join(
-        aliases, "GENE_SYMBOL"
+    """Genes a variant's symbol stands for, under any of their symbols.
+
+    Empty text and the placeholder of genes without symbols are no symbols.
+    """
+    named = ~F.col("GENE_SYMBOL").isin("", fv.NO_SYMBOL)
+    return variant.select("VARIANT_ID", "VARIANT_VERSION", "GENE_SYMBOL").where(named).join(
+        aliases.where(named), "GENE_SYMBOL"
     ).select("VARIANT_ID", "VARIANT_VERSION", "GENE_SYMBOL", "GENE_ID", "LOOKUP_SOURCE")

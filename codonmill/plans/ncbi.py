@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from codonmill import fixed_values as fv
 from codonmill.functions import identifiers as ids
 from codonmill.functions import names, positions, text
-from codonmill.operators.columns import drop_marked, upper_columns
+from codonmill.operators.columns import upper_columns
 from codonmill.operators.lookup import lookup
+from codonmill.schemas import rules
 
 # --- annotation files --------------------------------------------------------
 
@@ -147,40 +148,20 @@ def gene_summary_omim_lookup(raw: DataFrame) -> DataFrame:
     return lookup(raw, _gene_id(), F.col("MIM"), "OMIM_ID", "gene_summary")
 
 
-# Record fields that are not kept, in either spelling.
-SNP_UNUSED = [
-    "GLOBAL_SAMPLESIZE",
-    "GLOBAL_POPULATION",
-    "SUSPECTED",
-    "ALLELE_ORIGIN",
-    "ACC",
-    "GLOBAL_MAFS",
-    "GENE_LIST",
-    "N_GENES",
-    "TAX_ID",
-    "CREATEDATE",
-    "UPDATEDATE",
-    "HANDLE",
-    "ORIG_BUILD",
-    "CHRPOS_PREV_ASSM",
-    "TEXT",
-    "UID",
-]
-
-
 def snp_summary(raw: DataFrame) -> DataFrame:
-    df = drop_marked(upper_columns(raw), SNP_UNUSED, "_SORT").withColumnsRenamed(
-        {"CHR": "CHROMOSOME", "CHRPOS": "MAP_LOCATION"}
-    )
-    absent = {"CHROMOSOME", "MAP_LOCATION"} - set(df.columns)
-    return df.withColumns(
-        {
-            "SNP_ID": ids.prefixed(fv.SNP_PREFIX, F.col("SNP_ID")),
-            "CLINICAL_SIGNIFICANCE": names.unless(F.col("CLINICAL_SIGNIFICANCE"), ""),
-            **{key: names.keyed_value(F.col("DOCSUM"), key) for key in ("SEQ", "LEN", "HGVS")},
-            **{name: F.lit(None).cast("string") for name in absent},
-        }
-    ).drop("GENES", "FXN_CLASS", "SS", "DOCSUM")
+    df = upper_columns(raw).withColumnsRenamed({"CHR": "CHROMOSOME", "CHRPOS": "MAP_LOCATION"})
+    made = {
+        "SNP_ID": ids.prefixed(fv.SNP_PREFIX, F.col("SNP_ID")),
+        "CLINICAL_SIGNIFICANCE": names.unless(F.col("CLINICAL_SIGNIFICANCE"), ""),
+        **{key: names.keyed_value(F.col("DOCSUM"), key) for key in ("SEQ", "LEN", "HGVS")},
+        **{
+            name: F.lit(None).cast("string")
+            for name in ("CHROMOSOME", "MAP_LOCATION")
+            if name not in df.columns
+        },
+    }
+    columns = [rule.name for rule in rules("ncbi_human_snp_summary")]
+    return df.select(*[made.get(name, F.col(name)).alias(name) for name in columns])
 
 
 def _snp_values(raw: DataFrame, listed: Column, name: str) -> DataFrame:

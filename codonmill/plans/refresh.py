@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from codonmill import fixed_values as fv
 from codonmill.operators.ordering import ordered_by
-from codonmill.operators.quality import all_checks
+from codonmill.operators.quality import all_checks, surplus_check
 from codonmill.plans.incremental import replace_keys, upsert
 from codonmill.plans.registry import REGISTRY, TableSpec, spec
-from codonmill.schemas import for_sink
+from codonmill.schemas import for_sink, full_name
 from codonmill.session import build_session, shared_folder, size_shuffles
-from codonmill.sources.landing import landed_files
+from codonmill.sources.delimited import SURPLUS, placed
+from codonmill.sources.docsum import union_pages
+from codonmill.sources.landing import claimed_files
 from codonmill.sources.sinks import write_table
 from codonmill.sources.stage import load_stage, save_stage
 
@@ -39,22 +41,31 @@ class Pipeline:
             raise ValueError(f"unknown source {source!r}; known are {sorted(REGISTRY)}")
         self.spark, self.source = spark, source
         self.landing, self.target = landing, target
-        self._stage = stage or shared_folder(spark)
+        self._stage = stage
+        self._landed: dict[str | None, list[str]] | None = None
         self.raw: dict[str, DataFrame] = {}
         self.processed: dict[str, DataFrame] = {}
 
     def extract(self, table: str) -> DataFrame:
         """Raw rows of all files landed for the table."""
         chosen = spec(self.source, table)
-        paths = landed_files(self.spark, self.landing, self.source, table, REGISTRY[self.source])
+        paths = self.landed().get(table, [])
         if not paths:
             raise FileNotFoundError(f"nothing landed for {self.source} {table} in {self.landing}")
-        if all(path.endswith(".parquet") for path in paths):
-            self.raw[table] = self.spark.read.parquet(*paths)
-        else:
-            self.raw[table] = chosen.read(self.spark, paths)
+        parquet = [path for path in paths if path.endswith(".parquet")]
+        other = [path for path in paths if not path.endswith(".parquet")]
+        pages = [chosen.read(self.spark, other)] if other else []
+        if parquet:
+            pages.append(placed(self.spark.read.parquet(*parquet)))
+        self.raw[table] = union_pages(pages)
         return self.raw[table]
 
+    def landed(self) -> dict[str | None, list[str]]:
+        """Landed paths by table, under None those that no table claims; listed once."""
+        if self._landed is None:
+            self._landed = claimed_files(self.spark, self.landing, self.source, REGISTRY[self.source])
+        return self._landed
+
     def transform(self, table: str, raw: DataFrame | None = None) -> dict[str, DataFrame]:
         chosen = spec(self.source, table)
         made = chosen.run(self.raw[table] if raw is None else raw)
@@ -88,6 +99,7 @@ class Pipeline:
         side by side, so that small ones do not leave the cluster idle.
         """
         load = self.target is not None if load is None else load
+        self._landed = None
         chosen = [spec(self.source, name) for name in (list(tables) or REGISTRY[self.source])]
         written: dict[str, str] = {}
         with ThreadPoolExecutor(at_once) as pool:
@@ -110,9 +122,12 @@ class Pipeline:
     def violations(self) -> DataFrame:
         """Broken keys, references, widths, types and missing values of what is processed."""
         loose: dict[str, DataFrame] = {}
+        surplus = []
         for table, raw in self.raw.items():
             loose.update(spec(self.source, table).loose(raw))
-        return all_checks(self.processed, loose)
+            if SURPLUS in raw.columns:
+                surplus.append(surplus_check(raw, full_name(self.source, table), SURPLUS))
+        return union_pages([all_checks(self.processed, loose), *surplus])
 
     def update(self, name: str, previous: str) -> str:
         """Write the target table as its last version with new and changed records put in.
@@ -120,7 +135,9 @@ class Pipeline:
         `previous` is the folder of that version; the target must be another, since
         the one is read while the other is written. In a table with a primary key
         only changed rows take the place of stored ones. In others, lookups and
-        links, all rows of each incoming id replace the stored rows of that id.
+        links, all rows of each id that came in replace the stored rows of that id. For a
+        lookup these are the ids of the table it belongs to, so that an id whose list has
+        become empty loses its stored rows.
         """
         if self.target is None or previous.rstrip("/") == self.target.rstrip("/"):
             raise ValueError("an update needs a target folder that is not the previous one")
@@ -129,10 +146,22 @@ class Pipeline:
         if name in fv.PRIMARY_KEYS:
             merged = upsert(stored, incoming, fv.PRIMARY_KEYS[name])
         else:
-            merged = replace_keys(stored, incoming, incoming.columns[0])
+            key = incoming.columns[0]
+            main = self._main_table(name)
+            came = self.processed[main] if main in self.processed else incoming
+            merged = replace_keys(stored, incoming, key, came.select(key))
         return write_table(merged, name, self.target, True)
 
+    def _main_table(self, name: str) -> str | None:
+        """Of the tables that one raw table makes, the one with its primary key."""
+        for one in REGISTRY[self.source].values():
+            made = [full_name(self.source, short) for short in one.jobs]
+            if name in made:
+                return next((table for table in made if table in fv.PRIMARY_KEYS), None)
+        return None
+
     def _staged(self, one: TableSpec, raw: DataFrame) -> DataFrame:
+        self._stage = self._stage or shared_folder(self.spark)
         save_stage(raw, self._stage, one.name, self.source, kind="raw")
         return load_stage(self.spark, self._stage, one.name, self.source, kind="raw")
 
@@ -152,6 +181,8 @@ def main(argv: list[str] | None = None) -> None:
     pipeline = Pipeline(spark, args.source, args.landing, args.target)
     for name, where in pipeline.refresh(args.tables, load=True, overwrite=not args.append).items():
         print(f"{name}\t{where}")
+    for path in pipeline.landed().get(None, []):
+        print(f"no table\t{path}")
     if args.check:
         pipeline.violations().show(100, truncate=False)
 

@@ -7,12 +7,14 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from codonmill import fixed_values as fv
 from codonmill.plans import kegg, ncbi
 from codonmill.schemas import conform, full_name
 from codonmill.sources.delimited import read_tab_header, read_tab_list
-from codonmill.sources.docsum import read_docsum_json, read_docsum_xml
+from codonmill.sources.docsum import RAW_DDL, read_docsum_json, read_docsum_xml, union_pages
 
 Job = Callable[[DataFrame], DataFrame]
 
@@ -52,13 +54,25 @@ class TableSpec:
 
 def _read_list(spark: SparkSession, paths: list[str], name: str) -> DataFrame:
     # Gene symbols are numbered in file order, so that reader keeps positions.
-    return read_tab_list(spark, paths, fv.KEGG_RAW_COLUMNS[name], position=name == "gene")
+    return read_tab_list(
+        spark, paths, fv.KEGG_RAW_COLUMNS[name], position=name == "gene", surplus=True
+    )
 
 
 def _read_docsum(spark: SparkSession, paths: list[str], name: str) -> DataFrame:
-    is_xml = any(part.endswith(".xml") for path in paths for part in path.split("/")[-2:])
-    read = read_docsum_xml if is_xml else read_docsum_json
-    return read(spark, paths, name)
+    """Pages of both formats side by side, each read as what it is."""
+    xml = [path for path in paths if _is_xml(path)]
+    other = [path for path in paths if not _is_xml(path)]
+    pages = [read_docsum_json(spark, other, name)] if other else []
+    if xml:
+        kinds = T.StructType.fromDDL(RAW_DDL[name])
+        read = read_docsum_xml(spark, xml, name)
+        pages.append(read.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds.fields]))
+    return union_pages(pages)
+
+
+def _is_xml(path: str) -> bool:
+    return any(part.endswith((".xml", ".xml.gz")) for part in path.split("/")[-2:])
 
 
 def _kegg(name: str, jobs: dict[str, Job]) -> TableSpec:

@@ -51,9 +51,15 @@ def size_shuffles(spark: SparkSession, folder: str) -> int:
 def shared_folder(spark: SparkSession) -> str:
     """A new path under the folder named by `spark.checkpoint.dir`.
 
-    Only where that setting is absent, as on a laptop, is a temporary folder used.
+    Only where that setting is absent and all runs on one machine is a temporary folder
+    used; on a cluster the executors would not share it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _laptop_folder()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = _laptop_folder()
     return f"{base.rstrip('/')}/codonmill-{uuid.uuid4().hex}"
 
 

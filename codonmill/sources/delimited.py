@@ -17,6 +17,7 @@ from codonmill import fixed_values as fv
 
 TAB = "\t"
 POSITION = ["SRC_FILE", "SRC_BLOCK", "SRC_ROW"]
+SURPLUS = "SRC_SURPLUS"
 
 
 def read_tab_list(
@@ -24,19 +25,26 @@ def read_tab_list(
     path: str | Sequence[str],
     columns: Sequence[str],
     position: bool = False,
+    surplus: bool = False,
 ) -> DataFrame:
     """Headerless list; names are given by position.
 
     With `position`, columns tell where each line stood: file, block of the file
-    and an increasing number within the block.
+    and an increasing number within the block. With `surplus`, a column holds the fields
+    beyond the named ones, NULL where there are none.
     """
-    return fields(_lines(spark, path), columns, position)
+    return fields(_lines(spark, path), columns, position, surplus)
 
 
-def fields(lines: DataFrame, columns: Sequence[str], position: bool = False) -> DataFrame:
+def fields(
+    lines: DataFrame, columns: Sequence[str], position: bool = False, surplus: bool = False
+) -> DataFrame:
     """Project named fields from a frame of text lines, batch or streaming."""
     parts = F.split("value", TAB, -1)
     picked = [F.get(parts, F.lit(i)).alias(name.upper()) for i, name in enumerate(columns)]
+    if surplus:
+        beyond = F.slice(parts, len(columns) + 1, F.greatest(F.size(parts) - len(columns), F.lit(1)))
+        picked.append(F.when(F.size(parts) > len(columns), beyond).alias(SURPLUS))
     return lines.select(*picked, *(_position() if position else []))
 
 
@@ -46,38 +54,53 @@ def read_tab_header(
     columns: Sequence[str] | None = None,
     spread: bool = True,
 ) -> DataFrame:
-    """List whose first line names the columns; every file repeats that line.
+    """List whose first line names the columns; every file has such a line of its own.
 
-    A gzip file is one task however large it is. With `spread`, fewer files than
+    Files may name their columns in different orders or lack some: rows are read by the
+    header of their file, and columns that it lacks are NULL. With several files, their
+    headers are found in a pass over the first block of each. A gzip file is one task however large it is. With `spread`, fewer files than
     the session has slots are dealt out again after parsing and before any work
     that multiplies rows.
     """
     lines = _lines(spark, path)
-    header = lines.first()
-    if header is None:
+    n_files = len(lines.inputFiles())
+    headers = _headers(lines, n_files)
+    if not headers:
         raise ValueError(f"no header line in {path}")
-    names = header["value"].split(TAB)
     wanted = {c.upper() for c in columns} if columns else None
     parts = F.split("value", TAB, -1)
-    df = lines.where(F.col("value") != header["value"]).select(
-        *[
-            F.get(parts, F.lit(i)).alias(name)
-            for i, name in enumerate(names)
-            if wanted is None or name.upper() in wanted
-        ]
+    names = list(dict.fromkeys(name for header in headers for name in header.split(TAB)))
+    own = {header: {name: i for i, name in enumerate(header.split(TAB))} for header in headers}
+    if len(headers) == 1:
+        rows = lines.where(F.col("value") != headers[0])
+        place = {name: F.lit(i) for name, i in own[headers[0]].items()}
+    else:
+        per_file = _first_lines(lines).withColumnRenamed("header", "_header")
+        rows = (
+            lines.withColumn("_file", F.col("_metadata.file_path"))
+            .join(per_file, "_file")
+            .where(F.col("value") != F.col("_header"))
+        )
+        place = {
+            name: F.coalesce(
+                *[F.when(F.col("_header") == h, F.lit(own[h][name])) for h in headers if name in own[h]]
+            )
+            for name in names
+        }
+    df = rows.select(
+        *[F.get(parts, place[name]).alias(name) for name in names if wanted is None or name.upper() in wanted]
     )
     slots = spark.sparkContext.defaultParallelism
-    if spread and len(lines.inputFiles()) < slots:
+    if spread and n_files < slots:
         df = df.repartition(slots)
     return df
 
 
 def read_tab_generic(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Headerless list without known names: `_c0`, `_c1`, … as many as the first line has."""
+    """Headerless list without known names: `_c0`, `_c1`, … as many as the widest line has."""
     lines = _lines(spark, path)
-    first = lines.first()
-    width = len(first["value"].split(TAB)) if first else 1
     parts = F.split("value", TAB, -1)
+    width = lines.agg(F.max(F.size(parts))).first()[0] or 1
     return lines.select(*[F.get(parts, F.lit(i)).alias(f"_c{i}") for i in range(width)])
 
 
@@ -88,11 +111,32 @@ def read_reactome(spark: SparkSession, folder: str, extract: str) -> DataFrame:
     return read_tab_generic(spark, f"{folder.rstrip('/')}/{fv.REACTOME_FILES[extract]}")
 
 
+def _first_lines(lines: DataFrame) -> DataFrame:
+    """(_file, header): the first line of each file."""
+    numbered = lines.where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("_file"), "value", F.monotonically_increasing_id().alias("_row")
+    )
+    return numbered.groupBy("_file").agg(F.min_by("value", "_row").alias("header"))
+
+
+def _headers(lines: DataFrame, n_files: int) -> list[str]:
+    """The different headers there are: as many as there are layouts of the extract."""
+    if n_files == 1:
+        first = lines.first()
+        return [first["value"]] if first else []
+    return sorted(_first_lines(lines).agg(F.collect_set("header")).first()[0])
+
+
 def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.text(paths).where(F.col("value") != "")
 
 
+def placed(rows: DataFrame) -> DataFrame:
+    """Rows of landed files with columns that tell where each stood."""
+    return rows.select("*", *_position())
+
+
 def _position() -> list[Column]:
     file, block, row = POSITION
     return [

@@ -6,12 +6,13 @@ page lacks are NULL.
 
 from __future__ import annotations
 
-import json
+import re
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from codonmill import fixed_values as fv
 from codonmill.operators.columns import upper_columns
@@ -43,17 +44,56 @@ def read_docsum_xml(spark: SparkSession, path: str | Sequence[str], table: str)
 def read_docsum_json(
     spark: SparkSession, path: str | Sequence[str], table: str, schema: str | None = None
 ) -> DataFrame:
-    """Records as JSON lines, field names in upper or lower case throughout.
+    """Records as JSON lines.
 
-    JSON fields match by exact case, so the first record decides which it is. A
-    `schema` of the caller's own is taken as it is.
+    Each field of each record may be spelled in upper case, in lower case or as the XML
+    elements are, nested fields too; every line is parsed once. A `schema` of the
+    caller's own is taken as it is.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    if schema is None:
-        first = spark.read.text(paths).where("trim(value) <> ''").first()
-        is_lower = first is not None and any(name.islower() for name in json.loads(first["value"]))
-        schema = RAW_DDL[table].lower() if is_lower else RAW_DDL[table]
-    return upper_columns(spark.read.schema(schema).json(paths))
+    if schema is not None:
+        return upper_columns(spark.read.schema(schema).json(paths))
+    titles = {name.lower(): name for name in re.findall(r"(\w+):?\s", f"{XML_DDL[table]} ".replace(":", ": "))}
+    lines = spark.read.text(paths).where("trim(value) <> ''")
+    record = lines.select(F.try_parse_json("value").alias("_record"))
+    fields = T.StructType.fromDDL(RAW_DDL[table]).fields
+    return record.select(*[_field("_record", f, titles).alias(f.name) for f in fields])
+
+
+def _spellings(name: str, titles: dict[str, str]) -> list[str]:
+    return list(dict.fromkeys([name, name.upper(), name.lower(), titles.get(name.lower(), name)]))
+
+
+def _field(record: str, field: T.StructField, titles: dict[str, str]) -> Column:
+    """One field of a parsed record with its type, under whichever spelling it has."""
+    found = [
+        F.try_variant_get(F.col(record), f"$.{spelling}", "variant")
+        for spelling in _spellings(field.name, titles)
+    ]
+    value = F.coalesce(*[F.when(~F.is_variant_null(one), one) for one in found])
+    kind = field.dataType
+    if isinstance(kind, T.StringType):
+        # Records within a text field stay the text they are.
+        return F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
+    if isinstance(kind, T.StructType):
+        return _renamed(F.try_variant_get(value, "$", "map<string,string>"), kind, titles)
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        listed = F.try_variant_get(value, "$", "array<map<string,string>>")
+        return F.transform(listed, lambda one: _renamed(one, kind.elementType, titles))
+    return F.try_variant_get(value, "$", kind.simpleString())
+
+
+def _renamed(entries: Column, kind: T.StructType, titles: dict[str, str]) -> Column:
+    """A struct from a map whose keys have any of the spellings."""
+    picked = F.struct(
+        *[
+            F.coalesce(*[F.try_element_at(entries, F.lit(s)) for s in _spellings(f.name, titles)])
+            .try_cast(f.dataType)
+            .alias(f.name)
+            for f in kind.fields
+        ]
+    )
+    return F.when(entries.isNotNull(), picked)
 
 
 def union_pages(pages: Sequence[DataFrame]) -> DataFrame:

@@ -1,13 +1,15 @@
 """Which landed files belong to which table.
 
 A table lands as `{source}_human_{table}.{ext}`, as several such files with a
-`_{part}` after the table name, or as a folder of that name holding any files.
+`_{part}` after the table name, or as a folder of that name holding any files, however
+deep.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,15 +21,21 @@ def landed_files(
     spark: SparkSession, folder: str, source: str, table: str, tables: Iterable[str]
 ) -> list[str]:
     """Paths of one table's files: a listing, as every scan makes, not a read."""
+    return claimed_files(spark, folder, source, tables).get(table, [])
+
+
+def claimed_files(
+    spark: SparkSession, folder: str, source: str, tables: Iterable[str]
+) -> dict[str | None, list[str]]:
+    """One listing of the folder: paths by table, under None those of no table."""
     names = _longest_first(tables)
     pattern = re.compile(_path_pattern(source))
-    listing = spark.read.option("recursiveFileLookup", "true").text(folder).inputFiles()
-    mine = []
-    for path in listing:
+    claimed: dict[str | None, list[str]] = {}
+    for path in spark.read.option("recursiveFileLookup", "true").text(folder).inputFiles():
+        path = unquote(path)
         found = pattern.match(path)
-        if found and _owner(found.group(1), names) == table:
-            mine.append(path)
-    return sorted(mine)
+        claimed.setdefault(_owner(found.group(1), names) if found else None, []).append(path)
+    return {table: sorted(paths) for table, paths in claimed.items()}
 
 
 def table_of(file_path: Column, source: str, tables: Iterable[str]) -> Column:
@@ -71,7 +79,7 @@ def longer_names(table: str, tables: Iterable[str]) -> list[str]:
 
 
 def _path_pattern(source: str) -> str:
-    return rf"^.*/{source}_human_(\w+?)(?:\.(?:{EXTENSIONS}))*(?:/[^/]+)?$"
+    return rf"^.*/{source}_human_(\w+?)(?:\.(?:{EXTENSIONS}))*(?:/.+)?$"
 
 
 def _longest_first(tables: Iterable[str]) -> list[str]:

@@ -345,7 +345,8 @@ J8_ALIASES = _ALIASES.strip()
 J8_VARIANTS = _with(
     """
 SELECT VARIANT_ID, VARIANT_VERSION, GENE_SYMBOL, GENE_ID, LOOKUP_SOURCE
-FROM variant JOIN alias USING (GENE_SYMBOL)""",
+FROM variant JOIN alias USING (GENE_SYMBOL)
+WHERE GENE_SYMBOL NOT IN ('', 'None')""",
     variant=T4,
     alias=_ALIASES,
 )

@@ -229,7 +229,7 @@ def test_refresh_without_target_only_plans(spark, tmp_path):
     pipeline = Pipeline(spark, "kegg", str(tmp_path))
     assert pipeline.refresh(["disease"]) == {}
     assert rows(pipeline.processed["kegg_human_disease"]) == [("DS7", 2)]
-    assert pipeline.raw["disease"].columns == ["DISEASE_ID", "DISEASE_NAME"]
+    assert pipeline.raw["disease"].columns == ["DISEASE_ID", "DISEASE_NAME", "SRC_SURPLUS"]
 
 
 def test_refresh_names_what_is_missing(spark, tmp_path):
