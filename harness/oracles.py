@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harness import shapes
+from harness import landed, shapes
 from harness.shapes import duckdb_text as sql
 
 
@@ -575,3 +575,5 @@ ORACLES = {
     "s09_landed_tables": S9,
     "s10_generic_tab": S10,
 }
+
+ORACLES.update(landed.oracles({name: ORACLES[name] for name in landed.JOB_OUTPUTS}))

@@ -26,7 +26,8 @@ from codonmill.sources.landing import lines_per_table
 from codonmill.sources.sinks import write_table
 from codonmill.sources.stage import load_stage, save_stage
 from codonmill.streaming.landing import load_new_files
-from harness import shapes
+from harness import landed, shapes
+from harness.landed import JOB_OUTPUTS, land, land_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,35 +71,12 @@ def _row_counts(spark: SparkSession, written: dict[str, str]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).select("TABLE_NAME", "N_ROWS")
 
 
-def t14_refresh_kegg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land every list and link table, refresh them all, count what was written."""
+def _refresh_all(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """Land every raw table of a source, refresh them all, count what was written."""
     landing, target = shared_folder(spark), shared_folder(spark)
-
-    def land(table: str) -> None:
-        land_lines(shapes.raw(spark, sf_dir, table), f"{landing}/kegg_human_{table}")
-
     with ThreadPoolExecutor(4) as pool:
-        list(pool.map(land, REGISTRY["kegg"]))
-    return _row_counts(spark, Pipeline(spark, "kegg", landing, target).refresh())
-
-
-def t14_refresh_ncbi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land gzip annotation files and JSON records, refresh, count what was written."""
-    landing, target = shared_folder(spark), shared_folder(spark)
-
-    def land(table: str) -> None:
-        raw, path = shapes.raw(spark, sf_dir, table), f"{landing}/ncbi_human_{table}"
-        if table == "gene_summary":
-            info = "array<struct<CHRSTART:int,CHRSTOP:int,EXONCOUNT:int>>"
-            raw.withColumn("GENOMICINFO", F.col("GENOMICINFO").cast(info)).write.json(path)
-        elif table == "snp_summary":
-            raw.write.json(path)
-        else:
-            land_lines(raw, path, header=True, compression="gzip")
-
-    with ThreadPoolExecutor(4) as pool:
-        list(pool.map(land, REGISTRY["ncbi"]))
-    return _row_counts(spark, Pipeline(spark, "ncbi", landing, target).refresh())
+        list(pool.map(lambda table: land(spark, sf_dir, source, table, landing), REGISTRY[source]))
+    return _row_counts(spark, Pipeline(spark, source, landing, target).refresh())
 
 
 def t15_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,20 +251,6 @@ def v04_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Gzip and XML files are one task each, so extracts land as several.
-FILES = 16
-
-
-def land_lines(df: DataFrame, path: str, header: bool = False, compression: str = "none") -> None:
-    """Write rows as tab-separated lines; they hold no tabs and no missing values."""
-    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    if header:
-        # No character starts a comment, so that the leading # of a name stays bare.
-        text.repartition(FILES).write.options(
-            header="true", sep="\t", comment="\u0002", emptyValue="", compression=compression
-        ).csv(path)
-    else:
-        line = F.concat_ws("\t", *[F.col(f"`{c}`") for c in text.columns])
-        text.select(line.alias("value")).write.option("compression", compression).text(path)
 
 
 def s01_tab_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,7 +278,7 @@ def s03_docsum_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.array(F.col("o_custkey").cast("string")).alias("int")).alias("Mim"),
         F.struct(F.array(info).alias("GenomicInfoType")).alias("GenomicInfo"),
         F.struct(F.lit(fv.HUMAN_TAX_ID).alias("TaxID")).alias("Organism"),
-    ).repartition(FILES).write.format("xml").options(rowTag="DocumentSummary", rootTag="DocumentSummarySet").save(path)
+    ).hint("rebalance").write.format("xml").options(rowTag="DocumentSummary", rootTag="DocumentSummarySet").save(path)
     return read_docsum_xml(spark, path, "gene_summary").select(
         "UID",
         "NAME",
@@ -384,49 +348,23 @@ def s10_generic_tab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _jobs() -> dict[str, Query]:
-    outputs = {
-        "t02_gene": ("kegg", "gene", "gene"),
-        "t02_gene_symbol_lookup": ("kegg", "gene", "gene_symbol_lookup"),
-        "t03_disease": ("kegg", "disease", "disease"),
-        "t03_disease_name_lookup": ("kegg", "disease", "disease_name_lookup"),
-        "t04_variant": ("kegg", "variant", "variant"),
-        "t05_module": ("kegg", "module", "module"),
-        "t05_module_name_lookup": ("kegg", "module", "module_name_lookup"),
-        "t06_pathway_gene": ("kegg", "pathway_gene", "pathway_gene_lookup"),
-        "t06_pathway_module": ("kegg", "pathway_module", "pathway_module_lookup"),
-        "t06_pathway_disease": ("kegg", "pathway_disease", "pathway_disease_lookup"),
-        "t06_gene_disease": ("kegg", "gene_disease", "gene_disease_lookup"),
-        "t06_ncbi_gene": ("kegg", "ncbi_gene", "ncbi_gene_lookup"),
-        "t07_gene_info": ("ncbi", "gene_info", "gene_info"),
-        "t07_gene_info_symbol_lookup": ("ncbi", "gene_info", "gene_info_symbol_lookup"),
-        "t07_gene_info_dbxref_lookup": ("ncbi", "gene_info", "gene_info_dbxref_lookup"),
-        "t07_gene_info_otherdesig_lookup": ("ncbi", "gene_info", "gene_info_otherdesig_lookup"),
-        "t07_gene_info_feature_lookup": ("ncbi", "gene_info", "gene_info_feature_lookup"),
-        "t08_gene_orthologs": ("ncbi", "gene_orthologs", "gene_orthologs"),
-        "t09_gene2go": ("ncbi", "gene2go", "gene2go"),
-        "t10_gene_summary": ("ncbi", "gene_summary", "gene_summary"),
-        "t10_gene_summary_symbol_lookup": ("ncbi", "gene_summary", "gene_summary_symbol_lookup"),
-        "t10_gene_summary_omim_lookup": ("ncbi", "gene_summary", "gene_summary_omim_lookup"),
-        "t11_snp_summary": ("ncbi", "snp_summary", "snp_summary"),
-        "t11_snp_summary_gene_lookup": ("ncbi", "snp_summary", "snp_summary_gene_lookup"),
-        "t11_snp_summary_fxn_lookup": ("ncbi", "snp_summary", "snp_summary_fxn_lookup"),
-        "t11_snp_summary_ss_lookup": ("ncbi", "snp_summary", "snp_summary_ss_lookup"),
-    }
     return {
         name: partial(_job, source=source, table=table, output=output)
-        for name, (source, table, output) in outputs.items()
+        for name, (source, table, output) in JOB_OUTPUTS.items()
     }
 
 
 QUERIES: dict[str, Query] = {
     "t01_pathway": t01_pathway,
     **_jobs(),
+    **landed.refreshed_tables(),
+    **landed.QUERIES,
     "t12_j01_gene_merged": _link(
         links.gene_merged, INFO, ("ncbi", "gene_summary", "gene_summary"), GENE, NCBI_GENE
     ),
     "t13_human_rows": t13_human_rows,
-    "t14_refresh_kegg": t14_refresh_kegg,
-    "t14_refresh_ncbi": t14_refresh_ncbi,
+    "t14_refresh_kegg": partial(_refresh_all, source="kegg"),
+    "t14_refresh_ncbi": partial(_refresh_all, source="ncbi"),
     "t15_upsert": t15_upsert,
     "t15_replace_keys": t15_replace_keys,
     "t15_new_files": t15_new_files,
