@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from codonmill.llm import jaccard_join, mixing, packing, quality_rules, secret_scan
 from codonmill.session import shared_folder
@@ -23,10 +22,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Rows with one id and one text are one document; rows without an id stay.
     """
-    groups = jaccard_join.similar_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    first = docs.join(groups, "doc_id", "left_anti")
-    identified = first.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return identified.unionByName(first.where("doc_id IS NULL")).select(*docs.columns)
+    later = jaccard_join.similar_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    first = docs.join(later, "doc_id", "left_anti")
+    # Only rows of repeated ids are brought together.
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    single = first.join(repeated, "doc_id", "left_anti")
+    one_each = first.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(one_each).select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
