@@ -114,7 +114,10 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass, with the input's columns as they were."""
     packed = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))
-    return judge(packed, "_text", rules).where("kept").select("_row.*")
+    # A row number in the condition keeps the filter where it is. Pushed below the measures,
+    # it would repeat every one of them for every mention.
+    numbered = judge(packed, "_text", rules).withColumn("_number", F.monotonically_increasing_id())
+    return numbered.where(F.col("kept") & (F.col("_number") >= 0)).select("_row.*")
 
 
 def _window_hashes(words: str, width: int = 3) -> Column:
