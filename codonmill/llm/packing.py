@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,8 @@ END = 0
 GROUP = 20_000
 ROUNDS = 6
 NEARLY_FULL = 0.99
-CACHED_WORDS = 200_000
+CACHED_WORDS = 600_000
+WORD_END = "</w>"
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -58,6 +60,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, at in self.tokenizer.get_vocab().items():
+            self.ends_word[at] = token.endswith(WORD_END)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
@@ -70,9 +75,34 @@ class Encoder:
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
     def _learn(self, words: set[bytes]) -> None:
-        new = list(words - self.known.keys())
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, coded, strict=True))
+        """Encode words not yet known, those of letters alone many at a time.
+
+        A word of letters is one part to the tokenizer, and its last token, no other, ends
+        a word; so the ids of many of them can be told apart.
+        """
+        spelled = {w: w.decode() for w in words - self.known.keys()}
+        plain = [w for w, text in spelled.items() if text.isalpha()]
+        for at in range(0, len(plain), 1000):
+            some = plain[at : at + 1000]
+            ids = np.array(self._ids([" ".join(map(spelled.__getitem__, some))])[0], "<u4")
+            cuts = [0, *(4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()]
+            if len(cuts) == len(some) + 1:
+                data = ids.tobytes()
+                self.known.update(
+                    (w, data[a:b]) for w, a, b in zip(some, cuts, cuts[1:], strict=False)
+                )
+        rest = list(spelled.keys() - self.known.keys())
+        coded = self._ids(list(map(spelled.__getitem__, rest)))
+        self.known.update((w, np.array(ids, "<u4").tobytes()) for w, ids in zip(rest, coded, strict=True))
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One per Python worker, which runs many tasks and keeps what it has encoded."""
+    return Encoder(path)
 
 
 def pieces(
@@ -92,12 +122,12 @@ def pieces(
     step = 4 * capacity
 
     def cut(batches):
-        encoder = Encoder(path)
+        coder = encoder(path)
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
                 rows = []
-                for id_, coded in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"].to_pylist()), strict=True):
+                for id_, coded in zip(batch["doc_id"].to_pylist(), coder.encode(batch["text"].to_pylist()), strict=True):
                     ids = coded + end
                     for piece, start in enumerate(range(0, len(ids), step)):
                         part = ids[start : start + step]
