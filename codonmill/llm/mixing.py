@@ -166,7 +166,9 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> tuple[DataFram
     placed = spark.read.parquet(f"{folder}/placed")
 
     drawn, pieces = slots(plan, block, seed), block_pieces(placed, block)
-    times = drawn.groupBy("key", "index").agg(F.count(F.lit(1)).alias("times"))
+    # The planner takes the slots for as few as the sources they are made of, and would
+    # broadcast their counts; they are as many as the blocks.
+    times = drawn.groupBy("key", "index").agg(F.count(F.lit(1)).alias("times")).hint("merge")
     # A place in its source tells documents with words apart; those without take nothing.
     by_place = (
         pieces.join(times, ["key", "index"])
