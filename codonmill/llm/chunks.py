@@ -4,8 +4,7 @@ Texts are dealt to chunks of bounded size by a hash. Each chunk sends its distin
 and their counts to the ranges of the key space they fall into; each range adds up the
 counts and answers every chunk with one total per key it sent. A key that stands in a
 third of all texts is one entry per chunk, so no key is hot. Both directions are packed
-arrays: keys as differences of sorted numbers, byte plane by byte plane, which the
-shuffle's own compression makes small.
+arrays: keys as differences of sorted numbers, byte plane by byte plane.
 
 Chunks are a function of the rows, never of the task that reads them, so a lost
 executor's tasks give the same chunks when they run again.
@@ -19,6 +18,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,13 +67,22 @@ def run_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """The bytes of 64-bit numbers, all lowest bytes first."""
-    return np.ascontiguousarray(numbers.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """64-bit numbers as bytes, each of the eight byte planes compressed by itself.
+
+    Planes of random bytes stay as they are; those of small or rare values shrink.
+    """
+    planes = np.ascontiguousarray(numbers.astype(np.uint64).view(np.uint8).reshape(-1, 8).T)
+    coder = zstandard.ZstdCompressor(level=1)
+    coded = [coder.compress(plane.tobytes()) for plane in planes]
+    return np.array([len(c) for c in coded], "<u4").tobytes() + b"".join(coded)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1)
+    ends = np.cumsum(np.frombuffer(data, "<u4", 8)) + 32
+    coder = zstandard.ZstdDecompressor()
+    planes = [coder.decompress(data[a:b]) for a, b in zip([32, *ends], ends, strict=False)]
+    together = np.frombuffer(b"".join(planes), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(together.T).view(np.uint64).reshape(-1)
 
 
 def corpus_totals(

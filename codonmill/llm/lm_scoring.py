@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ from codonmill.llm import chunks
 
 ORDER = 3
 BACKOFF = 0.4
+#: Larger chunks hold fewer distinct n-grams for their size.
+CHUNK_BYTES = 8 * 1024 * 1024
 #: The key under which chunks send their number of words.
 ALL_WORDS = np.uint64(0)
 
@@ -66,9 +69,20 @@ def score_documents(
     """One row per row of `docs`, see SCHEMA; logarithms are to base 10."""
     total = chunks.text_bytes(docs, text)
 
+    def small(batches):
+        """Texts compressed one by one, as all of them are shuffled once."""
+        coder = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            coded = [coder.compress(t) for t in batch["text"].to_pylist()]
+            yield batch.set_column(1, "text", pa.array(coded, pa.binary()))
+
+    def texts_of(table: pa.Table) -> list[bytes]:
+        coder = zstandard.ZstdDecompressor()
+        return [coder.decompress(t) for t in table["text"].to_pylist()]
+
     def keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         every, n_words = [], 0
-        for text_ in table["text"].to_pylist():
+        for text_ in texts_of(table):
             grams = ngrams(text_, order)
             n_words += len(grams[0])
             every += grams
@@ -77,7 +91,7 @@ def score_documents(
 
     def finish(table: pa.Table, found: np.ndarray, totals: np.ndarray) -> pa.Table:
         rows = []
-        for text_ in table["text"].to_pylist():
+        for text_ in texts_of(table):
             grams = ngrams(text_, order)
             n = len(grams[0])
             others = []
@@ -97,9 +111,9 @@ def score_documents(
         F.col(doc_id).cast("long").alias("doc_id"),
         whole.cast("binary").alias("text"),
         chunks.dealt(
-            F.xxhash64(F.col(doc_id), whole), chunks.parts(total, chunks.CHUNK_BYTES)
+            F.xxhash64(F.col(doc_id), whole), chunks.parts(total, CHUNK_BYTES)
         ).alias("chunk"),
-    )
+    ).mapInArrow(small, "doc_id long, text binary, chunk int")
     return chunks.corpus_totals(
         chunked, keys, finish, SCHEMA, chunks.parts(total * order, chunks.RANGE_BYTES)
     )
