@@ -21,6 +21,8 @@ gives an empty mix.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +35,6 @@ BUDGET = 1.5
 MOST = 2
 BLOCK = 64
 SHARD_SLOTS = 4096
-BUCKET_ROWS = 50_000
 SLOTS_AT_ONCE = 10_000
 SEED = 20
 
@@ -93,7 +94,8 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float
 
 def laid_out(sized: DataFrame) -> DataFrame:
     """`sized` with `key` and `start`, the words of the source before the document."""
-    n_buckets = max(1, -(-sized.count() // BUCKET_ROWS))
+    # As many buckets as rows in each, so that neither step of the running total is long.
+    n_buckets = max(1, math.isqrt(sized.count()))
     bucket = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "tag"), F.lit(n_buckets))
     keyed = sized.withColumns({"key": _key(), "_bucket": bucket})
     placed = running_total(keyed, "key", F.col("size"), "start", ["doc_id", "tag"], ["_bucket"])
