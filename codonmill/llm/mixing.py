@@ -8,7 +8,10 @@
 3. A source gets as many slots as its target needs. Every slot draws its output shard by
    a hash, so the source counts of the shards are multinomial, given the totals.
 4. Slots run through the source's blocks in the order of a pseudorandom permutation of
-   their numbers, again and again, so every block is taken equally often, up to one. Slots
+   their numbers, again and again, so every block is taken equally often, up to one. The
+   last round, if it is not a whole one, takes one stretch of neighbouring blocks, in a
+   permutation of its own. Documents lie in the order of a hash, so the stretch is a draw
+   of documents, and all but those at its two ends are taken a whole number of times. Slots
    and blocks are joined by source and number.
 
 All draws are hashes of a seed, the source and a number: reruns agree. Everything is a
@@ -53,9 +56,10 @@ def sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     )
 
 
-def _key(source: str = "source") -> Column:
+def _key(source: Column | None = None) -> Column:
     """A key that is never null: sources keep their order, null comes last and apart."""
-    return F.when(F.col(source).isNull(), F.lit("2")).otherwise(F.concat(F.lit("1"), F.col(source)))
+    source = F.col("source") if source is None else source
+    return F.when(source.isNull(), F.lit("2")).otherwise(F.concat(F.lit("1"), source))
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, most: float = MOST) -> DataFrame:
@@ -128,15 +132,20 @@ def slots(plan: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     listed = ranges.repartition(F.col("key"), F.col("part")).select(
         "key",
         "n_blocks",
+        "n_slots",
         F.explode(
             F.sequence(first, F.least(first + SLOTS_AT_ONCE, F.col("n_slots")) - 1)
         ).alias("slot"),
     )
+    over = F.col("n_slots") % F.col("n_blocks")
+    stretch = F.when(F.col("slot") >= F.col("n_slots") - over, over).otherwise(F.col("n_blocks"))
+    begin = F.pmod(F.xxhash64(F.lit(seed), F.lit("begin"), "key"), F.col("n_blocks"))
+    place = _permuted(F.col("slot") % F.col("n_blocks"), stretch, seed)
     return listed.select(
         F.pmod(F.xxhash64(F.lit(seed), F.lit("shard"), "key", "slot"), F.lit(n_shards)).alias("shard"),
         "key",
         "slot",
-        _permuted(F.col("slot") % F.col("n_blocks"), F.col("n_blocks"), seed).alias("index"),
+        ((begin + place) % F.col("n_blocks")).alias("index"),
     )
 
 
@@ -156,7 +165,7 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> tuple[DataFram
     """The mix as slots and block pieces, and per row of `docs` what it gives to the mix.
 
     slots: (shard, key, slot, index), pieces: (key, index, start, doc_id, tag, from_word,
-    words), taken: (doc_id, tag, size, source_size, target, taken).
+    words), taken: (doc_id, tag, key, size, source_size, target, taken).
     """
     spark = docs.sparkSession
     folder = shared_folder(spark)
@@ -183,6 +192,7 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> tuple[DataFram
         .select(
             "doc_id",
             "tag",
+            "key",
             "size",
             "source_size",
             "target",
@@ -193,16 +203,27 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> tuple[DataFram
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """Whole documents in about the numbers of the mix: each as often as it is taken, rounded.
+    """Whole documents in the numbers of the mix: each as often as it is taken, rounded.
 
-    Documents that are taken less than half are left out.
+    Only documents at the two ends of a source's last round are taken a broken number of
+    times, so a source's words miss its target by about one document at most. Rows alike in
+    id, text and source share what they are taken; a hash of row and position deals out what
+    does not come to all of them.
     """
     _, _, taken = mix(docs)
-    copies = taken.groupBy("doc_id", "tag").agg(
-        F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("_copies")
+    times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0)
+    wanted = (
+        taken.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), F.col("key").alias("_key"))
+        .agg(F.count(F.lit(1)).alias("_rows"), F.sum(times).cast("long").alias("_times"))
+        .where("_times > 0")
     )
-    wanted = copies.where("_copies > 0").withColumnRenamed("doc_id", "_id").withColumnRenamed("tag", "_tag")
     tag = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    joined = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_id"]) & (tag == wanted["_tag"]))
-    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    same = docs["doc_id"].eqNullSafe(wanted["_id"]) & (tag == wanted["_tag"])
+    keyed = docs.withColumn("_position", F.monotonically_increasing_id())
+    joined = keyed.join(wanted, same & (_key(docs["source"].cast("string")) == wanted["_key"]))
+    drawn = F.pmod(F.xxhash64(F.lit(SEED), F.lit("copy"), "_tag", "_position"), F.col("_rows"))
+    more = (drawn < F.col("_times") % F.col("_rows")).cast("long")
+    copies = F.floor(F.col("_times") / F.col("_rows")) + more
+    repeated = joined.withColumn("_copies", copies).where("_copies > 0")
+    repeated = repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     return repeated.select(*[docs[c] for c in docs.columns])

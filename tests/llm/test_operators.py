@@ -373,6 +373,29 @@ def test_mix_of_hard_rows(spark):
     assert mixing.mix(sourced(spark, []))[2].count() == mixing.mixed_documents(sourced(spark, [])).count() == 0
 
 
+def mixed_against_targets(spark):
+    """{source: (words of the mixed documents, target)}, longest document; source "a" has two thirds of the rows."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(3000):
+        source = "a" if i % 3 else "bcdef"[i // 3 % 5]
+        rows.append((i, "w " * int(rng.integers(1, 900)), source, "", ""))
+    rows += [(9999, "w " * 500, "g", "", "")] * 60
+    sizes, words = Counter(), Counter()
+    for r in rows:
+        sizes[r[2]] += len(r[1]) // 2
+    for r in mixing.mixed_documents(sourced(spark, rows)).collect():
+        words[r.source] += len(r.text) // 2
+    return {s: (words[s], t) for s, t in brute.targets(sizes).items()}
+
+
+def test_mixed_documents_meet_targets(spark):
+    """Each source, one of them hot, comes within a document of its target; alike rows by a draw."""
+    got = mixed_against_targets(spark)
+    for source, (words, target) in got.items():
+        assert abs(words - target) <= (900 + mixing.BLOCK if source != "g" else 0.2 * target), got
+
+
 # --- 8 -----------------------------------------------------------------------
 
 
