@@ -1,11 +1,14 @@
 """License notices by exact set-similarity join of text blocks with templates.
 
-A block is a line of a text. It matches a template if it holds at least `CONTAINMENT` of
-the template's distinct words. All words of templates are ordered by the number of
+A template is matched by `WIDTH` times its words in a row, across lines, if they hold at
+least `CONTAINMENT` of its distinct words. Blocks are twice the longest such window, one
+window apart, so every window lies within a block. On request a block is a line of a text
+instead, however long, and matches as a whole. All words of templates are ordered by the number of
 documents that hold them, over the whole corpus. If a template of n words needs k of them,
 a matching block holds one of its n - k + 1 rarest words, so only blocks with such a word
 are joined with that template, by word. A block with too few template words for k, or
-whose words after the shared one are too few, is dropped; all others are compared as sets.
+whose words after the shared one are too few, is dropped; all others are compared as sets,
+and then every window of those that hold enough.
 
 The base finds fixed phrases as consecutive words and is independent of the templates.
 
@@ -68,6 +71,7 @@ TEMPLATES = {
     ],
 }
 CONTAINMENT = 0.9
+WIDTH = 2
 
 
 def _separated(text: Column) -> Column:
@@ -115,16 +119,28 @@ def phrase_places(docs: DataFrame, phrases: dict[str, str] = PHRASES) -> DataFra
 
 def words_of(template: str) -> list[str]:
     """Distinct words of a template (ASCII), in their order."""
-    cleaned = "".join(c if c.isalnum() else " " for c in template.lower())
-    return list(dict.fromkeys(cleaned.split()))
+    return list(dict.fromkeys(_all_words(template)))
+
+
+def _all_words(template: str) -> list[str]:
+    return "".join(c if c.isalnum() else " " for c in template.lower()).split()
+
+
+def window_of(template: str) -> int:
+    """Words in a row that may match a template: its own, and as many between them."""
+    return WIDTH * len(_all_words(template))
 
 
 def template_matches(
     docs: DataFrame,
     templates: dict[str, list[str]] = TEMPLATES,
     containment: float = CONTAINMENT,
+    lines: bool = False,
 ) -> DataFrame:
-    """(doc_id, tag, block, label, containment): every block that meets the threshold."""
+    """(doc_id, tag, block, label, containment): every block that meets the threshold.
+
+    Blocks are stretches of words, looked at by windows, or else `lines`.
+    """
     spark = docs.sparkSession
     known = sorted({w for texts in templates.values() for t in texts for w in words_of(t)})
     words = F.split(_separated(F.col("text")), " ")
@@ -138,23 +154,33 @@ def template_matches(
             own = sorted(words_of(text), key=rank.__getitem__)
             needed = math.ceil(containment * len(own) - 1e-9)
             for place, word in enumerate(own[: len(own) - needed + 1]):
-                prefixes.append((word, label, number, place, needed, own))
+                prefixes.append((word, label, number, place, needed, own, window_of(text)))
     table = spark.createDataFrame(
-        prefixes, "word string, label string, number int, place int, needed int, own array<string>"
+        prefixes, "word string, label string, number int, place int, needed int, own array<string>, window int"
     )
     rare = sorted({p[0] for p in prefixes})
     least = min(p[4] for p in prefixes)
 
     # Words of a block that stand in templates, in the global order.
     ordered = F.lit(sorted(known, key=rank.__getitem__))
-    lines = docs.select("doc_id", "tag", F.posexplode(F.split("text", "\n")).alias("block", "line")).select(
-        "doc_id", "tag", "block", F.split(_separated(F.col("line")), " ").alias("_words")
+    if lines:
+        cut = docs.select("doc_id", "tag", F.posexplode(F.split("text", "\n")).alias("block", "line")).select(
+            "doc_id", "tag", "block", F.split(_separated(F.col("line")), " ").alias("_words")
+        )
+    else:
+        step = max(window_of(t) for texts in templates.values() for t in texts)
+        last = F.greatest(F.ceil(F.size("_all") / step).cast("int") - 2, F.lit(0))
+        stretches = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("_all", i * step + 1, 2 * step))
+        cut = docs.select("doc_id", "tag", words.alias("_all")).select(
+            "doc_id", "tag", F.posexplode(stretches).alias("block", "_words")
+        )
+    blocks = cut.where(F.arrays_overlap("_words", F.lit(rare))).select(
+        "doc_id", "tag", "block", "_words", F.array_intersect(ordered, "_words").alias("_held")
     )
-    blocks = lines.where(F.arrays_overlap("_words", F.lit(rare))).select(
-        "doc_id", "tag", "block", F.array_intersect(ordered, "_words").alias("_held")
-    )
-    probes = blocks.where(F.size("_held") >= least).select(
-        "doc_id", "tag", "block", "_held", F.posexplode("_held").alias("_place", "word")
+    probes = (
+        blocks.where(F.size("_held") >= least)
+        .withColumn("word", F.explode(F.array_intersect("_held", F.lit(rare))))
+        .withColumn("_place", F.array_position("_held", F.col("word")).cast("int") - 1)
     )
     joined = probes.join(table, "word")
     left = 1 + F.least(F.size("own") - F.col("place") - 1, F.size("_held") - F.col("_place") - 1)
@@ -163,15 +189,21 @@ def template_matches(
     matches = joined.where(
         (F.size("_held") >= F.col("needed")) & (left >= F.col("needed"))
     ).where((F.size(shared) >= F.col("needed")) & (F.get(shared, F.lit(0)) == F.col("word")))
-    return matches.select(
-        "doc_id", "tag", "block", "label", (F.size(shared) / F.size("own")).alias("containment")
-    )
+    if lines:
+        best = F.size(shared)
+    else:
+        starts = F.sequence(F.lit(1), F.size("_words"))
+        held_from = lambda i: F.size(F.array_intersect("own", F.slice("_words", i, F.col("window"))))
+        best = F.array_max(F.transform(starts, held_from))
+    counted = matches.withColumn("_best", best).where(F.col("_best") >= F.col("needed"))
+    return counted.select("doc_id", "tag", "block", "label", (F.col("_best") / F.size("own")).alias("containment"))
 
 
-def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lines: bool = True) -> DataFrame:
     """Per document: words, base phrases and their places, labels of both kinds, score.
 
-    The score is the best containment found, or 1 where a base phrase stands.
+    The score is the best containment found, or 1 where a base phrase stands. With `lines`,
+    a notice has to stand in one line; without, as in op6, it may be wrapped.
     """
     given = docs.select(
         F.col(doc_id).alias("doc_id"),
@@ -179,7 +211,7 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         F.col(text).alias("text"),
     )
     found = (
-        template_matches(given)
+        template_matches(given, lines=lines)
         .groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"))
         .agg(F.collect_set("label").alias("_labels"), F.max("containment").alias("_best"))
     )

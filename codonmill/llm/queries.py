@@ -58,7 +58,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.report(_documents(spark, sf_dir))
+    return license_scan.report(_documents(spark, sf_dir), lines=False)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -333,6 +333,48 @@ def test_licenses(make, documents, empty):
     assert license_scan.report(empty).count() == 0
 
 
+def windowed_licenses(text):
+    """(labels, score) by every window of words, apart from base phrases."""
+    import re
+
+    low = "".join(c.lower() if c.isascii() else c for c in text or "")
+    found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    best, more = 0.0, set()
+    for label, texts in license_scan.TEMPLATES.items():
+        for text_ in texts:
+            own, width = set(license_scan.words_of(text_)), license_scan.window_of(text_)
+            for i, word in enumerate(found):
+                share = len(own & set(found[i : i + width])) / len(own) if word in own else 0.0
+                if share >= license_scan.CONTAINMENT:
+                    more.add(label)
+                    best = max(best, share)
+    return more, best
+
+
+def test_wrapped_licenses(spark, make, documents):
+    """Notices over several lines, as comments, wherever they begin; scattered words are none."""
+    import textwrap
+
+    rows = [(0, "this work is\nlicensed under the gnu general public license version 3")]
+    for label, texts in license_scan.TEMPLATES.items():
+        for text in texts:
+            for at in range(0, 130, 13):
+                wrapped = "\n * ".join(textwrap.wrap(text, 30))
+                rows.append((len(rows), "filler " * at + "\n * " + wrapped + "\n" + "more " * (at % 50)))
+            rows.append((len(rows), (" filler" * 60 + " ").join(text.split())))
+    got = {r.doc_id: r for r in license_scan.report(make(rows), lines=False).collect()}
+    for doc_id, text in rows:
+        more, best = windowed_licenses(text)
+        row = got[doc_id]
+        assert set(filter(None, row.labels.split(","))) == more | set(filter(None, row.base_labels.split(",")))
+        assert row.score == (1.0 if row.n_base else best)
+    assert got[0].labels == "gpl-3" and sum(r.labels != "" for r in got.values()) == 1 + 10 * (len(rows) - 1) // 11
+    got = {r.doc_id: r for r in queries.op6_license_scan(spark, SF).collect()}
+    for doc_id, text in given(documents):
+        more, best = windowed_licenses(text)
+        assert set(filter(None, got[doc_id].labels.split(","))) == more | set(plain_licenses(text)[4].split(",")) - {""}
+
+
 # --- 7 -----------------------------------------------------------------------
 
 
