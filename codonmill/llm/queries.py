@@ -12,13 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codonmill.llm import (
+    conversation_trie,
     embedding_dedup,
+    fill_in_middle,
     jaccard_join,
     license_scan,
     lm_scoring,
     mixing,
     packing,
     quality_rules,
+    run_index_dedup,
     secret_scan,
     sql,
     substring_dedup,
@@ -81,6 +84,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = run_index_dedup.remove_repeats(_documents(spark, sf_dir))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = fill_in_middle.restore(fill_in_middle.transform(_documents(spark, sf_dir)))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return both.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.ordered_turns(_table(spark, sf_dir, "conversations"))
+    return conversation_trie.trie(*conversation_trie.rebuilt(turns)).drop("p1", "p2")
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_substring_dedup": op2_substring_dedup,
@@ -92,8 +111,13 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_suffix_array_dedup": op11_suffix_array_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLES: dict[str, str] = {
     "op10_quality_rules": sql.quality_rules(),
+    "op12_fill_in_middle": sql.fill_in_middle(),
+    "op13_conversation_trie": sql.conversation_trie(),
 }
