@@ -16,7 +16,7 @@ A string of `LENGTH` bytes that also starts anywhere else is removed, wherever i
    elsewhere in the bucket (`RunIndex.matches`); samples are as many as runs, few where
    texts repeat. Places with `LENGTH` bytes or more, and segments with two places, are
    repeated.
-4. Marks whose distinct segments are more than `BUCKET` / 4 bytes, as those in a passage
+4. Marks whose distinct segments are more than `BUCKET` / 2 bytes, as those in a passage
    that very many texts share, would not fit a bucket. Their windows are counted by 128-bit
    digests instead, which any number of tasks can share.
 5. Repeated stretches go back to the texts, which are cut.
@@ -31,8 +31,8 @@ empty table.
 
 from __future__ import annotations
 
-import hashlib
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,7 @@ from codonmill.session import shared_folder
 LENGTH = 400
 GRAM = 16
 #: Bytes of segments in a bucket, on average.
-BUCKET = 2 * 1024 * 1024
+BUCKET = 1024 * 1024
 #: A segment has so many windows at most; longer ones are cut in several.
 MOST_WINDOWS = 4096
 #: Bytes that are hashed at a time.
@@ -158,31 +158,45 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def suffix_order(text: np.ndarray) -> np.ndarray:
     """Places of all suffixes in their order, by doubling the length they are sorted by.
 
-    Only places whose rank is shared are looked at again.
+    The text ends with a byte that it has nowhere else in its last eight. Only places whose rank
+    is shared are looked at again. What is sorted is one number for each place: rank, rank
+    of what follows, and the place itself in its low bits, where these fit 64 bits.
     """
     n = len(text)
-    keys = eights(text)
-    order = np.argsort(keys)
-    ordered = keys[order]
+    bits = max(1, int(n).bit_length())
+    packs = 3 * bits <= 64
+    low = np.uint64((1 << bits) - 1)
+    if packs:
+        span = min(8, (64 - bits) // 8)
+        keys = eights(text) >> np.uint64(64 - 8 * span)
+        mixed_keys = np.sort((keys << np.uint64(bits)) | np.arange(n, dtype=np.uint64))
+        order = (mixed_keys & low).astype(np.int64)
+        ordered = mixed_keys >> np.uint64(bits)
+    else:
+        span, keys = 8, eights(text)
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
     new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
-    slots = np.arange(n)
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1
-    rank[order] = np.maximum.accumulate(np.where(new, slots, 0))
-    span = 8
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     # Slots of the order that share their rank with a neighbour.
     open_slots = np.flatnonzero(~(new & np.append(new[1:], True)))
     while len(open_slots):
         places = order[open_slots]
-        own = rank[places]
-        nxt = rank[np.minimum(places + span, n)] + 1
-        again = np.argsort((own << 32) | nxt)
-        places, own, nxt = places[again], own[again], nxt[again]
+        pair = (rank[places].astype(np.uint64) << np.uint64(bits if packs else 32)) | (
+            rank[np.minimum(places + span, n)] + 1
+        ).astype(np.uint64)
+        if packs:
+            sorted_pairs = np.sort((pair << np.uint64(bits)) | places.astype(np.uint64))
+            places, pair = (sorted_pairs & low).astype(np.int64), sorted_pairs >> np.uint64(bits)
+        else:
+            again = np.argsort(pair, kind="stable")
+            places, pair = places[again], pair[again]
         order[open_slots] = places
-        fresh = np.concatenate(([True], (own[1:] != own[:-1]) | (nxt[1:] != nxt[:-1])))
+        fresh = np.concatenate(([True], pair[1:] != pair[:-1]))
         rank[places] = open_slots[np.maximum.accumulate(np.where(fresh, np.arange(len(places)), 0))]
-        shared = ~(fresh & np.append(fresh[1:], True))
-        open_slots = open_slots[shared]
+        open_slots = open_slots[~(fresh & np.append(fresh[1:], True))]
         span *= 2
     return order
 
@@ -333,10 +347,14 @@ def _windowed(batches):
             )
 
 
-def _counted_windows(contents: DataFrame) -> DataFrame:
-    """As `_searched`, for segments of marks that no bucket can hold."""
+def _counted_windows(contents: DataFrame, written: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """As `_searched`, for segments of marks that no bucket can hold.
+
+    What a join brings to very frequent keys is written, so that the join can deal them out.
+    """
     rows = contents.mapInArrow(_windowed, "w1 long, w2 long, at int, mark long, digest long, places long")
     twice = rows.groupBy("w1", "w2").agg(F.sum("places").alias("n")).where("n > 1").select("w1", "w2")
+    twice = written(twice, "twice")
     found = rows.join(twice, ["w1", "w2"]).groupBy("mark", "digest").agg(F.sort_array(F.collect_set("at")).alias("s"))
     before = F.filter("s", lambda x, i: (i == 0) | (F.get("s", i - 1) < x - 1))
     last = F.filter("s", lambda x, i: (i == F.size("s") - 1) | (F.get("s", i + 1) > x + 1))
@@ -394,12 +412,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .agg(*[F.first(c).alias(c) for c in ("places", "mark_bytes", "content")]),
         "contents",
     )
-    hot = F.col("mark_bytes") > bucket // 4
+    hot = F.col("mark_bytes") > bucket // 2
     number = F.pmod(F.xxhash64("mark"), F.lit(max(1, math.ceil(total / bucket)))).alias("bucket")
     searched = (
         contents.where(~hot).select("mark", "digest", "places", "content", number).groupBy("bucket").applyInArrow(_searched, _FOUND)
     )
-    counted = _counted_windows(contents.where(hot).select("mark", "digest", "places", "content"))
+    counted = _counted_windows(contents.where(hot).select("mark", "digest", "places", "content"), written)
     found = written(searched.where("size(low) > 0").unionByName(counted), "found")
 
     there = placed.select("k1", "k2", "start", "mark", "digest")
@@ -410,6 +428,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .groupBy("k1", "k2")
         .agg(F.flatten(F.collect_list("spans")).alias("spans"))
     )
+    spans = written(spans, "spans")
     return rows.select("doc_id", "text", "k1", "k2").join(spans, ["k1", "k2"], "left").select(
         "doc_id", "text", "spans.low", "spans.high"
     ).mapInArrow(_removed, SCHEMA)
