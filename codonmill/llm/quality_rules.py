@@ -81,15 +81,17 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     ).drop("_words", "_lines")
     counted = _repeated_words(windows)
     per_word = F.greatest(F.col("n_words"), F.lit(1))
-    return counted.withColumns(
-        {
-            "mean_word_chars": F.col("word_chars") / per_word,
-            "symbol_share": F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)),
-            "stop_word_share": F.col("n_stop_words") / per_word,
-            "dup_line_share": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-            "repeat_word_share": F.col("n_repeat_words") / per_word,
-        }
-    ).select(*own, *names)
+    shares = {
+        "mean_word_chars": F.col("word_chars") / per_word,
+        "symbol_share": F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)),
+        "stop_word_share": F.col("n_stop_words") / per_word,
+        "dup_line_share": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
+        "repeat_word_share": F.col("n_repeat_words") / per_word,
+    }
+    measured = [shares[c].alias(c) if c in shares else F.col(c) for c in names]
+    # A row's measures are generated as one row of values. A filter on them then stays above,
+    # as a filter on generated values does; below, it would repeat every measure it mentions.
+    return counted.select(*own, F.inline(F.array(F.struct(*measured))))
 
 
 def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
@@ -114,10 +116,7 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass, with the input's columns as they were."""
     packed = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))
-    # A row number in the condition keeps the filter where it is. Pushed below the measures,
-    # it would repeat every one of them for every mention.
-    numbered = judge(packed, "_text", rules).withColumn("_number", F.monotonically_increasing_id())
-    return numbered.where(F.col("kept") & (F.col("_number") >= 0)).select("_row.*")
+    return judge(packed, "_text", rules).where("kept").select("_row.*")
 
 
 def _window_hashes(words: str, width: int = 3) -> Column:
