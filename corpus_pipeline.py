@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from codonmill.llm import jaccard_join, mixing, packing, quality_rules, secret_scan
 from codonmill.session import shared_folder
@@ -20,15 +21,29 @@ def passing_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
-    Rows with one id and one text are one document; rows without an id stay.
+    Rows with one id and one text are one document, of which one row stays. Where an id has
+    several texts, each is a document of its own: its first by digest goes by the id, the
+    others by a number drawn from id and digest, above all usual ids. Rows without an id stay.
     """
-    later = jaccard_join.similar_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    first = docs.join(later, "doc_id", "left_anti")
+    folder = shared_folder(spark)
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    texts = docs.where("doc_id IS NOT NULL").groupBy("doc_id")
+    repeated = texts.agg(F.count(F.lit(1)).alias("_rows"), F.min(digest).alias("_first")).where("_rows > 1")
+    drawn = F.shiftrightunsigned(F.xxhash64("doc_id", digest), 2).bitwiseOR(F.lit(1 << 62))
+    own = F.when(F.col("_first") != digest, drawn).otherwise(F.col("doc_id"))
+    named = docs.join(written(repeated, "repeated"), "doc_id", "left").withColumn("_own", own)
+
+    groups = jaccard_join.similar_groups(named.select("_own", "text"), doc_id="_own")
+    later = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_own"))
+    first = named.join(written(later.distinct(), "later"), "_own", "left_anti")
     # Only rows of repeated ids are brought together.
-    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    single = first.join(repeated, "doc_id", "left_anti")
-    one_each = first.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(one_each).select(*docs.columns)
+    one_each = first.where("_rows > 1").dropDuplicates(["_own"])
+    return first.where("_rows IS NULL").unionByName(one_each).select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
