@@ -98,3 +98,22 @@ def test_stages_take_empty_and_odd_rows(spark):
         ids = Counter(r.doc_id for r in docs.collect())
         assert set(ids) <= {1, None} and (not some or ids)
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_repeated_ids_lose_no_text(spark):
+    """Every (id, text) stays that is no later near copy of one that stays."""
+    text = lambda a: " ".join(f"{a}{i}" for i in range(200))
+    rows = [
+        (1, text("a")), (1, text("b")), (1, text("a")), (2, text("c")), (2, text("c")), (3, text("c")),
+        # Texts of one id that belong to unlike groups do not join these.
+        (4, text("x")), (5, text("x") + " end"), (4, text("z")), (6, text("z") + " end"), (7, text("b") + " more"),
+        (None, text("n")), (None, text("n")), (8, None), (9, ""), (8, "short"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter(map(tuple, corpus_pipeline.one_of_each_group(spark, docs, SF).collect()))
+    assert max(n for (i, _), n in kept.items() if i is not None) == 1
+    expected = {(1, text("a")), (1, text("b")), (2, text("c")), (None, text("n")), (8, None), (9, ""), (8, "short")}
+    groups = [{(4, text("x")), (5, text("x") + " end")}, {(4, text("z")), (6, text("z") + " end")}]
+    assert expected <= set(kept) and kept[None, text("n")] == 2
+    rest = set(kept) - expected
+    assert all(len(rest & group) == 1 for group in groups) and len(rest) == 2
