@@ -28,7 +28,8 @@ class TableSpec:
     several tables are written as Parquet first. `keep` is a filter that leaves
     few of the raw rows, as the taxon does: what it leaves is packed into fewer
     partitions. `order_by` names a processed table whose files are kept in order, and by which
-    column.
+    column. Where a job looks at the rows of all files together, `whole` is set, and rows of
+    new files cannot be added to what was made of the others.
     """
 
     source: str
@@ -38,6 +39,7 @@ class TableSpec:
     stage: bool = False
     keep: Job | None = None
     order_by: tuple[str, str] | None = None
+    whole: bool = False
 
     def loose(self, raw: DataFrame) -> dict[str, DataFrame]:
         """Processed tables by full name, before types are applied."""
@@ -76,7 +78,8 @@ def _is_xml(path: str) -> bool:
 
 
 def _kegg(name: str, jobs: dict[str, Job]) -> TableSpec:
-    return TableSpec("kegg", name, jobs, partial(_read_list, name=name))
+    # Symbols are numbered over all rows of a gene.
+    return TableSpec("kegg", name, jobs, partial(_read_list, name=name), whole=name == "gene")
 
 
 def _link(name: str, job: Job = kegg.link) -> TableSpec:

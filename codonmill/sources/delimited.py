@@ -37,15 +37,19 @@ def read_tab_list(
 
 
 def fields(
-    lines: DataFrame, columns: Sequence[str], position: bool = False, surplus: bool = False
+    lines: DataFrame,
+    columns: Sequence[str],
+    position: bool = False,
+    surplus: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Project named fields from a frame of text lines, batch or streaming."""
+    """Project named fields from a frame of text lines, batch or streaming; `keep` its other columns."""
     parts = F.split("value", TAB, -1)
     picked = [F.get(parts, F.lit(i)).alias(name.upper()) for i, name in enumerate(columns)]
     if surplus:
         beyond = F.slice(parts, len(columns) + 1, F.greatest(F.size(parts) - len(columns), F.lit(1)))
         picked.append(F.when(F.size(parts) > len(columns), beyond).alias(SURPLUS))
-    return lines.select(*picked, *(_position() if position else []))
+    return lines.select(*picked, *keep, *(_position() if position else []))
 
 
 def read_tab_header(

@@ -52,6 +52,28 @@ def table_of(file_path: Column, source: str, tables: Iterable[str]) -> Column:
     )
 
 
+def listing(spark: SparkSession, folder: str, source: str, tables: Iterable[str]) -> DataFrame:
+    """(table, path, length, modified) of the files in a landing folder; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.select(
+        table_of(F.col("path"), source, tables).alias("table"),
+        "path",
+        "length",
+        F.col("modificationTime").alias("modified"),
+    )
+
+
+def file_changes(now: DataFrame, before: DataFrame) -> DataFrame:
+    """(table, path, change): files of `now` that `before` lacks are added, and the other way gone.
+
+    A file that has another length or time is both.
+    """
+    same = ["table", "path", "length", "modified"]
+    added = now.join(before, same, "left_anti").withColumn("change", F.lit("added"))
+    gone = before.join(now, same, "left_anti").withColumn("change", F.lit("gone"))
+    return added.unionByName(gone).select("table", "path", "change")
+
+
 def lines_per_table(
     spark: SparkSession, folder: str, source: str, tables: Iterable[str]
 ) -> DataFrame:

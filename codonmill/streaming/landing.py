@@ -1,7 +1,8 @@
 """Newly landed list files, each loaded once.
 
 Structured Streaming remembers in its checkpoint which files were read; a run
-with `availableNow` takes what landed since the last one, and ends.
+with `availableNow` takes what landed since the last one, and ends. `load_new_files` adds the
+rows of new files; `merge_new_files` lets them take the place of older rows.
 """
 
 from __future__ import annotations
@@ -11,16 +12,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from codonmill import fixed_values as fv
+from codonmill.plans.ranged import save_ranged, update_ranged
 from codonmill.plans.registry import REGISTRY, spec
 from codonmill.schemas import for_sink
+from codonmill.session import shared_folder
 from codonmill.sources.delimited import fields
 from codonmill.sources.landing import landing_glob, longer_names, table_of
+from codonmill.sources.versions import TableSet
 
 SOURCE = "kegg"
+LANDED = "LANDED"
 
 
-def stream_list(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """Raw rows of one list table, from files of that table only."""
+def stream_list(spark: SparkSession, folder: str, table: str, landed: bool = False) -> DataFrame:
+    """Raw rows of one list table, from files of that table only.
+
+    With `landed`, a column LANDED tells when and where a row's file landed.
+    """
     spec(SOURCE, table)
     lines = spark.readStream.option("recursiveFileLookup", "true").text(
         landing_glob(folder, SOURCE, table)
@@ -28,7 +36,11 @@ def stream_list(spark: SparkSession, folder: str, table: str) -> DataFrame:
     if longer_names(table, REGISTRY[SOURCE]):
         owner = table_of(F.col("_metadata.file_path"), SOURCE, REGISTRY[SOURCE])
         lines = lines.where(owner == table)
-    return fields(lines.where(F.col("value") != ""), fv.KEGG_RAW_COLUMNS[table])
+    lines = lines.where(F.col("value") != "")
+    if landed:
+        when = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+        lines = lines.withColumn(LANDED, when)
+    return fields(lines, fv.KEGG_RAW_COLUMNS[table], keep=[LANDED] if landed else [])
 
 
 def load_new_files(
@@ -52,3 +64,48 @@ def load_new_files(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def merge_new_files(
+    spark: SparkSession, folder: str, table: str, target: str, checkpoint: str, ranges: int = 64
+) -> StreamingQuery:
+    """Start a run in which the rows of each id that landed replace what is stored of that id.
+
+    `target` is a versioned set of tables. Where files of one batch hold the same id, the rows
+    of the file that landed last count. The tables of an id are replaced together: a name list
+    that has become empty loses its stored rows. A batch is one commit, which also remembers
+    the batch, so a batch that is repeated after a failure changes nothing. Only ranges of ids
+    with a change are written.
+    """
+    one, key = spec(SOURCE, table), fv.KEGG_RAW_COLUMNS[table][0]
+    if table == "gene_disease":
+        raise ValueError("either field of gene_disease may hold the gene, so no field is its id")
+    stream = f"{SOURCE}/{table}@{checkpoint.rstrip('/')}"
+
+    def merge(raw: DataFrame, batch: int) -> None:
+        change = TableSet(spark, target).change()
+        done = change.remembered("stream", stream)
+        if done and done.batch >= batch:
+            return
+        newest = raw.groupBy(F.col(key).alias("_key")).agg(F.max(LANDED).alias("_newest"))
+        last = raw.join(newest, F.col(key).eqNullSafe(F.col("_key")) & (F.col(LANDED) == F.col("_newest")))
+        path = shared_folder(spark)
+        last.select(*fv.KEGG_RAW_COLUMNS[table]).write.parquet(path)
+        made = one.run(spark.read.parquet(path))
+        main = next((df for name, df in made.items() if name in fv.PRIMARY_KEYS), None)
+        with change:
+            for name, df in made.items():
+                own = df.columns[0]
+                if change.parts(name):
+                    update_ranged(change, df, name, own, (df if main is None else main).select(own))
+                else:
+                    save_ranged(change, df, name, own, ranges)
+            change.remember("stream", stream, batch=batch)
+
+    return (
+        stream_list(spark, folder, table, landed=True)
+        .writeStream.foreachBatch(merge)
+        .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{table}")
+        .trigger(availableNow=True)
+        .start()
+    )
