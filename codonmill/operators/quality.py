@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from codonmill import fixed_values as fv
-from codonmill.schemas import rules
+from codonmill.schemas import conform, rules
+
+REPORT = "TABLE_NAME string, RULE string, COLUMN_NAME string, KEY_VALUE string, N_ROWS long"
+BROKEN, ACCEPTED = "BROKEN", "ACCEPTED"
 
 
 def _report(df: DataFrame, table: str, rule: str, column: str, key: Column, n: Column) -> DataFrame:
@@ -44,18 +47,56 @@ def reference_check(child: DataFrame, parent: DataFrame, table: str) -> DataFram
     return _report(orphans, table, "reference", column, F.col(column), F.col("_n"))
 
 
-def column_checks(df: DataFrame, table: str) -> DataFrame:
-    """Missing, too wide and wrongly typed values per column, in one pass over the table."""
+def _column_rules(df: DataFrame, table: str) -> list[tuple[str, str, Column]]:
+    """(rule, column, whether a row breaks it) for the table's columns."""
     kinds = {name.upper(): kind for name, kind in df.dtypes}
-    counts = []
+    found = []
     for rule in rules(table):
         col = F.col(rule.name)
         if rule.required:
-            counts.append(("not_null", rule.name, col.isNull()))
+            found.append(("not_null", rule.name, col.isNull()))
         if rule.width:
-            counts.append(("width", rule.name, F.length(col) > rule.width))
+            found.append(("width", rule.name, F.length(col) > rule.width))
         if rule.type != "string" and kinds[rule.name] == "string":
-            counts.append(("type", rule.name, col.isNotNull() & col.try_cast(rule.type).isNull()))
+            found.append(("type", rule.name, col.isNotNull() & col.try_cast(rule.type).isNull()))
+    return found
+
+
+def split_rows(df: DataFrame, table: str, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Write rows that keep the column rules and rows that break some, in one pass over `df`.
+
+    `df` is the table before its types are applied. Returns the accepted rows with their
+    final types, the rejected ones as they came with an array BROKEN of `rule column`, and
+    the violations, which are counted while the rows are written. All three equal what
+    `column_checks` finds; the rejected rows also tell which rows these are.
+    """
+    checks = _column_rules(df, table)
+    names = [f"{rule} {column}" for rule, column, _ in checks]
+    broken = F.array_compact(
+        F.array(*[F.when(bad, name) for name, (_, _, bad) in zip(names, checks, strict=True)])
+    ).cast("array<string>")
+    marked = df.withColumn(BROKEN, broken)
+    counts = Observation()
+    if names:
+        marked = marked.observe(
+            counts, *[F.count_if(F.array_contains(BROKEN, name)).alias(name) for name in names]
+        )
+    path = f"{folder.rstrip('/')}/{table}"
+    marked.withColumn(ACCEPTED, F.size(BROKEN) == 0).write.partitionBy(ACCEPTED).parquet(path)
+    stored = df.sparkSession.read.schema(marked.withColumn(ACCEPTED, F.lit(True)).schema).parquet(path)
+    accepted = conform(stored.where(ACCEPTED).drop(BROKEN, ACCEPTED), table)
+    rejected = stored.where(f"NOT {ACCEPTED}").drop(ACCEPTED)
+    found = [
+        (table, rule, column, None, counts.get[name])
+        for name, (rule, column, _) in zip(names, checks, strict=True)
+        if counts.get[name]
+    ]
+    return accepted, rejected, df.sparkSession.createDataFrame(found, REPORT)
+
+
+def column_checks(df: DataFrame, table: str) -> DataFrame:
+    """Missing, too wide and wrongly typed values per column, in one pass over the table."""
+    counts = _column_rules(df, table)
     if not counts:
         return _no_violations(df)
 
@@ -90,9 +131,7 @@ def surplus_check(raw: DataFrame, table: str, column: str) -> DataFrame:
 
 
 def _no_violations(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame(
-        [], "TABLE_NAME string, RULE string, COLUMN_NAME string, KEY_VALUE string, N_ROWS long"
-    )
+    return df.sparkSession.createDataFrame([], REPORT)
 
 
 def all_checks(

@@ -137,3 +137,63 @@ def variant_genes(variant: DataFrame, aliases: DataFrame) -> DataFrame:
     return variant.select("VARIANT_ID", "VARIANT_VERSION", "GENE_SYMBOL").where(named).join(
         aliases.where(named), "GENE_SYMBOL"
     ).select("VARIANT_ID", "VARIANT_VERSION", "GENE_SYMBOL", "GENE_ID", "LOOKUP_SOURCE")
+
+
+#: Order of trust of a symbol: official, given by an authority or as main symbol, alias, other name.
+OFFICIAL, MAIN, ALIAS, OTHER = range(1, 5)
+
+
+def ranked_symbols(
+    gene_info: DataFrame,
+    gene_summary: DataFrame,
+    gene_symbols: DataFrame,
+    info_symbols: DataFrame,
+    summary_symbols: DataFrame,
+) -> DataFrame:
+    """(GENE_SYMBOL, GENE_ID, RANK): every symbol of every gene and how far it is to be trusted.
+
+    The official symbol of a gene comes first, then main symbols of either source, then
+    aliases, then the names that summaries add.
+    """
+    official = F.when(F.col("NOMENCLATURE_STATUS") == 1, OFFICIAL).otherwise(MAIN)
+    first = F.when(F.col("GENE_ALIAS_NO") == 1, MAIN).otherwise(ALIAS)
+    ranked = [
+        (gene_info, official),
+        (gene_summary, F.lit(MAIN)),
+        (gene_symbols, first),
+        (info_symbols, F.lit(ALIAS)),
+        (summary_symbols, F.lit(OTHER)),
+    ]
+    return reduce(
+        DataFrame.unionByName, [df.select("GENE_SYMBOL", "GENE_ID", rank.alias("RANK")) for df, rank in ranked]
+    ).where(F.col("GENE_ID").isNotNull() & ~F.col("GENE_SYMBOL").isin("", fv.NO_SYMBOL))
+
+
+def resolved_symbols(ranked: DataFrame) -> DataFrame:
+    """One row per symbol: the gene that holds it at the best rank, that rank, and its rivals.
+
+    GENE_ID is NULL where several genes hold the symbol at that rank; N_RIVALS are the other
+    genes that hold it at any. Genes of a symbol are reduced to one row each first, then to
+    one row per symbol; both steps combine before their shuffle, so a symbol that very many
+    genes hold is one row per task.
+    """
+    held = ranked.groupBy("GENE_SYMBOL", "GENE_ID").agg(F.min("RANK").alias("RANK"))
+    at = lambda rank: F.col("RANK") == rank
+    every = range(OFFICIAL, OTHER + 1)
+    counted = held.groupBy("GENE_SYMBOL").agg(
+        F.min("RANK").alias("RANK"),
+        F.count(F.lit(1)).alias("_genes"),
+        *[F.count_if(at(rank)).alias(f"_n{rank}") for rank in every],
+        *[F.min(F.when(at(rank), F.col("GENE_ID"))).alias(f"_g{rank}") for rank in every],
+    )
+    alone = [F.when(at(rank) & (F.col(f"_n{rank}") == 1), F.col(f"_g{rank}")) for rank in every]
+    return counted.select(
+        "GENE_SYMBOL", F.coalesce(*alone).alias("GENE_ID"), "RANK", (F.col("_genes") - 1).alias("N_RIVALS")
+    )
+
+
+def variant_gene(variant: DataFrame, resolved: DataFrame) -> DataFrame:
+    """One row per variant: the gene its symbol stands for, NULL where unknown or ambiguous."""
+    return variant.join(resolved, "GENE_SYMBOL", "left").select(
+        "VARIANT_ID", "VARIANT_VERSION", "GENE_SYMBOL", "GENE_ID", "RANK", "N_RIVALS"
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harness import landed, shapes
+from harness import landed, shapes, versioned
 from harness.shapes import duckdb_text as sql
 
 
@@ -577,3 +577,4 @@ ORACLES = {
 }
 
 ORACLES.update(landed.oracles({name: ORACLES[name] for name in landed.JOB_OUTPUTS}))
+ORACLES.update(versioned.oracles(ORACLES))

@@ -26,7 +26,7 @@ from codonmill.sources.landing import lines_per_table
 from codonmill.sources.sinks import write_table
 from codonmill.sources.stage import load_stage, save_stage
 from codonmill.streaming.landing import load_new_files
-from harness import landed, shapes
+from harness import landed, shapes, versioned
 from harness.landed import JOB_OUTPUTS, land, land_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -359,6 +359,7 @@ QUERIES: dict[str, Query] = {
     **_jobs(),
     **landed.refreshed_tables(),
     **landed.QUERIES,
+    **versioned.QUERIES,
     "t12_j01_gene_merged": _link(
         links.gene_merged, INFO, ("ncbi", "gene_summary", "gene_summary"), GENE, NCBI_GENE
     ),
