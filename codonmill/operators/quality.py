@@ -18,7 +18,7 @@ REPORT = "TABLE_NAME string, RULE string, COLUMN_NAME string, KEY_VALUE string,
 BROKEN, ACCEPTED = "BROKEN", "ACCEPTED"
 
 
-def _report(df: DataFrame, table: str, rule: str, column: str, key: Column, n: Column) -> DataFrame:
+def report(df: DataFrame, table: str, rule: str, column: str, key: Column, n: Column) -> DataFrame:
     return df.select(
         F.lit(table).alias("TABLE_NAME"),
         F.lit(rule).alias("RULE"),
@@ -32,7 +32,7 @@ def unique_check(df: DataFrame, table: str) -> DataFrame:
     """Key values of the table's primary key that occur more than once."""
     key = fv.PRIMARY_KEYS[table]
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return _report(counted, table, "unique", key, F.col(key), F.col("_n"))
+    return report(counted, table, "unique", key, F.col(key), F.col("_n"))
 
 
 def reference_check(child: DataFrame, parent: DataFrame, table: str) -> DataFrame:
@@ -44,7 +44,7 @@ def reference_check(child: DataFrame, parent: DataFrame, table: str) -> DataFram
     counted = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     parents = parent.select(F.col(column)).distinct()
     orphans = counted.join(parents, column, "left_anti")
-    return _report(orphans, table, "reference", column, F.col(column), F.col("_n"))
+    return report(orphans, table, "reference", column, F.col(column), F.col("_n"))
 
 
 def _column_rules(df: DataFrame, table: str) -> list[tuple[str, str, Column]]:
@@ -127,7 +127,19 @@ def column_checks(df: DataFrame, table: str) -> DataFrame:
 def surplus_check(raw: DataFrame, table: str, column: str) -> DataFrame:
     """Raw rows with more fields than the table has names for."""
     counted = raw.agg(F.count(column).alias("_n")).where("_n > 0")
-    return _report(counted, table, "surplus", column, F.lit(None), F.col("_n"))
+    return report(counted, table, "surplus", column, F.lit(None), F.col("_n"))
+
+
+def unknown_check(fields: DataFrame, table: str) -> DataFrame:
+    """Records by the name of a field (NAME) that the table has no column for."""
+    counted = fields.groupBy("NAME").agg(F.count(F.lit(1)).alias("_n"))
+    return counted.select(
+        F.lit(table).alias("TABLE_NAME"),
+        F.lit("unknown").alias("RULE"),
+        F.col("NAME").alias("COLUMN_NAME"),
+        F.lit(None).cast("string").alias("KEY_VALUE"),
+        F.col("_n").alias("N_ROWS"),
+    )
 
 
 def _no_violations(df: DataFrame) -> DataFrame:

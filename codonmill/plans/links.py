@@ -50,6 +50,41 @@ def gene_merged(
     )
 
 
+def changed_profiles(
+    before: dict[str, DataFrame], after: dict[str, DataFrame], changed: dict[str, DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """Ids of the profiles that changes of the inputs touch, and these profiles as they are now.
+
+    `before` and `after` are the inputs of `gene_merged` by the names of its arguments, of
+    which `before` needs the lookup only; `changed` has for some of them the GENE_IDs with
+    inserted, changed or removed rows. A listed gene touches the profile that it belonged to
+    and the one that it belongs to. Everything else of the inputs is only looked up by key:
+    `incremental.replace_keys(stored, profiles, "GENE_ID", ids)` is the table made anew.
+    """
+    ids_of = lambda name: changed[name].toDF("GENE_ID").distinct() if name in changed else None
+    listed = [ids_of("gene"), ids_of("ncbi_gene_lookup")]
+    moved = [ids for ids in listed if ids is not None]
+    touched = [ids for ids in (ids_of("gene_info"), ids_of("gene_summary")) if ids is not None]
+    if moved:
+        genes = reduce(DataFrame.unionByName, moved).distinct()
+        for lookup in (before["ncbi_gene_lookup"], after["ncbi_gene_lookup"]):
+            mapped = genes.join(lookup.select("GENE_ID", "NCBI_GENE_ID"), "GENE_ID", "left")
+            touched.append(mapped.select(F.coalesce("NCBI_GENE_ID", "GENE_ID").alias("GENE_ID")))
+    if not touched:
+        raise ValueError("no input has changed")
+    ids = reduce(DataFrame.unionByName, touched).where("GENE_ID IS NOT NULL").distinct()
+
+    links_now = after["ncbi_gene_lookup"]
+    members = links_now.join(ids.toDF("NCBI_GENE_ID"), "NCBI_GENE_ID", "left_semi").select("GENE_ID")
+    near = members.unionByName(ids).distinct()
+    of = lambda name, keys: after[name].join(keys, "GENE_ID", "left_semi")
+    profiles = gene_merged(
+        of("gene_info", ids), of("gene_summary", ids), of("gene", near), of("ncbi_gene_lookup", near)
+    )
+    # A gene that stands under a touched id may belong to a profile that is not.
+    return ids, profiles.join(ids, "GENE_ID", "left_semi")
+
+
 def pathway_genes(pathway: DataFrame, pathway_gene_lookup: DataFrame, gene: DataFrame) -> DataFrame:
     return (
         pathway_gene_lookup.join(pathway.select("PATHWAY_ID", "PATHWAY_NAME"), "PATHWAY_ID")

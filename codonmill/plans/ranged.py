@@ -11,9 +11,13 @@ large, but a range is written in as many files as its size asks for.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codonmill import fixed_values as fv
+from codonmill.operators.quality import REPORT, report, unique_check
 from codonmill.plans.incremental import row_digest
 from codonmill.schemas import for_sink
 from codonmill.session import shared_folder
@@ -102,6 +106,32 @@ def update_ranged(
     return touched
 
 
+def increment_violations(change: Change, incoming: DataFrame, table: str, parents: DataFrame | None = None) -> DataFrame:
+    """What `quality.unique_check` and `reference_check` would find after an update, about its keys.
+
+    Rows that come in for a key replace those stored, so a primary key is broken by the
+    incoming rows alone; a foreign key may also be met by the stored parent. Of a parent in
+    ranges only the key digests of ranges that the incoming keys fall into are read, never its rows.
+    `parents` may hold the keys of the parent that come with the same update, in one column.
+    """
+    reports = []
+    if table in fv.PRIMARY_KEYS:
+        reports.append(unique_check(incoming, table))
+    if table in fv.FOREIGN_KEYS:
+        column, parent = fv.FOREIGN_KEYS[table]
+        keys = incoming.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+        entries = sorted(change.parts(parent), key=lambda e: e.part)
+        lows = [e.low for e in entries]
+        keys = change.spark.read.parquet(_written(keys.withColumn("_part", range_of(F.col(column), lows))))
+        asked = [row[0] for row in keys.select("_part").distinct().collect()]
+        empty = keys.select(F.col(column).cast("string").alias("_key"))
+        stored = _read(change.spark, [e.digests for e in entries if e.part in asked], empty)
+        known = stored if parents is None else stored.unionByName(parents.toDF("_key"))
+        missing = keys.join(known, F.col(column) == F.col("_key"), "left_anti")
+        reports.append(report(missing, table, "reference", column, F.col(column), F.col("_n")))
+    return reduce(DataFrame.unionByName, reports) if reports else incoming.sparkSession.createDataFrame([], REPORT)
+
+
 def _write_parts(
     change: Change, table: str, rows: DataFrame, digests: DataFrame, key: str, lows: list, numbers: list[int]
 ) -> list[Entry]:

@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from codonmill import fixed_values as fv
 from codonmill.operators.ordering import ordered_by
-from codonmill.operators.quality import all_checks, surplus_check
+from codonmill.operators.quality import all_checks, surplus_check, unknown_check
 from codonmill.plans.incremental import replace_keys, upsert
 from codonmill.plans.registry import REGISTRY, TableSpec, spec
 from codonmill.schemas import for_sink, full_name
 from codonmill.session import build_session, shared_folder, size_shuffles
 from codonmill.sources.delimited import SURPLUS, placed
-from codonmill.sources.docsum import union_pages
+from codonmill.sources.docsum import RESCUED, rescued_fields, union_pages
 from codonmill.sources.landing import claimed_files, file_changes, listing
 from codonmill.sources.sinks import write_table
 from codonmill.sources.stage import load_stage, save_stage
@@ -254,6 +254,8 @@ class Pipeline:
             loose.update(spec(self.source, table).loose(raw))
             if SURPLUS in raw.columns:
                 surplus.append(surplus_check(raw, full_name(self.source, table), SURPLUS))
+            if RESCUED in raw.columns:
+                surplus.append(unknown_check(rescued_fields(raw), full_name(self.source, table)))
         return union_pages([all_checks(self.processed, loose), *surplus])
 
     def update(self, name: str, previous: str) -> str:

@@ -14,7 +14,7 @@ from codonmill import fixed_values as fv
 from codonmill.plans import kegg, ncbi
 from codonmill.schemas import conform, full_name
 from codonmill.sources.delimited import read_tab_header, read_tab_list
-from codonmill.sources.docsum import RAW_DDL, read_docsum_json, read_docsum_xml, union_pages
+from codonmill.sources.docsum import RAW_DDL, RESCUED, read_docsum_json, read_docsum_xml, union_pages
 
 Job = Callable[[DataFrame], DataFrame]
 
@@ -65,11 +65,12 @@ def _read_docsum(spark: SparkSession, paths: list[str], name: str) -> DataFrame:
     """Pages of both formats side by side, each read as what it is."""
     xml = [path for path in paths if _is_xml(path)]
     other = [path for path in paths if not _is_xml(path)]
-    pages = [read_docsum_json(spark, other, name)] if other else []
+    pages = [read_docsum_json(spark, other, name, rescue=True)] if other else []
     if xml:
         kinds = T.StructType.fromDDL(RAW_DDL[name])
-        read = read_docsum_xml(spark, xml, name)
-        pages.append(read.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds.fields]))
+        read = read_docsum_xml(spark, xml, name, rescue=True)
+        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds.fields]
+        pages.append(read.select(*typed, RESCUED))
     return union_pages(pages)
 
 

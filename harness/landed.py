@@ -14,7 +14,7 @@ from codonmill.plans.refresh import Pipeline
 from codonmill.schemas import full_name, rules
 from codonmill.session import shared_folder
 from codonmill.sources.delimited import SURPLUS, read_tab_generic, read_tab_header, read_tab_list
-from codonmill.sources.docsum import read_docsum_json
+from codonmill.sources.docsum import read_docsum_json, rescued_fields
 from harness import shapes
 
 #: Processed tables by the name of their job's query: source, raw table, output.
@@ -188,6 +188,31 @@ def s03_mixed_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary_columns(Pipeline(spark, "ncbi", landing).extract("gene_summary"))
 
 
+def s03_rescued_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """XML and JSON records with fields that the table has no column for."""
+    landing = shared_folder(spark)
+    rows, base = orders(spark, sf_dir), f"{landing}/ncbi_human_gene_summary"
+    known = F.col("o_orderkey").cast("string"), F.col("o_orderpriority")
+    more = F.col("o_orderstatus"), F.struct(F.col("o_custkey").alias("Deep"))
+    part = lambda i: rows.where(F.col("o_orderkey") % 2 == i)
+    part(0).select(
+        known[0].alias("_uid"), known[1].alias("Name"), more[0].alias("Extra"), more[1].alias("Nested")
+    ).write.format("xml").options(rowTag="DocumentSummary", rootTag="DocumentSummarySet").save(f"{base}_one.xml")
+    part(1).select(
+        known[0].alias("uid"), known[1].alias("name"), more[0].alias("Extra"), more[1].alias("Nested")
+    ).write.json(f"{base}_two.json")
+    found = rescued_fields(Pipeline(spark, "ncbi", landing).extract("gene_summary"), "UID")
+    # Records within records stay as they were written.
+    return found.withColumn("VALUE", F.regexp_extract("VALUE", "([A-Z0-9]+)", 1)).where("NAME <> 'Nested'").unionByName(
+        found.where("NAME = 'Nested'").withColumn("VALUE", F.regexp_extract("VALUE", "([0-9]+)", 1))
+    )
+
+
+S3_RESCUED = """
+SELECT CAST(o_orderkey AS VARCHAR) AS UID, unnest(['Extra', 'Nested']) AS NAME,
+  unnest([o_orderstatus, CAST(o_custkey AS VARCHAR)]) AS VALUE FROM orders"""
+
+
 def s09_nested_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of a table in folders below its own."""
     landing = shared_folder(spark)
@@ -278,6 +303,7 @@ QUERIES = {
     "s01_ragged_lines": s01_ragged_lines,
     "s02_unlike_headers": s02_unlike_headers,
     "s03_mixed_formats": s03_mixed_formats,
+    "s03_rescued_fields": s03_rescued_fields,
     "s04_mixed_case_pages": s04_mixed_case_pages,
     "s09_nested_folders": s09_nested_folders,
     "s10_ragged_width": s10_ragged_width,
@@ -294,6 +320,7 @@ def oracles(job_oracles: dict[str, str]) -> dict[str, str]:
         "s01_ragged_lines": S1_RAGGED,
         "s02_unlike_headers": S2_UNLIKE,
         "s03_mixed_formats": S4_MIXED,
+        "s03_rescued_fields": S3_RESCUED,
         "s04_mixed_case_pages": S4_MIXED,
         "s09_nested_folders": f"SELECT * FROM ({pathway_gene}) UNION ALL SELECT * FROM ({pathway_gene})",
         "s10_ragged_width": S10_RAGGED,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from codonmill import fixed_values as fv
 from codonmill.operators import quality
 from codonmill.plans import links, ranged
+from codonmill.plans.incremental import replace_keys
 from codonmill.plans.refresh import Pipeline
 from codonmill.plans.registry import spec
 from codonmill.session import shared_folder
@@ -201,6 +202,54 @@ FROM (
 GROUP BY GENE_SYMBOL"""
 
 
+def j01_maintained_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged profile of older inputs, brought up to date from what has changed in them."""
+    after = {
+        "gene_info": _table(spark, sf_dir, "ncbi", "gene_info", "gene_info"),
+        "gene_summary": _table(spark, sf_dir, "ncbi", "gene_summary", "gene_summary"),
+        "gene": _table(spark, sf_dir, "kegg", "gene", "gene"),
+        "ncbi_gene_lookup": _table(spark, sf_dir, "kegg", "ncbi_gene", "ncbi_gene_lookup"),
+    }
+    share = F.pmod(F.xxhash64("GENE_ID"), F.lit(10))
+    old = lambda column, at: F.when(share == at, F.concat(column, F.lit("9"))).otherwise(F.col(column))
+    removed = after["gene"].where(share == 3).withColumn("GENE_ID", F.concat("GENE_ID", F.lit("99")))
+    before = {
+        "gene_info": after["gene_info"].where(share != 0).withColumn("GENE_TYPE", old("GENE_TYPE", 1)),
+        "gene_summary": after["gene_summary"].where(share != 2),
+        "gene": after["gene"].where(share != 4).unionByName(removed),
+        "ncbi_gene_lookup": after["ncbi_gene_lookup"].where(share != 6).withColumn("NCBI_GENE_ID", old("NCBI_GENE_ID", 5)),
+    }
+    changed = {
+        "gene_info": after["gene_info"].where(share < 2).select("GENE_ID"),
+        "gene_summary": after["gene_summary"].where(share == 2).select("GENE_ID"),
+        "gene": after["gene"].where(share == 4).unionByName(removed).select("GENE_ID"),
+        "ncbi_gene_lookup": after["ncbi_gene_lookup"].where(share.isin(5, 6)).select("GENE_ID"),
+    }
+    ids, profiles = links.changed_profiles(before, after, changed)
+    return replace_keys(links.gene_merged(**before), profiles, "GENE_ID", ids)
+
+
+def v04_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of diseases, some of which neither the stored table nor the same update has."""
+    tables = TableSet(spark, shared_folder(spark))
+    one = lambda n: shapes.frame(
+        spark,
+        sf_dir,
+        f"SELECT 'DS' || CAST(o_orderkey AS STRING) AS DISEASE_ID, CAST(1 AS INT) AS DISEASE_NAME_COUNT "
+        f"FROM {{orders}} WHERE o_orderkey % 3 = {n}",
+    )
+    with tables.change() as change:
+        ranged.save_ranged(change, one(0), "kegg_human_disease", "DISEASE_ID", 16)
+    names = shapes.frame(spark, sf_dir, "SELECT 'DS' || CAST(l_orderkey AS STRING) AS DISEASE_ID FROM {lineitem}")
+    return ranged.increment_violations(tables.change(), names, NAMES, one(1).select("DISEASE_ID"))
+
+
+V4_INCREMENT = """
+SELECT 'kegg_human_disease_name_lookup' AS TABLE_NAME, 'reference' AS RULE, 'DISEASE_ID' AS COLUMN_NAME,
+  'DS' || l_orderkey AS KEY_VALUE, count(*) AS N_ROWS
+FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 < 2) GROUP BY l_orderkey"""
+
+
 _LOOSE = """SELECT CASE WHEN event_type <> 'error' THEN 'V' || CAST(user_id AS STRING) END AS VARIANT_ID,
   'name of ' || props || ' ' || event_type AS VARIANT_NAME,
   CASE event_type WHEN 'view' THEN 'x' || CAST(event_id AS STRING) ELSE CAST(event_id AS STRING) END AS VARIANT_VERSION,
@@ -239,8 +288,10 @@ QUERIES = {
     "t14_load_from_stage": t14_load_from_stage,
     "t15_streamed_merge": t15_streamed_merge,
     "t15_ranged_update": t15_ranged_update,
+    "j01_maintained_profile": j01_maintained_profile,
     "j08_resolved_symbols": j08_resolved_symbols,
     "j08_variant_gene": j08_variant_gene,
+    "v04_increment": v04_increment,
     "v03_v05_v06_rejected_rows": v03_v05_v06_rejected_rows,
     "v03_v05_v06_accepted_rows": v03_v05_v06_accepted_rows,
 }
@@ -271,6 +322,8 @@ FROM ({jobs["t04_variant"]}) LEFT JOIN ({resolved}) r USING (GENE_SYMBOL)"""
         "t14_load_from_stage": jobs["t03_disease_name_lookup"],
         "t15_streamed_merge": T15_MERGED,
         "t15_ranged_update": T15_RANGED,
+        "j01_maintained_profile": jobs["t12_j01_gene_merged"],
+        "v04_increment": V4_INCREMENT,
         "j08_resolved_symbols": resolved,
         "j08_variant_gene": variant,
         "v03_v05_v06_rejected_rows": f"{_broken_sql()} WHERE BROKEN <> ''",

@@ -15,7 +15,8 @@ from codonmill.sources.delimited import (
     read_tab_header,
     read_tab_list,
 )
-from codonmill.sources.docsum import read_docsum_json, read_docsum_xml, union_pages
+from codonmill.operators.quality import unknown_check
+from codonmill.sources.docsum import read_docsum_json, read_docsum_xml, rescued_fields, union_pages
 from codonmill.sources.landing import landed_files, lines_per_table
 from codonmill.sources.stage import load_stage, save_stage
 from codonmill.streaming.landing import load_new_files
@@ -364,3 +365,25 @@ def test_shared_folder_follows_the_session(spark):
     assert first != second
     if base:
         assert first.startswith(base)
+
+
+def test_rescued_fields(spark, tmp_path):
+    (tmp_path / "one.json").write_text(
+        '{"uid": "1", "NAME": "a", "odd": null, "More": [1, 2], "other": {"x": "y"}}\n{"UID": "2", "Name": "b"}\nbroken\n'
+    )
+    read = read_docsum_json(spark, str(tmp_path / "one.json"), "gene_summary", rescue=True)
+    found = rescued_fields(read, "UID").collect()
+    assert sorted((r.UID, r.NAME, r.VALUE) for r in found) == [
+        ("1", "More", "[1,2]"), ("1", "odd", None), ("1", "other", '{"x":"y"}')
+    ]
+    assert read.count() == 3 and read.where("RESCUED IS NULL AND NAME = 'b'").count() == 1
+    (tmp_path / "two.xml").write_text(
+        "<S><DocumentSummary uid='3'><Name>c</Name><Odd>x &amp; y</Odd><Deep><A>1</A></Deep><Void/></DocumentSummary>"
+        "<DocumentSummary uid='4'><Name>d</Name></DocumentSummary></S>"
+    )
+    read = read_docsum_xml(spark, str(tmp_path / "two.xml"), "gene_summary", rescue=True)
+    found = {(r.UID, r.NAME): r.VALUE for r in rescued_fields(read, "UID").collect()}
+    assert set(found) == {("3", "Odd"), ("3", "Deep"), ("3", "Void")}
+    assert found["3", "Odd"] == "x & y" and "<A>1</A>" in found["3", "Deep"]
+    report = unknown_check(rescued_fields(read), "t").collect()
+    assert sorted((r.RULE, r.COLUMN_NAME, r.N_ROWS) for r in report) == [("unknown", n, 1) for n in ("Deep", "Odd", "Void")]

@@ -169,3 +169,31 @@ def test_type_check(table):
     assert rows(quality.column_checks(raw, "kegg_human_variant")) == [
         ("kegg_human_variant", "type", "VARIANT_VERSION", None, 1)
     ]
+
+
+def test_rows_split_as_the_checks_count(spark, tmp_path):
+    rows = [("V1", "n", "1", "S"), (None, "n" * 101, "x", "S"), ("V2", None, None, "S" * 21), ("V3", "n", "3", "")]
+    loose = spark.createDataFrame(rows * 2, "VARIANT_ID string, VARIANT_NAME string, VARIANT_VERSION string, GENE_SYMBOL string")
+    accepted, rejected, found = quality.split_rows(loose, "kegg_human_variant", str(tmp_path))
+    assert sorted(map(tuple, accepted.collect())) == sorted([("V1", "n", 1, "S"), ("V3", "n", 3, "")] * 2)
+    broken = {(r.VARIANT_ID, tuple(sorted(r.BROKEN))) for r in rejected.collect()}
+    assert broken == {
+        (None, ("not_null VARIANT_ID", "type VARIANT_VERSION", "width VARIANT_NAME")),
+        ("V2", ("not_null VARIANT_NAME", "not_null VARIANT_VERSION", "width GENE_SYMBOL")),
+    }
+    assert sorted(map(str, found.collect())) == sorted(map(str, quality.column_checks(loose, "kegg_human_variant").collect()))
+    clean = quality.split_rows(loose.limit(0), "kegg_human_variant", str(tmp_path / "none"))
+    assert [df.count() for df in clean] == [0, 0, 0]
+
+
+def test_resolved_symbols(spark):
+    ranked = spark.createDataFrame(
+        [("A", "G1", 1), ("A", "G2", 2), ("A", "G1", 4), ("B", "G1", 3), ("B", "G2", 3), ("B", "G3", 4), ("C", "G5", 4)],
+        "GENE_SYMBOL string, GENE_ID string, RANK int",
+    )
+    resolved = links.resolved_symbols(ranked)
+    assert sorted(map(tuple, resolved.collect())) == [("A", "G1", 1, 1), ("B", None, 3, 2), ("C", "G5", 4, 0)]
+    variant = spark.createDataFrame([("V1", 1, "A"), ("V1", 2, "B"), ("V2", 1, "D"), ("V3", 1, None)], "VARIANT_ID string, VARIANT_VERSION int, GENE_SYMBOL string")
+    assert sorted(map(tuple, links.variant_gene(variant, resolved).collect())) == [
+        ("V1", 1, "A", "G1", 1, 1), ("V1", 2, "B", None, 3, 2), ("V2", 1, "D", None, None, None), ("V3", 1, None, None, None, None),
+    ]
