@@ -88,15 +88,16 @@ def unpacked(data: bytes) -> np.ndarray:
 def corpus_totals(
     chunked: DataFrame,
     keys: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]],
-    finish: Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table],
+    use: Callable[[pa.Table, np.ndarray], pa.Table],
     schema: str,
     n_ranges: int,
 ) -> DataFrame:
-    """`finish` of every chunk of `chunked` (column `chunk`), given its keys' totals.
+    """`use` of every chunk of `chunked` (column `chunk`), given its keys' totals.
 
     `keys` gives a chunk's distinct keys in ascending order and their counts, and must
-    depend on the set of its rows alone. `finish` gets the rows, these keys and the sums
-    of their counts over all chunks.
+    depend on the set of its rows alone. `use` gets the rows and the sums of the counts of
+    these keys over all chunks, in the same order; what it derives from the texts it derives
+    once, for the keys and for what it makes of them.
     """
     edges = np.array([(i << 64) // n_ranges for i in range(1, n_ranges)], np.uint64)
 
@@ -134,12 +135,10 @@ def corpus_totals(
             }
         )
 
-    def use(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        found, _ = keys(rows)
+    def finish(rows: pa.Table, answers: pa.Table) -> pa.Table:
         in_order = answers.sort_by("range")["totals"]
-        totals = np.concatenate([unpacked(x.as_py()) for x in in_order] or [found[:0]])
-        return finish(rows, found, totals)
+        return use(rows, np.concatenate([np.empty(0, np.uint64), *[unpacked(x.as_py()) for x in in_order]]))
 
     asked = chunked.groupBy("chunk").applyInArrow(ask, "chunk int, range int, keys binary, counts binary")
     answered = asked.groupBy("range").applyInArrow(answer, "chunk int, range int, totals binary")
-    return chunked.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(use, schema)
+    return chunked.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(finish, schema)

@@ -155,8 +155,9 @@ def _sets(texts: DataFrame, words_each: int, percent: int) -> DataFrame:
         all_tokens = np.concatenate([*distinct(table).values(), np.empty(0, np.uint64)])
         return np.unique(all_tokens, return_counts=True)
 
-    def finish(table: pa.Table, found: np.ndarray, totals: np.ndarray) -> pa.Table:
+    def use(table: pa.Table, totals: np.ndarray) -> pa.Table:
         sets = distinct(table)
+        found = np.unique(np.concatenate([*sets.values(), np.empty(0, np.uint64)]))
         signed = [signatures(s, totals[np.searchsorted(found, s)], percent) for s in sets.values()]
         return pa.table(
             {
@@ -181,7 +182,7 @@ def _sets(texts: DataFrame, words_each: int, percent: int) -> DataFrame:
     return chunks.corpus_totals(
         chunked,
         keys,
-        finish,
+        use,
         "digest binary, n long, signatures array<long>, bits array<long>, members binary",
         chunks.parts(total, chunks.RANGE_BYTES),
     )

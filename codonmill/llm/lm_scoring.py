@@ -41,6 +41,22 @@ def ngrams(text: bytes, order: int) -> list[np.ndarray]:
     return [chunks.run_hashes(hashes, n) for n in range(1, order + 1)]
 
 
+def own_counts(places: np.ndarray) -> np.ndarray:
+    """How often each number occurs in the array, for every entry.
+
+    The number and its entry share one integer, so that sorting needs no indirection.
+    """
+    n = len(places)
+    bits = max(1, n.bit_length())
+    ordered = np.sort((places << bits) | np.arange(n))
+    values = ordered >> bits
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if n else places
+    sizes = np.diff(np.append(first, n))
+    counts = np.empty(n, np.int64)
+    counts[ordered & ((1 << bits) - 1)] = np.repeat(sizes, sizes)
+    return counts
+
+
 def word_scores(grams: list[np.ndarray], others: list[np.ndarray], n_words: int, backoff: float):
     """log10 of each word's score and the number of orders it gave up.
 
@@ -89,15 +105,18 @@ def score_documents(
         found, counts = np.unique(np.concatenate([*every, np.empty(0, np.uint64)]), return_counts=True)
         return np.insert(found, 0, ALL_WORDS), np.insert(counts, 0, n_words)
 
-    def finish(table: pa.Table, found: np.ndarray, totals: np.ndarray) -> pa.Table:
-        rows = []
-        for text_ in texts_of(table):
-            grams = ngrams(text_, order)
-            n = len(grams[0])
-            others = []
+    def use(table: pa.Table, totals: np.ndarray) -> pa.Table:
+        every = [ngrams(text_, order) for text_ in texts_of(table)]
+        together = np.concatenate([*[g for grams in every for g in grams], np.empty(0, np.uint64)])
+        # The place of each n-gram among the keys, whose first is that of all words.
+        _, place = np.unique(together, return_inverse=True)
+        sums, rows, at = totals[1:].astype(np.int64), [], 0
+        for grams in every:
+            n, others = len(grams[0]), []
             for own in grams:
-                _, inverse, counts = np.unique(own, return_inverse=True, return_counts=True)
-                others.append(totals[np.searchsorted(found, own)].astype(np.int64) - counts[inverse])
+                here = place[at : at + len(own)]
+                at += len(own)
+                others.append(sums[here] - own_counts(here))
             logs, given_up = word_scores(grams, others, int(totals[0]) - n, backoff)
             whole = float(logs.sum())
             rows.append((n, int((given_up > 0).sum()), whole, whole / n if n else None))
@@ -115,5 +134,5 @@ def score_documents(
         ).alias("chunk"),
     ).mapInArrow(small, "doc_id long, text binary, chunk int")
     return chunks.corpus_totals(
-        chunked, keys, finish, SCHEMA, chunks.parts(total * order, chunks.RANGE_BYTES)
+        chunked, keys, use, SCHEMA, chunks.parts(total * order, chunks.RANGE_BYTES)
     )
