@@ -6,7 +6,8 @@
    document's place is a running total, taken within buckets of documents and over the
    buckets, so that no task sees a whole source.
 3. A source gets as many slots as its target needs. Every slot draws its output shard by
-   a hash, so the source counts of the shards are multinomial, given the totals.
+   a hash, so the source counts of the shards are multinomial, given the totals. What the
+   documents give to the mix is summed from what the shards draw.
 4. Slots run through the source's blocks in the order of a pseudorandom permutation of
    their numbers, again and again, so every block is taken equally often, up to one. The
    last round, if it is not a whole one, takes one stretch of neighbouring blocks, in a
@@ -39,6 +40,8 @@ MOST = 2
 BLOCK = 64
 SHARD_SLOTS = 4096
 SLOTS_AT_ONCE = 10_000
+#: Ranges of slots that a task lists, on average.
+TASK_RANGES = 4
 SEED = 20
 
 #: Primes for permutations; one that does not divide the number of blocks is taken.
@@ -129,7 +132,9 @@ def slots(plan: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     part = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / SLOTS_AT_ONCE))
     ranges = sources.where("n_slots > 0").select("key", "n_blocks", "n_slots", F.explode(part).alias("part"))
     first = F.col("part") * SLOTS_AT_ONCE
-    listed = ranges.repartition(F.col("key"), F.col("part")).select(
+    # A stated number of partitions: the rows here are few, and are many only once they are listed.
+    n_tasks = max(1, math.ceil(total / (TASK_RANGES * SLOTS_AT_ONCE)))
+    listed = ranges.repartition(n_tasks, F.col("key"), F.col("part")).select(
         "key",
         "n_blocks",
         "n_slots",
@@ -177,9 +182,9 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> tuple[DataFram
     placed = spark.read.parquet(f"{folder}/placed")
 
     drawn, pieces = slots(plan, block, seed), block_pieces(placed, block)
-    # The planner takes the slots for as few as the sources they are made of, and would
-    # broadcast their counts; they are as many as the blocks.
-    times = drawn.groupBy("key", "index").agg(F.count(F.lit(1)).alias("times")).hint("merge")
+    # What each shard has drawn of a source's blocks. The planner takes the slots for as few as
+    # the sources they are made of, and would broadcast these counts; they are as many as the blocks.
+    times = drawn.groupBy("shard", "key", "index").agg(F.count(F.lit(1)).alias("times")).hint("merge")
     # A place in its source tells documents with words apart; those without take nothing.
     by_place = (
         pieces.join(times, ["key", "index"])
@@ -202,6 +207,34 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> tuple[DataFram
     return drawn, pieces, taken
 
 
+def shard_counts(drawn: DataFrame) -> DataFrame:
+    """(shard, key, slots): the multinomial counts of the sources in every shard."""
+    return drawn.groupBy("shard", "key").agg(F.count(F.lit(1)).alias("slots"))
+
+
+def mixed_blocks(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """The mix itself: (shard, source, slot, text) with the words of a block for every slot.
+
+    Words stand as in the texts, joined by one space; a block at the end of its source may be
+    shorter. Its pieces, at most `block`, are brought together once, however often it is drawn.
+    """
+    drawn, pieces, _ = mix(docs, block, seed)
+    whole = F.coalesce(F.col("text"), F.lit(""))
+    # Rows alike in id and text have the same words.
+    texts = docs.groupBy(F.col("doc_id").alias("_id"), F.xxhash64(whole).alias("_tag")).agg(F.first(whole).alias("text"))
+    same = pieces["doc_id"].eqNullSafe(texts["_id"]) & (pieces["tag"] == texts["_tag"])
+    words = F.regexp_extract_all("text", F.lit(WORD), 0)
+    part = F.array_join(F.slice(words, (F.col("from_word") + 1).cast("int"), F.col("words").cast("int")), " ")
+    listed = F.array_sort(F.collect_list(F.struct("start", part.alias("part"))))
+    blocks = (
+        pieces.join(texts, same)
+        .groupBy("key", "index")
+        .agg(F.array_join(F.transform(listed, lambda p: p["part"]), " ").alias("text"))
+    )
+    source = F.when(F.col("key") != "2", F.substr("key", F.lit(2)))
+    return drawn.join(blocks, ["key", "index"]).select("shard", source.alias("source"), "slot", "text")
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """Whole documents in the numbers of the mix: each as often as it is taken, rounded.
 

@@ -8,10 +8,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from codonmill.llm import conversation_trie as ct
 from codonmill.llm import fill_in_middle as fim
-from codonmill.llm import queries
+from codonmill.llm import mixing, queries
 from codonmill.llm import run_index_dedup as rid
 from harness.compare import difference, oracle_connection
 from tests.llm.conftest import SF
@@ -118,6 +119,35 @@ def test_every_window_lies_in_one_segment():
     assert again.any() and not len(rid.marks(b"x" * 399)[0])
 
 
+# --- 7: the mix itself --------------------------------------------------------
+
+
+def test_blocks_of_the_mix(make):
+    draw = random.Random(8)
+    rows = [(i, " ".join(f"{i}.{j}" for j in range(draw.choice([3, 70, 200])))) for i in range(60)] + [(None, "x y"), (5, None)]
+    docs = make(rows).withColumn("source", F.when(F.col("doc_id") % 3 == 0, "a").when(F.col("doc_id") % 3 == 1, "b"))
+    again = docs.unionByName(docs.where("doc_id = 7"))
+    drawn, _, taken = mixing.mix(again)
+    blocks = mixing.mixed_blocks(again).collect()
+    assert len(blocks) == drawn.count() == sum(r.slots for r in mixing.shard_counts(drawn).collect())
+    assert {(r.source, r.slot) for r in blocks} == {(None if r.key == "2" else r.key[1:], r.slot) for r in drawn.collect()}
+    words = Counter(w for r in blocks for w in r.text.split(" "))
+    by_doc = Counter()
+    for word, n in words.items():
+        by_doc[word.split(".")[0]] += n
+    for row in taken.collect():
+        if row.doc_id is not None and row.doc_id != 7 and row.size:
+            assert by_doc[str(row.doc_id)] == row.taken
+    assert by_doc["7"] == sum(r.taken for r in taken.collect() if r.doc_id == 7)
+    # Blocks are whole but for one at each source's end, and drawn as evenly as can be.
+    lengths = Counter((r.source, r.text) for r in blocks)
+    for source in {r.source for r in blocks}:
+        short = {t for s, t in lengths if s == source and len(t.split(" ")) < mixing.BLOCK}
+        assert len(short) <= 1
+        drawn_times = [n for (s, _), n in lengths.items() if s == source]
+        assert max(drawn_times) - min(drawn_times) <= 1
+
+
 # --- 12 ----------------------------------------------------------------------
 
 
