@@ -55,7 +55,7 @@ def save_ranged(change: Change, df: DataFrame, table: str, key: str, ranges: int
     known = change.spark.read.parquet(_written(key_digests(rows, key)))
     sliced = known.where("_key IS NOT NULL").select("_key").repartitionByRange(ranges, "_key")
     firsts = sliced.groupBy(F.spark_partition_id().alias("_p")).agg(F.min("_key").alias("low"))
-    lows = [None, *sorted(row.low for row in firsts.collect())[1:]]
+    lows = [None, *sorted(row.low for row in firsts.take(MOST_RANGES))[1:]]
     parts = _write_parts(change, table, rows, known, key, lows, list(range(len(lows))))
     change.put(table, parts, alone=True)
     return parts
@@ -79,7 +79,7 @@ def update_ranged(
         keys = came.toDF("_key").select(F.col("_key").cast("string")).distinct()
         delta = keys.join(delta, "_key", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
     delta = spark.read.parquet(_written(delta.withColumn("_part", range_of(F.col("_key"), lows))))
-    asked = [row[0] for row in delta.select("_part").distinct().collect()]
+    asked = [row[0] for row in delta.select("_part").distinct().take(MOST_RANGES)]
     known = _read(spark, [parts[i].digests for i in asked], delta.drop("_part"))
     same = F.col("d._key").eqNullSafe(F.col("k._key"))
     for c in ("_n", "_x", "_s"):
@@ -92,7 +92,7 @@ def update_ranged(
         known.alias("k"), F.col("d._key").eqNullSafe(F.col("k._key")), "left_semi"
     )
     changed = spark.read.parquet(_written(changed.unionByName(gone)))
-    touched = sorted(row[0] for row in changed.select("_part").distinct().collect())
+    touched = sorted(row[0] for row in changed.select("_part").distinct().take(MOST_RANGES))
     if not touched:
         return []
     keys = changed.select("_key")
@@ -123,7 +123,7 @@ def increment_violations(change: Change, incoming: DataFrame, table: str, parent
         entries = sorted(change.parts(parent), key=lambda e: e.part)
         lows = [e.low for e in entries]
         keys = change.spark.read.parquet(_written(keys.withColumn("_part", range_of(F.col(column), lows))))
-        asked = [row[0] for row in keys.select("_part").distinct().collect()]
+        asked = [row[0] for row in keys.select("_part").distinct().take(MOST_RANGES)]
         empty = keys.select(F.col(column).cast("string").alias("_key"))
         stored = _read(change.spark, [e.digests for e in entries if e.part in asked], empty)
         known = stored if parents is None else stored.unionByName(parents.toDF("_key"))
@@ -140,7 +140,7 @@ def _write_parts(
     for df, own, path in ((rows, F.col(key), data), (digests, F.col("_key"), beside)):
         placed = df.withColumn("_part", range_of(own, lows))
         placed.hint("rebalance", "_part").write.partitionBy("_part").parquet(path)
-    filled = {r[0] for r in digests.select(range_of(F.col("_key"), lows)).distinct().collect()}
+    filled = {r[0] for r in digests.select(range_of(F.col("_key"), lows)).distinct().take(MOST_RANGES)}
     return [
         Entry(
             "table",

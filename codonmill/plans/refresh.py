@@ -222,7 +222,7 @@ class Pipeline:
         for row in found.groupBy("table").agg(
             F.count_if(F.col("change") == "gone").alias("gone"),
             F.collect_list(F.when(F.col("change") == "added", F.col("path"))).alias("added"),
-        ).collect():
+        ).take(len(known)):
             one = spec(self.source, row["table"])
             apart = not row["gone"] and not one.whole and not one.order_by
             files[one.name] = [unquote(path) for path in row["added"]] if apart else None

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from codonmill.schemas import for_sink
 
+#: Entries of a commit, which the driver holds.
+MOST_ENTRIES = 1_000_000
 ENTRY = "kind string, name string, part int, low string, data string, digests string, batch long"
 
 
@@ -65,7 +67,9 @@ class TableSet:
         commits, number = self._commits(), number or self.latest()
         if commits is None:
             return []
-        rows = commits.where(F.col("commit") == number).drop("commit").collect()
+        rows = commits.where(F.col("commit") == number).drop("commit").take(MOST_ENTRIES + 1)
+        if len(rows) > MOST_ENTRIES:
+            raise ValueError(f"a commit of {self.base} has more than {MOST_ENTRIES} entries")
         return [Entry(**row.asDict()) for row in rows]
 
     def tables(self, number: int | None = None) -> list[str]:
