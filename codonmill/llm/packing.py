@@ -11,13 +11,17 @@ A group holds `GROUP` pieces on average however large the input is; what a group
 shrinks from round to round, as full sequences stay where they are.
 
 Rows: a null text is an empty one, which is its end token alone. Repeated rows are packed
-as often as they come. Rows without a doc_id are packed like others.
+as often as they come. Rows without a doc_id are packed like others. Long texts are
+encoded in parts that end at white space, so a task holds one text and its ids, and words
+of `SLICE` bytes at a time.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -33,8 +37,10 @@ END = 0
 GROUP = 20_000
 ROUNDS = 6
 NEARLY_FULL = 0.99
-CACHED_WORDS = 600_000
+CACHED_WORDS = 250_000
+SLICE = 1 << 20
 WORD_END = "</w>"
+_SPACE = re.compile(rb"\s")
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -45,13 +51,26 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def parts(text: bytes) -> Iterator[bytes]:
+    """The text in parts of about `SLICE` bytes, cut where white space is."""
+    at = 0
+    while len(text) - at > SLICE:
+        space = _SPACE.search(text, at + SLICE)
+        if space is None:
+            break
+        yield text[at : space.start()]
+        at = space.start()
+    yield text[at:]
+
+
 class Encoder:
     """Token ids of whole texts as bytes (unsigned little-endian 32-bit numbers).
 
     The tokenizer ignores case, treats white space as a border and drops it, so a text's
     ids are those of its blank-separated parts in lower case. A full stop or comma after a
     letter at a part's end is a token of its own. Parts without it are encoded once and
-    kept while they fit the cache. Special tokens keep their case, as it counts.
+    kept while they fit the cache; a full cache keeps what the present texts need.
+    Special tokens keep their case, as it counts.
     """
 
     def __init__(self, path: str):
@@ -65,14 +84,31 @@ class Encoder:
             self.ends_word[at] = token.endswith(WORD_END)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        """Ids of every text, of about `SLICE` bytes of them at a time."""
+        done: list[list[bytes]] = [[] for _ in texts]
+        held, size = [], 0
+        for at, text in enumerate(texts):
+            lowered = text if b"<|" in text else text.lower()
+            for part in parts(lowered):
+                held.append((at, part))
+                size += len(part)
+                if size >= SLICE:
+                    self._encode(held, done)
+                    held, size = [], 0
+        self._encode(held, done)
+        return [b"".join(ids) for ids in done]
+
+    def _encode(self, held: list[tuple[int, bytes]], done: list[list[bytes]]) -> None:
+        split = [part.split() for _, part in held]
+        used = set().union(*split)
         if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = set().union(*split) - self.known.keys()
+            self.known = {w: self.known[w] for w in used & self.known.keys()}
+        new = used - self.known.keys()
         ended = {w for w in new if w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
         self._learn((new - ended) | {w[:-1] for w in ended} | {b".", b","})
         self.known.update((w, self.known[w[:-1]] + self.known[w[-1:]]) for w in ended)
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        for (at, _), words in zip(held, split, strict=True):
+            done[at].append(b"".join(map(self.known.__getitem__, words)))
 
     def _learn(self, words: set[bytes]) -> None:
         """Encode words not yet known, those of letters alone many at a time.
@@ -254,7 +290,27 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataF
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
-    """Pieces of all documents with their place: sequence_id and offset."""
-    folder = shared_folder(docs.sparkSession)
-    pieces(docs, tokenizer=tokenizer, with_ids=with_ids).write.parquet(f"{folder}/pieces")
-    return pack(docs.sparkSession.read.parquet(f"{folder}/pieces"))
+    """Pieces of all documents with their place: sequence_id and offset; on request with ids.
+
+    Packing moves lengths only. The ids stay where they were written and are joined to
+    their places once, by the number of the written row.
+    """
+    spark = docs.sparkSession
+    path = f"{shared_folder(spark)}/pieces"
+    cut = pieces(docs, tokenizer=tokenizer, with_ids=with_ids)
+    if not with_ids:
+        cut.write.parquet(path)
+        return pack(spark.read.parquet(path))
+    cut.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    cut = spark.read.parquet(path)
+    return pack(cut.drop("ids")).join(cut.select("_row", "ids"), "_row").drop("_row")
+
+
+def sequences(placed: DataFrame) -> DataFrame:
+    """(sequence_id, length, ids): the ids of each sequence's pieces, laid by offset.
+
+    A sequence has as many pieces as tokens at most, so a group is bounded by its capacity.
+    """
+    laid = F.sort_array(F.collect_list(F.struct("offset", "ids")))
+    ids = F.aggregate(laid, F.lit(b""), lambda so_far, piece: F.concat(so_far, piece["ids"]))
+    return placed.groupBy("sequence_id").agg(F.sum("length").alias("length"), ids.alias("ids"))

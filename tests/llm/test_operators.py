@@ -513,6 +513,41 @@ def test_packing(spark, documents, hard, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+def test_ids_give_the_documents_back(make):
+    """Ids laid by sequence and offset, cut at the pieces' places, are the documents' ids."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    rows = [*HARD, (20, "Some words, and more. " * 1500), (20, "other text"), (21, "x" * 9000)]
+    placed = packing.pack_documents(make(rows), with_ids=True)
+    laid = {r.sequence_id: np.frombuffer(r.ids, "<u4") for r in packing.sequences(placed).collect()}
+    assert {s: len(x) for s, x in laid.items()} == {
+        r.sequence_id: r.length for r in packing.sequences(placed).collect()
+    }
+    found = placed.drop("ids").collect()
+    assert_packed(found)
+    got = Counter(
+        (r.doc_id, r.piece, *laid[r.sequence_id][r.offset : r.offset + r.length].tolist()) for r in found
+    )
+    want = Counter()
+    for doc_id, text in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        want.update((doc_id, i // 2048, *ids[i : i + 2048]) for i in range(0, len(ids), 2048))
+    assert got == want
+
+
+@pytest.mark.parametrize("size", [1, 7, 64])
+def test_texts_are_encoded_in_parts(monkeypatch, size):
+    texts = ["One two,  three.\n\tfour " * 9, "", "a" * 200, "<|endoftext|> It's <|endoftext|>x ", " \n ", "é ﬁ " * 40]
+    texts = [t.encode() for t in texts]
+    whole = packing.Encoder(packing.default_tokenizer()).encode(texts)
+    monkeypatch.setattr(packing, "SLICE", size)
+    monkeypatch.setattr(packing, "CACHED_WORDS", 3)
+    assert all(b"".join(packing.parts(t)) == t for t in texts)
+    coder = packing.Encoder(packing.default_tokenizer())
+    assert coder.encode(texts) == coder.encode(texts) == whole
+
+
 def test_special_tokens_in_texts(make):
     from tokenizers import Tokenizer
 
