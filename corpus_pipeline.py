@@ -57,8 +57,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their places in sequences."""
-    return packing.pack_documents(docs)
+    """Pieces of the documents with their token ids and places in sequences."""
+    return packing.pack_documents(docs, with_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
