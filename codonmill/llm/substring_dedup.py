@@ -14,10 +14,16 @@ path is one row in place of some twenty edges.
 3. Paths of the other anchors are looked up at the source coordinates of their first
    occurrence, opened into edges, and each edge gets the first document that holds it; a
    join brings that back to every occurrence of the path.
-4. The spans (document, from, to) are merged and cut out of the whole text.
+4. Spans that go on at the same distance from their source are merged to runs, and every
+   run is verified: its words, read at its own and at its source's coordinates, must have
+   one SHA-256. Words are compared by it and not carried from document to document, as a
+   passage would travel once per copy. If a single run fails, all is done again with other
+   hashes, so what is cut never rests on the digests of 1 to 3 alone.
+5. The runs (document, from, to) are cut out of the whole text.
 
 Digests are two independent 64-bit sums over two independent halves of 128-bit word
-hashes. Anchors and paths in very many documents are aggregated before they are shuffled;
+hashes. Equal windows always have equal digests, and the first document is the smallest
+that has the digest; so unlike windows of one digest either change nothing or fail in 4. Anchors and paths in very many documents are aggregated before they are shuffled;
 the joins have one row per path on one side, so a hot path's partition can be split.
 
 Rows: null, empty and short texts have no windows and lose nothing. A row without a
@@ -28,12 +34,14 @@ the text columns are read.
 
 from __future__ import annotations
 
+import hashlib
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codonmill.llm import chunks
@@ -42,6 +50,7 @@ from codonmill.session import shared_folder
 WIDTH = 50
 ANCHOR = 16
 LAST_ID = 2**63 - 1
+TRIES = 8
 
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
@@ -58,9 +67,10 @@ def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """The words of a text with digests of any run of them."""
 
-    def __init__(self, text: bytes):
+    def __init__(self, text: bytes, seed: int = 0, bits: int = 64):
         self.words = text.split()
-        joined = b"".join(map(xxhash.xxh3_128_digest, self.words))
+        self.mask = np.uint64(2**bits - 1)
+        joined = b"".join(map(xxhash.xxh3_128_digest, self.words, repeat(seed)))
         halves = np.frombuffer(joined, ">u8").astype(np.uint64).reshape(-1, 2)
         self.hashes = np.ascontiguousarray(halves[:, 0])
         size = 1 << max(10, len(self.words).bit_length())
@@ -74,7 +84,10 @@ class Words:
     def digests(self, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
         """Two 64-bit numbers for each run of words [start, end)."""
         length = (end - start).astype(np.uint64)
-        return [chunks.mixed((total[end] - total[start]) * down[start] + length) for total, down in self.sums]
+        return [
+            chunks.mixed((total[end] - total[start]) * down[start] + length) & self.mask
+            for total, down in self.sums
+        ]
 
     def paths(self, width: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, number of windows and anchor hash of every path."""
@@ -100,21 +113,138 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def repeated_spans(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, anchor: int = ANCHOR
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    width: int = WIDTH,
+    anchor: int = ANCHOR,
+    bits: int = 64,
 ) -> DataFrame:
-    """(id, sum, start, end, first_id): words covered by windows of an earlier document.
+    """(id, sum, start, n, first_id, first_sum, first_start): runs of words that an earlier document has.
 
-    Spans may overlap; `first_id` is the first document that holds the span's windows.
+    The n words from `start` are those of document `first_id` from `first_start`, verified
+    there; that is the first document that holds the run's windows. `sum` tells texts of one
+    id apart. Runs may overlap. `bits` is the length of each of the two digests in the first
+    try; every further try, should one fail, has twice as many up to 64, and other hashes.
     """
     spark = docs.sparkSession
-    folder = shared_folder(spark)
     keyed = _keyed(docs, doc_id, text)
+    for seed in range(TRIES):
+        path = f"{shared_folder(spark)}/runs"
+        spans = _likely_spans(keyed, width, anchor, seed, min(64, bits << seed))
+        _merged(spans).write.parquet(path)
+        runs = spark.read.parquet(path)
+        if not _unlike(keyed, runs).count():
+            return runs
+    raise RuntimeError(f"words at the two places of a run differed in {TRIES} tries with unlike hashes")
+
+
+def _merged(spans: DataFrame) -> DataFrame:
+    """Spans of one document merged where they meet and have one distance from one source."""
+    listed = spans.groupBy("id", "sum").agg(
+        F.collect_set(F.struct("start", "end", "first_id", "first_sum", "first_start")).alias("spans")
+    )
+
+    def merge(batches):
+        for batch in batches:
+            column = batch["spans"]
+            offsets = column.offsets.to_numpy()
+            fields = [f.to_numpy(zero_copy_only=False).astype(np.int64) for f in column.values.flatten()]
+            rows = []
+            for at in range(batch.num_rows):
+                of_row = slice(offsets[at], offsets[at + 1])
+                start, end, first_id, first_sum, first_start = (f[of_row] for f in fields)
+                apart = first_start - start
+                order = np.lexsort((start, apart, first_sum, first_id))
+                start, end, first_id, first_sum, apart = (
+                    f[order] for f in (start, end, first_id, first_sum, apart)
+                )
+                new = np.ones(len(start), bool)
+                new[1:] = (np.diff(first_id) != 0) | (np.diff(first_sum) != 0) | (np.diff(apart) != 0)
+                # How far the spans up to each reach, begun anew for every source and distance.
+                reach = np.maximum.accumulate(end + np.cumsum(new) * (int(end.max()) + 1))
+                own = reach - np.cumsum(new) * (int(end.max()) + 1)
+                new[1:] |= start[1:] > own[:-1]
+                begin = np.flatnonzero(new)
+                last = np.append(begin[1:], len(start)) - 1
+                rows.append(
+                    (np.full(len(begin), at), start[begin], own[last] - start[begin], first_id[begin],
+                     first_sum[begin], start[begin] + apart[begin])
+                )
+            if rows:
+                at, start, n, first_id, first_sum, first_start = map(np.concatenate, zip(*rows, strict=True))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "id": batch["id"].take(pa.array(at)),
+                        "sum": batch["sum"].take(pa.array(at)),
+                        "start": start.astype(np.int32),
+                        "n": n.astype(np.int32),
+                        "first_id": first_id,
+                        "first_sum": first_sum,
+                        "first_start": first_start.astype(np.int32),
+                    }
+                )
+
+    schema = "id long, sum long, start int, n int, first_id long, first_sum long, first_start int"
+    return listed.mapInArrow(merge, schema)
+
+
+def _unlike(keyed: DataFrame, runs: DataFrame) -> DataFrame:
+    """Runs whose words are not those at the source's coordinates.
+
+    Each place is read once, however many runs refer to it: places are made distinct within
+    tasks before they are brought to their texts, and digests are joined to the runs by
+    place, one row per place on that side.
+    """
+    place = ["id", "sum", "start", "n"]
+    source = ["first_id", "first_sum", "first_start", "n"]
+    places = runs.select(*place).unionByName(runs.select(*source).toDF(*place))
+    wanted = places.groupBy("id", "sum").agg(F.collect_set(F.struct("start", "n")).alias("places"))
+
+    def digest(batches):
+        for batch in batches:
+            at, starts, lengths, digests = [], [], [], []
+            for row, (text, places_) in enumerate(
+                zip(batch["text"].to_pylist(), batch["places"].to_pylist(), strict=True)
+            ):
+                words = text.split()
+                for one in places_:
+                    start, n = one["start"], one["n"]
+                    at.append(row)
+                    starts.append(start)
+                    lengths.append(n)
+                    digests.append(hashlib.sha256(b" ".join(words[start : start + n])).digest())
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "id": batch["id"].take(pa.array(at, pa.int64())),
+                    "sum": batch["sum"].take(pa.array(at, pa.int64())),
+                    "start": pa.array(starts, pa.int32()),
+                    "n": pa.array(lengths, pa.int32()),
+                    "digest": pa.array(digests, pa.binary()),
+                }
+            )
+
+    path = f"{shared_folder(keyed.sparkSession)}/places"
+    texts = keyed.join(wanted, ["id", "sum"]).select("id", "sum", "text", "places")
+    texts.mapInArrow(digest, "id long, sum long, start int, n int, digest binary").write.parquet(path)
+    # Repeated rows have one text.
+    read = keyed.sparkSession.read.parquet(path).distinct()
+    there = read.toDF(*source, "first_digest")
+    return runs.join(read, place, "left").join(there, source, "left").where(
+        ~F.col("digest").eqNullSafe(F.col("first_digest")) | F.col("digest").isNull()
+    )
+
+
+def _likely_spans(keyed: DataFrame, width: int, anchor: int, seed: int, bits: int) -> DataFrame:
+    """(id, sum, start, end, first_id, first_sum, first_start): spans whose digests an earlier document has."""
+    spark = keyed.sparkSession
+    folder = shared_folder(spark)
 
     def walk(batches):
         for batch in batches:
             rows = []
             for at, text_ in enumerate(batch["text"].to_pylist()):
-                words = Words(text_)
+                words = Words(text_, seed, bits)
                 start, n_windows, hashed = words.paths(width, anchor)
                 high, low = words.digests(start, start + n_windows + width - 1)
                 rows.append((np.full(len(start), at), start, n_windows, hashed, high, low))
@@ -139,9 +269,15 @@ def repeated_spans(
     ends = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("id", "high", "low")]
     anchors = (
         walks.groupBy("anchor")
-        .agg(*ends)
+        .agg(*ends, *_of_first("start"))
         .where("min_id < max_id")
-        .selectExpr("anchor", "min_id AS first", "min_high = max_high AND min_low = max_low AS straight")
+        .selectExpr(
+            "anchor",
+            "min_id AS first_id",
+            "first_sum",
+            "first_start",
+            "min_high = max_high AND min_low = max_low AS straight",
+        )
     )
     # Read again, so that the join deals out both sides itself and can split a hot anchor.
     anchors.write.parquet(f"{folder}/anchors")
@@ -149,28 +285,34 @@ def repeated_spans(
     walks.join(anchors, "anchor").drop("anchor").write.parquet(f"{folder}/shared")
     shared = spark.read.parquet(f"{folder}/shared")
 
+    first = ["first_id", "first_sum", "first_start"]
     straight = shared.where("straight").select(
-        "id", "sum", "start", (F.col("start") + F.col("n_windows") + width - 1).alias("end"), "first"
+        "id", "sum", "start", (F.col("start") + F.col("n_windows") + width - 1).alias("end"), *first
     )
     branching = shared.where("NOT straight").select("high", "low", "id", "sum", "start", "n_windows")
     opened = (
-        branching.join(_opened(keyed, branching, width), ["high", "low"])
+        branching.join(_opened(keyed, branching, width, seed, bits), ["high", "low"])
         .withColumn("edge", F.explode("edges"))
         .select(
             "id",
             "sum",
             (F.col("start") + F.col("edge.offset")).alias("start"),
             (F.col("start") + F.col("edge.offset") + width).alias("end"),
-            F.col("edge.first").alias("first"),
+            *[F.col(f"edge.{name}").alias(name) for name in first],
         )
     )
-    return straight.unionByName(opened).where("first < id").withColumnRenamed("first", "first_id")
+    return straight.unionByName(opened).where("first_id < id")
+
+
+def _of_first(start: str) -> list[Column]:
+    """Text and place of the row with the smallest id; of several, one of them for both."""
+    return [F.min_by("sum", "id").alias("first_sum"), F.min_by(start, "id").alias("first_start")]
 
 
-def _opened(keyed: DataFrame, branching: DataFrame, width: int) -> DataFrame:
+def _opened(keyed: DataFrame, branching: DataFrame, width: int, seed: int, bits: int) -> DataFrame:
     """(high, low, edges) of paths that share some of their edges with other paths.
 
-    `edges` has for each edge of a path its place and the first document that holds it.
+    `edges` has for each edge of a path its offset, and document, text and place that hold it first.
     The words of each path are read again at the coordinates of its first occurrence.
     """
     path = ["high", "low"]
@@ -185,37 +327,45 @@ def _opened(keyed: DataFrame, branching: DataFrame, width: int) -> DataFrame:
         F.collect_list(F.struct(*path, "start", "n_windows")).alias("wanted")
     )
     # One text per id and sum; rows that agree in both have one text.
-    sources = keyed.join(wanted, ["id", "sum"]).select("id", "text", "wanted")
+    sources = keyed.join(wanted, ["id", "sum"]).select("id", "sum", "text", "wanted")
 
     def edges(batches):
         for batch in batches:
             rows = []
-            for id_, text, wanted_ in zip(*(batch[c].to_pylist() for c in ("id", "text", "wanted")), strict=True):
-                words = Words(text)
+            columns = (batch[c].to_pylist() for c in ("id", "sum", "text", "wanted"))
+            for id_, sum_, text, wanted_ in zip(*columns, strict=True):
+                words = Words(text, seed, bits)
                 for one in wanted_:
                     offset = np.arange(one["n_windows"])
                     found = words.digests(one["start"] + offset, one["start"] + offset + width)
-                    rows.append((*found, offset, np.tile([[one["high"]], [one["low"]], [id_]], len(offset))))
+                    of_path = np.tile([[one["high"]], [one["low"]], [id_], [sum_]], len(offset))
+                    rows.append((*found, offset, one["start"] + offset, of_path))
             if rows:
-                high, low, offset = (np.concatenate([r[k] for r in rows]) for k in range(3))
-                of_path = np.concatenate([r[3] for r in rows], axis=1)
-                columns = [high.view(np.int64), low.view(np.int64), offset.astype(np.int32), *of_path]
-                names = ["edge_high", "edge_low", "offset", "high", "low", "id"]
+                high, low, offset, at = (np.concatenate([r[k] for r in rows]) for k in range(4))
+                of_path = np.concatenate([r[4] for r in rows], axis=1)
+                places = [offset.astype(np.int32), at.astype(np.int32)]
+                columns = [high.view(np.int64), low.view(np.int64), *places, *of_path]
+                names = ["edge_high", "edge_low", "offset", "at", "high", "low", "id", "sum"]
                 yield pa.RecordBatch.from_pydict(dict(zip(names, columns, strict=True)))
 
-    schema = "edge_high long, edge_low long, offset int, high long, low long, id long"
+    schema = "edge_high long, edge_low long, offset int, at int, high long, low long, id long, sum long"
     opened = sources.mapInArrow(edges, schema)
-    first_of = opened.groupBy("edge_high", "edge_low").agg(F.min("id").alias("first"))
+    first_of = opened.groupBy("edge_high", "edge_low").agg(F.min("id").alias("first_id"), *_of_first("at"))
     return (
-        opened.drop("id")
+        opened.drop("id", "sum", "at")
         .join(first_of, ["edge_high", "edge_low"])
         .groupBy(*path)
-        .agg(F.collect_set(F.struct("offset", "first")).alias("edges"))
+        .agg(F.collect_set(F.struct("offset", "first_id", "first_sum", "first_start")).alias("edges"))
     )
 
 
 def cut_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, anchor: int = ANCHOR
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    width: int = WIDTH,
+    anchor: int = ANCHOR,
+    bits: int = 64,
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): each text without its repeated words.
 
@@ -223,9 +373,9 @@ def cut_repeats(
     """
     keyed = _keyed(docs, doc_id, text)
     spans = (
-        repeated_spans(docs, doc_id, text, width, anchor)
+        repeated_spans(docs, doc_id, text, width, anchor, bits)
         .groupBy("id", "sum")
-        .agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+        .agg(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("end"))).alias("spans"))
     )
 
     def cut(batches):

@@ -115,6 +115,37 @@ def test_repeats_that_branch(make, width):
     assert {r.doc_id: (r.n_words, r.n_removed) for r in got} == {d: v[:2] for d, v in want.items()}
 
 
+@pytest.mark.parametrize("bits", [1, 4, 16])
+def test_repeats_whose_digests_collide(make, bits):
+    """Short digests tell few windows apart; what they confuse is found at the coordinates."""
+    rng = random.Random(bits)
+    shared = [[f"s{rng.randint(0, 200)}" for _ in range(30)] for _ in range(4)]
+    docs = []
+    for d in range(40):
+        own = [f"u{rng.randint(0, 10**6)}" for _ in range(rng.randint(0, 40))]
+        docs.append((d, " ".join(own + rng.choice(shared) + own[:9])))
+    got = substring_dedup.cut_repeats(make(docs), width=8, anchor=3, bits=bits).collect()
+    want = brute.repeats(docs, 8)
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in got} == {d: v[:2] for d, v in want.items()}
+
+
+def test_runs_are_read_at_their_source(make):
+    words = [f"w{i}" for i in range(300)]
+    docs = [(1, " ".join(words)), (2, " ".join(["x"] * 5 + words[40:200] + ["y"] + words[100:160]))]
+    got = substring_dedup.repeated_spans(make(docs)).orderBy("start").collect()
+    assert [(r.id, r.start, r.n, r.first_id, r.first_start) for r in got] == [(2, 5, 160, 1, 40), (2, 166, 60, 1, 100)]
+
+
+def test_runs_that_differ_from_their_source_are_told(spark, make):
+    docs = make([(1, "a b c d"), (2, "a b x d")])
+    keyed = substring_dedup._keyed(docs, "doc_id", "text")
+    sums = {r.id: r["sum"] for r in keyed.collect()}
+    rows = [(2, sums[2], 0, 2, 1, sums[1], 0), (2, sums[2], 1, 2, 1, sums[1], 1)]
+    names = "id long, sum long, start int, n int, first_id long, first_sum long, first_start int"
+    got = substring_dedup._unlike(keyed, spark.createDataFrame(rows, names)).collect()
+    assert [(r.start, r.n) for r in got] == [(1, 2)]
+
+
 def test_repeats_of_hard_rows(hard):
     got = substring_dedup.cut_repeats(hard).collect()
     assert len(got) == len(HARD)
