@@ -127,110 +127,132 @@ def repeated_spans(
     id apart. Runs may overlap. `bits` is the length of each of the two digests in the first
     try; every further try, should one fail, has twice as many up to 64, and other hashes.
     """
-    spark = docs.sparkSession
-    keyed = _keyed(docs, doc_id, text)
+    return _verified(_keyed(docs, doc_id, text), width, anchor, bits)[0]
+
+
+def _verified(keyed: DataFrame, width: int, anchor: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Runs that hold what their sources hold, and the texts cut by them (`_cut`)."""
+    spark = keyed.sparkSession
     for seed in range(TRIES):
-        path = f"{shared_folder(spark)}/runs"
+        folder = shared_folder(spark)
         spans = _likely_spans(keyed, width, anchor, seed, min(64, bits << seed))
-        _merged(spans).write.parquet(path)
-        runs = spark.read.parquet(path)
-        if not _unlike(keyed, runs).count():
-            return runs
+        of_text = spans.groupBy("id", "sum").agg(F.collect_set(F.struct(*_SPAN)).alias("spans"))
+        of_text.mapInArrow(_merge, f"id long, sum long, {_RUN}").write.parquet(f"{folder}/runs")
+        runs = spark.read.parquet(f"{folder}/runs")
+        _cut(keyed, runs).write.option("compression", "zstd").parquet(f"{folder}/cut")
+        cut = spark.read.parquet(f"{folder}/cut")
+        if not _unlike(cut, runs).count():
+            return runs, cut
     raise RuntimeError(f"words at the two places of a run differed in {TRIES} tries with unlike hashes")
 
 
-def _merged(spans: DataFrame) -> DataFrame:
-    """Spans of one document merged where they meet and have one distance from one source."""
-    listed = spans.groupBy("id", "sum").agg(
-        F.collect_set(F.struct("start", "end", "first_id", "first_sum", "first_start")).alias("spans")
-    )
+_SPAN = ["start", "end", "first_id", "first_sum", "first_start"]
+_RUN = "start int, n int, first_id long, first_sum long, first_start int"
+
+
+def _merge(batches):
+    """The spans of each row merged where they meet and have one distance from one source."""
+    for batch in batches:
+        keys = [name for name in batch.schema.names if name != "spans"]
+        column = batch["spans"]
+        offsets = column.offsets.to_numpy()
+        fields = [column.values.field(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in _SPAN]
+        rows = []
+        for at in range(batch.num_rows):
+            start, end, first_id, first_sum, first_start = (f[offsets[at] : offsets[at + 1]] for f in fields)
+            apart = first_start - start
+            order = np.lexsort((start, apart, first_sum, first_id))
+            start, end, first_id, first_sum, apart = (f[order] for f in (start, end, first_id, first_sum, apart))
+            new = np.ones(len(start), bool)
+            new[1:] = (np.diff(first_id) != 0) | (np.diff(first_sum) != 0) | (np.diff(apart) != 0)
+            # How far the spans up to each reach, begun anew for every source and distance.
+            lift = np.cumsum(new) * (int(end.max()) + 1)
+            reach = np.maximum.accumulate(end + lift) - lift
+            new[1:] |= start[1:] > reach[:-1]
+            begin = np.flatnonzero(new)
+            last = np.append(begin[1:], len(start)) - 1
+            begun = start[begin]
+            run = (begun, reach[last] - begun, first_id[begin], first_sum[begin], begun + apart[begin])
+            rows.append((np.full(len(begin), at), *run))
+        if rows:
+            at, start, n, first_id, first_sum, first_start = map(np.concatenate, zip(*rows, strict=True))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    **{name: batch[name].take(pa.array(at)) for name in keys},
+                    "start": start.astype(np.int32),
+                    "n": n.astype(np.int32),
+                    "first_id": first_id,
+                    "first_sum": first_sum,
+                    "first_start": first_start.astype(np.int32),
+                }
+            )
 
-    def merge(batches):
-        for batch in batches:
-            column = batch["spans"]
-            offsets = column.offsets.to_numpy()
-            fields = [f.to_numpy(zero_copy_only=False).astype(np.int64) for f in column.values.flatten()]
-            rows = []
-            for at in range(batch.num_rows):
-                of_row = slice(offsets[at], offsets[at + 1])
-                start, end, first_id, first_sum, first_start = (f[of_row] for f in fields)
-                apart = first_start - start
-                order = np.lexsort((start, apart, first_sum, first_id))
-                start, end, first_id, first_sum, apart = (
-                    f[order] for f in (start, end, first_id, first_sum, apart)
-                )
-                new = np.ones(len(start), bool)
-                new[1:] = (np.diff(first_id) != 0) | (np.diff(first_sum) != 0) | (np.diff(apart) != 0)
-                # How far the spans up to each reach, begun anew for every source and distance.
-                reach = np.maximum.accumulate(end + np.cumsum(new) * (int(end.max()) + 1))
-                own = reach - np.cumsum(new) * (int(end.max()) + 1)
-                new[1:] |= start[1:] > own[:-1]
-                begin = np.flatnonzero(new)
-                last = np.append(begin[1:], len(start)) - 1
-                rows.append(
-                    (np.full(len(begin), at), start[begin], own[last] - start[begin], first_id[begin],
-                     first_sum[begin], start[begin] + apart[begin])
-                )
-            if rows:
-                at, start, n, first_id, first_sum, first_start = map(np.concatenate, zip(*rows, strict=True))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "id": batch["id"].take(pa.array(at)),
-                        "sum": batch["sum"].take(pa.array(at)),
-                        "start": start.astype(np.int32),
-                        "n": n.astype(np.int32),
-                        "first_id": first_id,
-                        "first_sum": first_sum,
-                        "first_start": first_start.astype(np.int32),
-                    }
-                )
 
-    schema = "id long, sum long, start int, n int, first_id long, first_sum long, first_start int"
-    return listed.mapInArrow(merge, schema)
+_PLACE = ["id", "sum", "start", "n"]
+_SOURCE = ["first_id", "first_sum", "first_start", "n"]
 
 
-def _unlike(keyed: DataFrame, runs: DataFrame) -> DataFrame:
-    """Runs whose words are not those at the source's coordinates.
+def _cut(keyed: DataFrame, runs: DataFrame) -> DataFrame:
+    """(id, sum, n_words, n_removed, kept, places) of each text, in one pass over all.
 
-    Each place is read once, however many runs refer to it: places are made distinct within
-    tasks before they are brought to their texts, and digests are joined to the runs by
-    place, one row per place on that side.
+    `places` are the runs of the text and those of other texts that have it for their
+    source, each with the SHA-256 of its words. A place is there once, however many runs
+    refer to it: places are made distinct within tasks before they are brought to the texts.
     """
-    place = ["id", "sum", "start", "n"]
-    source = ["first_id", "first_sum", "first_start", "n"]
-    places = runs.select(*place).unionByName(runs.select(*source).toDF(*place))
-    wanted = places.groupBy("id", "sum").agg(F.collect_set(F.struct("start", "n")).alias("places"))
+    own = runs.select(*_PLACE, F.lit(True).alias("cut"))
+    source = runs.select(*_SOURCE).toDF(*_PLACE).withColumn("cut", F.lit(False))
+    wanted = own.unionByName(source).groupBy("id", "sum").agg(
+        F.collect_set(F.struct("start", "n", "cut")).alias("places")
+    )
 
-    def digest(batches):
+    def cut(batches):
         for batch in batches:
-            at, starts, lengths, digests = [], [], [], []
-            for row, (text, places_) in enumerate(
-                zip(batch["text"].to_pylist(), batch["places"].to_pylist(), strict=True)
-            ):
+            kept, n_words, n_removed, places = [], [], [], []
+            for text, places_ in zip(batch["text"].to_pylist(), batch["places"].to_pylist(), strict=True):
                 words = text.split()
-                for one in places_:
-                    start, n = one["start"], one["n"]
-                    at.append(row)
-                    starts.append(start)
-                    lengths.append(n)
-                    digests.append(hashlib.sha256(b" ".join(words[start : start + n])).digest())
+                depth = np.zeros(len(words) + 1, np.int64)
+                digests = []
+                for place in places_ or ():
+                    start, end = place["start"], place["start"] + place["n"]
+                    digest = hashlib.sha256(b" ".join(words[start:end])).digest()
+                    digests.append({"start": start, "n": place["n"], "digest": digest})
+                    if place["cut"]:
+                        # A run that its digests got wrong may reach beyond the text.
+                        depth[min(start, len(words))] += 1
+                        depth[min(end, len(words))] -= 1
+                gone = np.cumsum(depth[:-1]) > 0
+                n_words.append(len(words))
+                n_removed.append(int(gone.sum()))
+                kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]))
+                places.append(digests)
+            digested = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("digest", pa.binary())]))
             yield pa.RecordBatch.from_pydict(
                 {
-                    "id": batch["id"].take(pa.array(at, pa.int64())),
-                    "sum": batch["sum"].take(pa.array(at, pa.int64())),
-                    "start": pa.array(starts, pa.int32()),
-                    "n": pa.array(lengths, pa.int32()),
-                    "digest": pa.array(digests, pa.binary()),
+                    "id": batch["id"],
+                    "sum": batch["sum"],
+                    "n_words": pa.array(n_words, pa.int64()),
+                    "n_removed": pa.array(n_removed, pa.int64()),
+                    "kept": pa.array(kept, pa.binary()),
+                    "places": pa.array(places, digested),
                 }
             )
 
-    path = f"{shared_folder(keyed.sparkSession)}/places"
-    texts = keyed.join(wanted, ["id", "sum"]).select("id", "sum", "text", "places")
-    texts.mapInArrow(digest, "id long, sum long, start int, n int, digest binary").write.parquet(path)
+    return keyed.join(wanted, ["id", "sum"], "left").mapInArrow(
+        cut,
+        "id long, sum long, n_words long, n_removed long, kept binary,"
+        " places array<struct<start: int, n: int, digest: binary>>",
+    )
+
+
+def _unlike(cut: DataFrame, runs: DataFrame) -> DataFrame:
+    """Runs whose words are not those at the source's coordinates.
+
+    Digests are joined to the runs by place, one row per place on that side.
+    """
     # Repeated rows have one text.
-    read = keyed.sparkSession.read.parquet(path).distinct()
-    there = read.toDF(*source, "first_digest")
-    return runs.join(read, place, "left").join(there, source, "left").where(
+    places = cut.select("id", "sum", F.inline("places")).distinct()
+    there = places.toDF(*_SOURCE, "first_digest")
+    return runs.join(places, _PLACE, "left").join(there, _SOURCE, "left").where(
         ~F.col("digest").eqNullSafe(F.col("first_digest")) | F.col("digest").isNull()
     )
 
@@ -292,13 +314,12 @@ def _likely_spans(keyed: DataFrame, width: int, anchor: int, seed: int, bits: in
     branching = shared.where("NOT straight").select("high", "low", "id", "sum", "start", "n_windows")
     opened = (
         branching.join(_opened(keyed, branching, width, seed, bits), ["high", "low"])
-        .withColumn("edge", F.explode("edges"))
         .select(
             "id",
             "sum",
-            (F.col("start") + F.col("edge.offset")).alias("start"),
-            (F.col("start") + F.col("edge.offset") + width).alias("end"),
-            *[F.col(f"edge.{name}").alias(name) for name in first],
+            (F.col("start") + F.col("offset")).alias("start"),
+            (F.col("start") + F.col("offset") + F.col("n")).alias("end"),
+            *first,
         )
     )
     return straight.unionByName(opened).where("first_id < id")
@@ -310,9 +331,10 @@ def _of_first(start: str) -> list[Column]:
 
 
 def _opened(keyed: DataFrame, branching: DataFrame, width: int, seed: int, bits: int) -> DataFrame:
-    """(high, low, edges) of paths that share some of their edges with other paths.
+    """(high, low, offset, n, first_id, first_sum, first_start) of paths that share edges with others.
 
-    `edges` has for each edge of a path its offset, and document, text and place that hold it first.
+    Each edge of a path is held first by one document, text and place; edges of one path that
+    go on at one distance from one source are one row.
     The words of each path are read again at the coordinates of its first occurrence.
     """
     path = ["high", "low"]
@@ -351,12 +373,14 @@ def _opened(keyed: DataFrame, branching: DataFrame, width: int, seed: int, bits:
     schema = "edge_high long, edge_low long, offset int, at int, high long, low long, id long, sum long"
     opened = sources.mapInArrow(edges, schema)
     first_of = opened.groupBy("edge_high", "edge_low").agg(F.min("id").alias("first_id"), *_of_first("at"))
-    return (
+    of_path = (
         opened.drop("id", "sum", "at")
         .join(first_of, ["edge_high", "edge_low"])
+        .select(*path, F.col("offset").alias("start"), (F.col("offset") + width).alias("end"), *_SPAN[2:])
         .groupBy(*path)
-        .agg(F.collect_set(F.struct("offset", "first_id", "first_sum", "first_start")).alias("edges"))
+        .agg(F.collect_set(F.struct(*_SPAN)).alias("spans"))
     )
+    return of_path.mapInArrow(_merge, f"high long, low long, {_RUN}").withColumnRenamed("start", "offset")
 
 
 def cut_repeats(
@@ -371,40 +395,10 @@ def cut_repeats(
 
     Kept words are joined by one blank.
     """
-    keyed = _keyed(docs, doc_id, text)
-    spans = (
-        repeated_spans(docs, doc_id, text, width, anchor, bits)
-        .groupBy("id", "sum")
-        .agg(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("end"))).alias("spans"))
-    )
-
-    def cut(batches):
-        for batch in batches:
-            kept, n_words, n_removed = [], [], []
-            for text_, spans_ in zip(batch["text"].to_pylist(), batch["spans"].to_pylist(), strict=True):
-                words = text_.split()
-                depth = np.zeros(len(words) + 1, np.int64)
-                for span in spans_ or ():
-                    depth[span["start"]] += 1
-                    depth[span["end"]] -= 1
-                gone = np.cumsum(depth[:-1]) > 0
-                n_words.append(len(words))
-                n_removed.append(int(gone.sum()))
-                kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "id": batch["id"],
-                    "n_words": pa.array(n_words, pa.int64()),
-                    "n_removed": pa.array(n_removed, pa.int64()),
-                    "kept": pa.array(kept, pa.binary()),
-                }
-            )
-
-    joined = keyed.join(spans, ["id", "sum"], "left").select("id", "text", "spans")
-    return joined.mapInArrow(cut, "id long, n_words long, n_removed long, kept binary").select(
+    cut = _verified(_keyed(docs, doc_id, text), width, anchor, bits)[1]
+    return cut.select(
         F.when(F.col("id") != LAST_ID, F.col("id")).alias("doc_id"),
         "n_words",
         "n_removed",
         F.col("kept").cast("string").alias("kept"),
     )
-
