@@ -134,10 +134,10 @@ def matched_genes(gene: DataFrame, ncbi_gene_lookup: DataFrame, gene_info: DataF
 
 
 def gene_snps(gene_info: DataFrame, snp_gene_lookup: DataFrame, snp_summary: DataFrame) -> DataFrame:
-    """Variations of each gene. The lookup holds bare gene numbers."""
-    pairs = snp_gene_lookup.select(
-        ids.prefixed(fv.GENE_PREFIX, F.col("GENE_ID")).alias("GENE_ID"), "SNP_ID"
-    )
+    """Variations of each gene. The lookup holds bare gene numbers, and GENE_KEY if it is laid out."""
+    laid_out = "GENE_KEY" in snp_gene_lookup.columns
+    gene = F.col("GENE_KEY") if laid_out else ids.prefixed(fv.GENE_PREFIX, F.col("GENE_ID"))
+    pairs = snp_gene_lookup.select(gene.alias("GENE_ID"), "SNP_ID")
     return (
         pairs.join(gene_info.select("GENE_ID", "GENE_SYMBOL"), "GENE_ID")
         .join(snp_summary.select("SNP_ID", "SNP_CLASS"), "SNP_ID")

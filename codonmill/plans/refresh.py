@@ -16,6 +16,7 @@ from codonmill import fixed_values as fv
 from codonmill.operators.ordering import ordered_by
 from codonmill.operators.quality import all_checks, surplus_check, unknown_check
 from codonmill.plans.incremental import replace_keys, upsert
+from codonmill.plans.layout import LaidOut, by_gene, lay_out
 from codonmill.plans.registry import REGISTRY, TableSpec, spec
 from codonmill.schemas import for_sink, full_name
 from codonmill.session import build_session, shared_folder, size_shuffles
@@ -246,6 +247,18 @@ class Pipeline:
         made = self.transform(one.name, raw)
         return {name: self.load(name, overwrite, change) for name in made} if load else {}
 
+    def lay_out(self, buckets: int, folder: str) -> dict[str, LaidOut]:
+        """Lay the processed tables that name genes out by gene, as catalog tables `…_by_gene`.
+
+        Tables of both sources join without an exchange if laid out in one number of buckets.
+        """
+        made = {}
+        for name, df in self.processed.items():
+            chosen = by_gene(df, name)
+            if chosen is not None:
+                made[name] = lay_out(chosen[0], f"{name}_by_gene", chosen[1], buckets, folder)
+        return made
+
     def violations(self) -> DataFrame:
         """Broken keys, references, widths, types and missing values of what is processed."""
         loose: dict[str, DataFrame] = {}
@@ -303,8 +316,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--append", action="store_true", help="add to the tables, do not replace")
     parser.add_argument("--versioned", action="store_true", help="show all tables at once when all are written")
     parser.add_argument("--changed", action="store_true", help="only tables whose files have changed; needs --versioned")
+    parser.add_argument("--buckets", type=int, help="also lay tables out by gene in so many buckets; needs --target")
     parser.add_argument("--check", action="store_true", help="print violations after the refresh")
     args = parser.parse_args(argv)
+    if args.buckets and not args.target:
+        parser.error("--buckets needs --target")
 
     spark = build_session(f"refresh {args.source}")
     size_shuffles(spark, args.landing)
@@ -312,6 +328,8 @@ def main(argv: list[str] | None = None) -> None:
     written = pipeline.refresh(args.tables, load=True, overwrite=not args.append, changed_only=args.changed)
     for name, where in written.items():
         print(f"{name}\t{where}")
+    if args.buckets:
+        pipeline.lay_out(args.buckets, f"{args.target.rstrip('/')}/by_gene")
     for path in pipeline.landed().get(None, []):
         print(f"no table\t{path}")
     if args.check:

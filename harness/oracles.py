@@ -552,6 +552,9 @@ ORACLES = {
     "j06_gene_snps": J6,
     "j07_gene_go_terms": J7_GO,
     "j07_gene_orthologs": J7_ORTHOLOGS,
+    "j04_laid_out": J4,
+    "j06_laid_out": J6,
+    "j07_laid_out": J7_GO,
     "j08_gene_aliases": J8_ALIASES,
     "j08_variant_genes": J8_VARIANTS,
     "e01_pathway_class": E1,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
@@ -17,8 +18,10 @@ from codonmill.operators.ordering import ordered_by
 from codonmill.operators.outer_join import full_outer
 from codonmill.plans import kegg, links, ncbi
 from codonmill.plans.incremental import replace_keys, upsert
+from codonmill.plans.layout import by_gene, lay_out, linked
 from codonmill.plans.refresh import Pipeline
 from codonmill.plans.registry import REGISTRY, spec
+from codonmill.schemas import full_name
 from codonmill.session import shared_folder
 from codonmill.sources.delimited import read_tab_generic, read_tab_header, read_tab_list
 from codonmill.sources.docsum import read_docsum_json, read_docsum_xml, union_pages
@@ -47,6 +50,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _laid_link(
+    link: Callable[[DataFrame, DataFrame, DataFrame | None], DataFrame],
+    one: tuple[str, str, str],
+    other: tuple[str, str, str],
+    third: tuple[str, str, str] | None = None,
+) -> Query:
+    """A link query over tables laid out by gene; a key that has more rows than a bucket on average is hot."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder, run = shared_folder(spark), uuid.uuid4().hex
+        sides = []
+        for source, table, output in (one, other):
+            name = full_name(source, output)
+            path = write_table(_job(spark, sf_dir, source, table, output), name, f"{folder}/written")
+            df, key = by_gene(spark.read.parquet(path), name)
+            sides.append(lay_out(df, f"{name}_{run}", key, 8, f"{folder}/by_gene", hot_rows=2))
+        last = _job(spark, sf_dir, *third) if third else None
+        return linked(lambda a, b: link(a, b, last), *sides)
+
+    return query
+
+
 # --- jobs --------------------------------------------------------------------
 
 
@@ -395,6 +420,21 @@ QUERIES: dict[str, Query] = {
     "j07_gene_orthologs": _link(
         links.gene_orthologs, INFO, ("ncbi", "gene_orthologs", "gene_orthologs")
     ),
+    "j04_laid_out": _laid_link(
+        lambda gene, lookup, disease: links.gene_diseases(gene, lookup, disease),
+        GENE,
+        ("kegg", "gene_disease", "gene_disease_lookup"),
+        DISEASE,
+    ),
+    "j06_laid_out": _laid_link(
+        lambda info, lookup, snps: links.gene_snps(info, lookup, snps),
+        INFO,
+        ("ncbi", "snp_summary", "snp_summary_gene_lookup"),
+        ("ncbi", "snp_summary", "snp_summary"),
+    ),
+    "j07_laid_out": _laid_link(
+        lambda info, terms, _: links.gene_go_terms(info, terms), INFO, ("ncbi", "gene2go", "gene2go")
+    ),
     "j08_gene_aliases": _link(links.gene_aliases, *SYMBOL_LOOKUPS),
     "j08_variant_genes": j08_variant_genes,
     "e01_pathway_class": e01_pathway_class,
