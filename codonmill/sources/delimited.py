@@ -9,6 +9,9 @@ are never materialised.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,8 @@ from codonmill import fixed_values as fv
 TAB = "\t"
 POSITION = ["SRC_FILE", "SRC_BLOCK", "SRC_ROW"]
 SURPLUS = "SRC_SURPLUS"
+#: Jobs that read headers side by side.
+HEADERS_AT_ONCE = 8
 
 
 def read_tab_list(
@@ -61,41 +66,32 @@ def read_tab_header(
     """List whose first line names the columns; every file has such a line of its own.
 
     Files may name their columns in different orders or lack some: rows are read by the
-    header of their file, and columns that it lacks are NULL. With several files, their
-    headers are found in a pass over the first block of each. A gzip file is one task however large it is. With `spread`, fewer files than
+    header of their file, and columns that it lacks are NULL. The header of each file is read
+    by a job of its own, which goes no further than that line. A gzip file is one task however large it is. With `spread`, fewer files than
     the session has slots are dealt out again after parsing and before any work
     that multiplies rows.
     """
-    lines = _lines(spark, path)
-    n_files = len(lines.inputFiles())
-    headers = _headers(lines, n_files)
-    if not headers:
+    files = [unquote(file) for file in _lines(spark, path).inputFiles()]
+    layouts: dict[str, list[str]] = {}
+    for file, header in zip(files, _first_lines(spark, files), strict=True):
+        if header is not None:
+            layouts.setdefault(header, []).append(file)
+    if not layouts:
         raise ValueError(f"no header line in {path}")
     wanted = {c.upper() for c in columns} if columns else None
     parts = F.split("value", TAB, -1)
-    names = list(dict.fromkeys(name for header in headers for name in header.split(TAB)))
-    own = {header: {name: i for i, name in enumerate(header.split(TAB))} for header in headers}
-    if len(headers) == 1:
-        rows = lines.where(F.col("value") != headers[0])
-        place = {name: F.lit(i) for name, i in own[headers[0]].items()}
-    else:
-        per_file = _first_lines(lines).withColumnRenamed("header", "_header")
-        rows = (
-            lines.withColumn("_file", F.col("_metadata.file_path"))
-            .join(per_file, "_file")
-            .where(F.col("value") != F.col("_header"))
-        )
-        place = {
-            name: F.coalesce(
-                *[F.when(F.col("_header") == h, F.lit(own[h][name])) for h in headers if name in own[h]]
-            )
-            for name in names
-        }
-    df = rows.select(
-        *[F.get(parts, place[name]).alias(name) for name in names if wanted is None or name.upper() in wanted]
-    )
+    names = list(dict.fromkeys(name for header in sorted(layouts) for name in header.split(TAB)))
+    names = [name for name in names if wanted is None or name.upper() in wanted]
+    pages = []
+    for header in sorted(layouts):
+        own = {name: i for i, name in enumerate(header.split(TAB))}
+        fields = [
+            (F.get(parts, F.lit(own[name])) if name in own else F.lit(None).cast("string")).alias(name) for name in names
+        ]
+        pages.append(_lines(spark, layouts[header]).where(F.col("value") != header).select(*fields))
+    df = reduce(DataFrame.unionAll, pages)
     slots = spark.sparkContext.defaultParallelism
-    if spread and n_files < slots:
+    if spread and len(files) < slots:
         df = df.repartition(slots)
     return df
 
@@ -115,20 +111,15 @@ def read_reactome(spark: SparkSession, folder: str, extract: str) -> DataFrame:
     return read_tab_generic(spark, f"{folder.rstrip('/')}/{fv.REACTOME_FILES[extract]}")
 
 
-def _first_lines(lines: DataFrame) -> DataFrame:
-    """(_file, header): the first line of each file."""
-    numbered = lines.where(F.col("_metadata.file_block_start") == 0).select(
-        F.col("_metadata.file_path").alias("_file"), "value", F.monotonically_increasing_id().alias("_row")
-    )
-    return numbered.groupBy("_file").agg(F.min_by("value", "_row").alias("header"))
+def _first_lines(spark: SparkSession, files: Sequence[str]) -> list[str | None]:
+    """First line of each file. An aggregate over a gzip file would read, and may hold, all of it."""
 
+    def first(path: str) -> str | None:
+        row = _lines(spark, path).where(F.col("_metadata.file_block_start") == 0).first()
+        return row and row["value"]
 
-def _headers(lines: DataFrame, n_files: int) -> list[str]:
-    """The different headers there are: as many as there are layouts of the extract."""
-    if n_files == 1:
-        first = lines.first()
-        return [first["value"]] if first else []
-    return sorted(_first_lines(lines).agg(F.collect_set("header")).first()[0])
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        return list(pool.map(first, files))
 
 
 def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -49,6 +49,18 @@ def test_tab_header_gzip(spark, tmp_path):
     assert read_tab_header(spark, str(tmp_path), ["geneid"]).columns == ["GeneID"]
 
 
+def test_tab_header_reads_no_further_than_the_header(spark, tmp_path):
+    """The rest of a file is not looked at before rows are asked for."""
+    lines = "".join(f"{number * 7919 % 1000003}\t{number}\n" for number in range(200_000))
+    for name, header in (("a", "k\tv"), ("b", "v\tk")):
+        whole = gzip.compress(f"{header}\n{lines}".encode())
+        (tmp_path / f"{name}.gz").write_bytes(whole[: len(whole) // 2])
+    df = read_tab_header(spark, str(tmp_path))
+    assert df.columns == ["k", "v"]
+    with pytest.raises(Exception, match="Unexpected end|EOF"):
+        df.count()
+
+
 def test_tab_header_needs_a_header(spark, tmp_path):
     with pytest.raises(ValueError, match="no header"):
         read_tab_header(spark, put(tmp_path / "a.gz", ""))
