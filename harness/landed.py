@@ -52,12 +52,27 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/orders.parquet")
 
 
+#: Records of a landed page. XML and gzip files cannot be split, so a page bounds what one task reads.
+PAGE_RECORDS = 50_000
+
+
+def land_xml(df: DataFrame, path: str) -> None:
+    """Write records as XML pages."""
+    tags = {"rowTag": "DocumentSummary", "rootTag": "DocumentSummarySet"}
+    df.write.format("xml").options(maxRecordsPerFile=PAGE_RECORDS, **tags).save(path)
+
+
+def land_json(df: DataFrame, path: str) -> None:
+    """Write records as gzip pages of JSON lines."""
+    df.write.options(maxRecordsPerFile=PAGE_RECORDS, compression="gzip").json(path)
+
+
 def land_lines(df: DataFrame, path: str, header: bool = False, compression: str = "none") -> None:
     """Write rows as tab-separated lines; they hold no tabs and no missing values."""
     text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     if header:
         # No character starts a comment, so that the leading # of a name stays bare.
-        text.hint("rebalance").write.options(
+        text.write.options(
             header="true", sep="\t", comment="\u0002", emptyValue="", compression=compression
         ).csv(path)
     else:
@@ -67,14 +82,16 @@ def land_lines(df: DataFrame, path: str, header: bool = False, compression: str
 
 def land(spark: SparkSession, sf_dir: str, source: str, table: str, folder: str) -> None:
     """One raw table as its source gives it: lines, gzip with header, or JSON records."""
-    raw, path = shapes.raw(spark, sf_dir, table), f"{folder}/{source}_human_{table}"
+    path = f"{folder}/{source}_human_{table}"
+    has_header = source == "ncbi" and table not in ("gene_summary", "snp_summary")
+    raw = shapes.raw(spark, sf_dir, table, spread=has_header)
     if source == "kegg":
         land_lines(raw, path)
     elif table == "gene_summary":
         info = "array<struct<CHRSTART:int,CHRSTOP:int,EXONCOUNT:int>>"
-        raw.withColumn("GENOMICINFO", F.col("GENOMICINFO").cast(info)).write.json(path)
+        land_json(raw.withColumn("GENOMICINFO", F.col("GENOMICINFO").cast(info)), path)
     elif table == "snp_summary":
-        raw.write.json(path)
+        land_json(raw, path)
     else:
         land_lines(raw, path, header=True, compression="gzip")
 
@@ -118,7 +135,7 @@ def s02_unlike_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = orders(spark, sf_dir)
     layouts = [["o_orderkey", "o_orderstatus", "o_orderpriority"], ["o_orderpriority", "o_orderkey", "o_orderstatus"], ["o_orderkey"]]
     for number, columns in enumerate(layouts):
-        part = rows.where(F.col("o_orderkey") % 3 == number).select(*columns)
+        part = rows.where(F.col("o_orderkey") % 3 == number).select(*columns).hint("rebalance")
         land_lines(part, f"{path}/{number}", header=True, compression="gzip")
     return read_tab_header(spark, [f"{path}/{number}" for number in range(3)]).select(*layouts[0])
 
@@ -176,13 +193,14 @@ def s03_mixed_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, base = orders(spark, sf_dir), f"{landing}/ncbi_human_gene_summary"
     part = lambda i: rows.where(F.col("o_orderkey") % 3 == i)
     info = F.struct(F.col("o_custkey").cast("int").alias("ChrStart"), F.col("o_orderkey").cast("int").alias("ChrStop"))
-    part(0).select(
+    page = part(0).select(
         F.col("o_orderkey").cast("string").alias("_uid"),
         F.col("o_orderpriority").alias("Name"),
         F.struct(F.array(F.col("o_custkey").cast("string")).alias("int")).alias("Mim"),
         F.struct(F.array(info).alias("GenomicInfoType")).alias("GenomicInfo"),
         F.struct(F.lit(fv.HUMAN_TAX_ID).alias("TaxID")).alias("Organism"),
-    ).write.format("xml").options(rowTag="DocumentSummary", rootTag="DocumentSummarySet").save(f"{base}_one.xml")
+    )
+    land_xml(page, f"{base}_one.xml")
     part(1).select(_record(str.lower).alias("value")).write.text(f"{base}_two.json")
     part(2).select(_record(str.upper).alias("value")).write.option("compression", "gzip").text(f"{base}/deep/er")
     return _summary_columns(Pipeline(spark, "ncbi", landing).extract("gene_summary"))
@@ -195,9 +213,10 @@ def s03_rescued_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = F.col("o_orderkey").cast("string"), F.col("o_orderpriority")
     more = F.col("o_orderstatus"), F.struct(F.col("o_custkey").alias("Deep"))
     part = lambda i: rows.where(F.col("o_orderkey") % 2 == i)
-    part(0).select(
+    page = part(0).select(
         known[0].alias("_uid"), known[1].alias("Name"), more[0].alias("Extra"), more[1].alias("Nested")
-    ).write.format("xml").options(rowTag="DocumentSummary", rootTag="DocumentSummarySet").save(f"{base}_one.xml")
+    )
+    land_xml(page, f"{base}_one.xml")
     part(1).select(
         known[0].alias("uid"), known[1].alias("name"), more[0].alias("Extra"), more[1].alias("Nested")
     ).write.json(f"{base}_two.json")

@@ -30,7 +30,7 @@ from codonmill.sources.sinks import write_table
 from codonmill.sources.stage import load_stage, save_stage
 from codonmill.streaming.landing import load_new_files
 from harness import landed, shapes, versioned
-from harness.landed import JOB_OUTPUTS, land, land_lines
+from harness.landed import JOB_OUTPUTS, land, land_lines, land_xml
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -286,7 +286,7 @@ def s01_tab_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s02_tab_header_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark)
-    land_lines(shapes.raw(spark, sf_dir, "gene2go"), path, header=True, compression="gzip")
+    land_lines(shapes.raw(spark, sf_dir, "gene2go", spread=True), path, header=True, compression="gzip")
     return read_tab_header(spark, path)
 
 
@@ -295,7 +295,7 @@ def s03_docsum_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     info = F.struct(
         F.col("o_custkey").cast("int").alias("ChrStart"), F.col("o_orderkey").cast("int").alias("ChrStop")
     )
-    _table(spark, sf_dir, "orders").select(
+    records = _table(spark, sf_dir, "orders").hint("rebalance").select(
         F.col("o_orderkey").cast("string").alias("_uid"),
         F.concat(F.lit("N"), F.col("o_custkey").cast("string")).alias("Name"),
         F.col("o_orderpriority").alias("Description"),
@@ -303,7 +303,8 @@ def s03_docsum_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.array(F.col("o_custkey").cast("string")).alias("int")).alias("Mim"),
         F.struct(F.array(info).alias("GenomicInfoType")).alias("GenomicInfo"),
         F.struct(F.lit(fv.HUMAN_TAX_ID).alias("TaxID")).alias("Organism"),
-    ).hint("rebalance").write.format("xml").options(rowTag="DocumentSummary", rootTag="DocumentSummarySet").save(path)
+    )
+    land_xml(records, path)
     return read_docsum_xml(spark, path, "gene_summary").select(
         "UID",
         "NAME",

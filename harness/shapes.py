@@ -230,14 +230,19 @@ def tables_in(text: str) -> list[str]:
     return sorted({field for _, field, _, _ in string.Formatter().parse(text) if field})
 
 
-def frame(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """Run a shape, or any SQL over the given tables, in Spark."""
+def frame(spark: SparkSession, sf_dir: str, text: str, spread: bool = False) -> DataFrame:
+    """Run a shape, or any SQL over the given tables, in Spark.
+
+    With `spread`, the rows of the given tables are dealt out while they are narrow, not those of the shape.
+    """
     inputs = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in tables_in(text)}
+    if spread:
+        inputs = {name: df.hint("rebalance") for name, df in inputs.items()}
     return spark.sql(text, **inputs)
 
 
-def raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return frame(spark, sf_dir, SHAPES[table])
+def raw(spark: SparkSession, sf_dir: str, table: str, spread: bool = False) -> DataFrame:
+    return frame(spark, sf_dir, SHAPES[table], spread)
 
 
 def duckdb_text(text: str) -> str:

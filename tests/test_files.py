@@ -3,9 +3,11 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from codonmill import fixed_values as fv
 from codonmill import session
+from codonmill.plans import refresh
 from codonmill.plans.refresh import Pipeline, main
 from codonmill.session import shared_folder
 from codonmill.sources import sinks
@@ -20,6 +22,7 @@ from codonmill.sources.docsum import read_docsum_json, read_docsum_xml, rescued_
 from codonmill.sources.landing import landed_files, lines_per_table
 from codonmill.sources.stage import load_stage, save_stage
 from codonmill.streaming.landing import load_new_files
+from harness import landed
 from tests.conftest import rows
 
 
@@ -61,6 +64,36 @@ def test_tab_header_reads_no_further_than_the_header(spark, tmp_path):
         df.count()
 
 
+def test_landed_pages_are_bounded(spark, tmp_path, monkeypatch):
+    """Records that one task writes land as several files, as no file of XML or gzip can be split."""
+    monkeypatch.setattr(landed, "PAGE_RECORDS", 10)
+    rows = spark.range(35, numPartitions=1).select(F.col("id").cast("string").alias("_uid"), F.lit("x").alias("Name"))
+    landed.land_xml(rows, str(tmp_path / "a.xml"))
+    landed.land_json(rows, str(tmp_path / "b"))
+    assert len(list((tmp_path / "a.xml").glob("part-*"))) == 4
+    assert len(list((tmp_path / "b").glob("part-*.json.gz"))) == 4
+    assert read_docsum_xml(spark, str(tmp_path / "a.xml"), "gene_summary").count() == 35
+
+
+def test_staged_rows_are_not_shuffled_to_pack_them(spark, tmp_path, monkeypatch):
+    columns = "#tax_id GeneID Symbol LocusTag Synonyms dbXrefs chromosome map_location description type_of_gene"
+    columns += " Symbol_from_nomenclature_authority Full_name_from_nomenclature_authority Nomenclature_status"
+    header = "\t".join(f"{columns} Other_designations Modification_date Feature_type".split())
+    for number in range(4):
+        lines = [f"{taxon}\t{number}\tS\t-\tA|B" + "\t-" * 11 for taxon in (9606, 7)]
+        put(tmp_path / f"in/ncbi_human_gene_info_{number}.gz", "\n".join([header, *lines]))
+    plans = []
+
+    def save(df, *args, **kinds):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return save_stage(df, *args, **kinds)
+
+    monkeypatch.setattr(refresh, "save_stage", save)
+    written = Pipeline(spark, "ncbi", str(tmp_path / "in"), str(tmp_path / "out")).refresh(["gene_info"])
+    assert spark.read.parquet(written["ncbi_human_gene_info_symbol_lookup"]).count() == 8
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+
+
 def test_tab_header_needs_a_header(spark, tmp_path):
     with pytest.raises(ValueError, match="no header"):
         read_tab_header(spark, put(tmp_path / "a.gz", ""))
