@@ -238,10 +238,14 @@ class Pipeline:
         paths: list[str] | None = None,
     ) -> dict[str, str]:
         raw = self.extract(one.name, paths)
+        staged = load and one.stage
         if one.keep:
-            # Adaptive execution sizes the partitions by what the filter has left.
-            raw = one.keep(raw).hint("rebalance")
-        if load and one.stage:
+            raw = one.keep(raw)
+            if not staged:
+                # Adaptive execution sizes the partitions by what the filter has left.
+                raw = raw.hint("rebalance")
+        if staged:
+            # Scans of the staged files pack small ones, so its rows are not shuffled for that.
             raw = self._staged(one, raw)
         self.raw[one.name] = raw
         made = self.transform(one.name, raw)
