@@ -103,8 +103,9 @@ class Encoder:
         used = set().union(*split)
         if len(self.known) > CACHED_WORDS:
             self.known = {w: self.known[w] for w in used & self.known.keys()}
-        new = used - self.known.keys()
-        ended = {w for w in new if w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
+        # Looks up the words of the slice; minus keys() would walk the whole cache.
+        new = used.difference(self.known)
+        ended = {w for w in new if w.endswith((b".", b",")) and w[-2:-1].isalpha()}
         self._learn((new - ended) | {w[:-1] for w in ended} | {b".", b","})
         self.known.update((w, self.known[w[:-1]] + self.known[w[-1:]]) for w in ended)
         for (at, _), words in zip(held, split, strict=True):
@@ -116,19 +117,17 @@ class Encoder:
         A word of letters is one part to the tokenizer, and its last token, no other, ends
         a word; so the ids of many of them can be told apart.
         """
-        spelled = {w: w.decode() for w in words - self.known.keys()}
-        plain = [w for w, text in spelled.items() if text.isalpha()]
+        unknown = words.difference(self.known)
+        plain = [w for w in unknown if w.isalpha() or not w.isascii() and w.decode().isalpha()]
         for at in range(0, len(plain), 1000):
             some = plain[at : at + 1000]
-            ids = np.array(self._ids([" ".join(map(spelled.__getitem__, some))])[0], "<u4")
-            cuts = [0, *(4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()]
-            if len(cuts) == len(some) + 1:
-                data = ids.tobytes()
-                self.known.update(
-                    (w, data[a:b]) for w, a, b in zip(some, cuts, cuts[1:], strict=False)
-                )
-        rest = list(spelled.keys() - self.known.keys())
-        coded = self._ids(list(map(spelled.__getitem__, rest)))
+            ids = np.array(self._ids([b" ".join(some).decode()])[0], "<u4")
+            cuts = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+            if len(cuts) == len(some):
+                # Sliced without a Python step per word, as most words come once.
+                self.known.update(zip(some, map(ids.tobytes().__getitem__, map(slice, [0, *cuts], cuts)), strict=True))
+        rest = list(unknown.difference(self.known))
+        coded = self._ids([w.decode() for w in rest])
         self.known.update((w, np.array(ids, "<u4").tobytes()) for w, ids in zip(rest, coded, strict=True))
 
     def _ids(self, texts: list[str]) -> list[list[int]]:

@@ -751,3 +751,17 @@ def test_quality_follows_labels(spark):
     clean = [r.kept for r in rows if r.quality == 1]
     junk = [r.kept for r in rows if r.quality == 0]
     assert sum(clean) >= 0.98 * len(clean) and sum(junk) <= 0.05 * len(junk)
+
+
+def test_encoder_does_not_walk_its_cache():
+    """A slice of texts looks its own words up; what is kept from others is not gone through."""
+
+    class Known(dict):
+        def keys(self):
+            raise AssertionError("walked")
+
+    coder = packing.Encoder(packing.default_tokenizer())
+    texts = ["Some words, some\u00e9 more. x1".encode(), b"words again"]
+    want = coder.encode(texts)
+    coder.known = Known()
+    assert coder.encode(texts) == want
