@@ -20,12 +20,14 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import zlib
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,8 @@ CACHED_WORDS = 250_000
 SLICE = 1 << 20
 WORD_END = "</w>"
 _SPACE = re.compile(rb"\s")
+#: Of ASCII, what the tokenizer takes together; not the apostrophe, which may begin a token with letters.
+_TAIL = string.punctuation.replace("'", "").encode()
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -63,12 +67,24 @@ def parts(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
+def before_tail(word: bytes) -> bytes | None:
+    """What stands before the punctuation that a word ends with, if that is tokenised apart.
+
+    It is after a Latin letter, unless the punctuation belongs to a special token.
+    """
+    stem = word.rstrip(_TAIL)
+    if not stem or stem == word or b"<|" in word:
+        return None
+    last = stem.decode()[-1]
+    return stem if last.isalpha() and last < "\u0250" else None
+
+
 class Encoder:
     """Token ids of whole texts as bytes (unsigned little-endian 32-bit numbers).
 
     The tokenizer ignores case, treats white space as a border and drops it, so a text's
-    ids are those of its blank-separated parts in lower case. A full stop or comma after a
-    letter at a part's end is a token of its own. Parts without it are encoded once and
+    ids are those of its blank-separated parts in lower case. Punctuation after a Latin
+    letter at a part's end is tokenised apart. Parts without it are encoded once and
     kept while they fit the cache; a full cache keeps what the present texts need.
     Special tokens keep their case, as it counts.
     """
@@ -99,17 +115,25 @@ class Encoder:
         return [b"".join(ids) for ids in done]
 
     def _encode(self, held: list[tuple[int, bytes]], done: list[list[bytes]]) -> None:
-        split = [part.split() for _, part in held]
-        used = set().union(*split)
+        split = pc.ascii_split_whitespace(pa.array([part for _, part in held], pa.large_binary()).view(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        # Python sees each word of the slice once; the ids of all its places are laid by Arrow.
+        used = coded.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, used))
         if len(self.known) > CACHED_WORDS:
-            self.known = {w: self.known[w] for w in used & self.known.keys()}
-        # Looks up the words of the slice; minus keys() would walk the whole cache.
-        new = used.difference(self.known)
-        ended = {w for w in new if w.endswith((b".", b",")) and w[-2:-1].isalpha()}
-        self._learn((new - ended) | {w[:-1] for w in ended} | {b".", b","})
-        self.known.update((w, self.known[w[:-1]] + self.known[w[-1:]]) for w in ended)
-        for (at, _), words in zip(held, split, strict=True):
-            done[at].append(b"".join(map(self.known.__getitem__, words)))
+            self.known = {w: ids for w, ids in zip(used, found, strict=True) if ids is not None}
+        missing = [at for at, ids in enumerate(found) if ids is None]
+        new = {used[at] for at in missing}
+        tails = {w: stem for w in new if not w.isalpha() and (stem := before_tail(w))}
+        self._learn((new - tails.keys()).union(tails.values(), [w[len(stem) :] for w, stem in tails.items()]))
+        self.known.update((w, self.known[stem] + self.known[w[len(stem) :]]) for w, stem in tails.items())
+        for at in missing:
+            found[at] = self.known[used[at]]
+        laid = pa.array(found, pa.large_binary()).take(coded.indices)
+        ends = np.append(0, np.frombuffer(laid.buffers()[1], np.int64)[1 : len(laid) + 1])[split.offsets.to_numpy()].tolist()
+        ids = memoryview(laid.buffers()[2] or b"")
+        for (at, _), low, high in zip(held, ends, ends[1:], strict=False):
+            done[at].append(bytes(ids[low:high]))
 
     def _learn(self, words: set[bytes]) -> None:
         """Encode words not yet known, those of letters alone many at a time.

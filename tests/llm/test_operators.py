@@ -765,3 +765,23 @@ def test_encoder_does_not_walk_its_cache():
     want = coder.encode(texts)
     coder.known = Known()
     assert coder.encode(texts) == want
+
+
+def test_words_with_tails_are_encoded_together(monkeypatch):
+    """A word's closing punctuation costs no call of its own, and ids are the tokenizer's."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    coder = packing.Encoder(packing.default_tokenizer())
+    given, ids = [], coder._ids
+    monkeypatch.setattr(coder, "_ids", lambda texts: given.extend(texts) or ids(texts))
+    letters = "abcdefghijéß"
+    tails = ["&&&", "!!", ",###", "%%%", ".", ")", "÷", "~|`", "=", "́", "<|", "'", "',", "_"]
+    words = [a + b + tail for a in letters for b in letters for tail in tails[:6]]
+    odd = [f"{stem}{tail}" for stem in ("x", "ÉŒ", "it's", "3", "×", "中", "ΑΣ", "") for tail in tails]
+    special = ["a<|endoftext|>", "<|endoftext|>.", "b<|endoftext|", "<|startoftext|>c!!"]
+    texts = [" ".join(words), "  ".join(odd), " ".join(special) + "\n", "\x0b" + words[0]]
+    coded = coder.encode([t.encode() for t in texts])
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(c, "<u4").tolist() for c in coded] == want
+    assert len(given) < len(words) / 4
