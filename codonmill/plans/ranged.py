@@ -27,12 +27,18 @@ from codonmill.sources.versions import Change, Entry
 MOST_RANGES = 512
 
 
-def key_digests(df: DataFrame, key: str) -> DataFrame:
-    """(_key, _n, _x, _s): per key, its number of rows and two sums of hashes over them."""
+def key_digests(df: DataFrame, key: str, came: DataFrame | None = None) -> DataFrame:
+    """(_key, _n, _x, _s): per key, its number of rows and two sums of hashes over them.
+
+    Keys of `came`, a frame of one column, are there too; those without rows have an _n of 0.
+    """
     first, second = row_digest(sorted(df.columns))
-    hashed = df.select(F.col(key).cast("string").alias("_key"), first, second)
+    hashed = df.select(F.col(key).cast("string").alias("_key"), F.lit(1).alias("_one"), first, second)
+    if came is not None:
+        nothing = [F.lit(0).alias("_one"), *[F.lit(0).cast("long").alias(c) for c in ("_h1", "_h2")]]
+        hashed = hashed.unionByName(came.toDF("_key").select(F.col("_key").cast("string"), *nothing))
     return hashed.groupBy("_key").agg(
-        F.count(F.lit(1)).alias("_n"),
+        F.sum("_one").alias("_n"),
         F.bit_xor("_h1").alias("_x"),
         F.sum(F.shiftright("_h2", 32)).alias("_s"),
     )
@@ -74,24 +80,13 @@ def update_ranged(
         raise ValueError(f"{table} is not stored in ranges; use save_ranged first")
     lows = [parts[i].low for i in sorted(parts)]
     rows = for_sink(incoming, table)
-    delta = key_digests(rows, key)
-    if came is not None:
-        keys = came.toDF("_key").select(F.col("_key").cast("string")).distinct()
-        delta = keys.join(delta, "_key", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    delta = key_digests(rows, key, came)
     delta = spark.read.parquet(_written(delta.withColumn("_part", range_of(F.col("_key"), lows))))
     asked = [row[0] for row in delta.select("_part").distinct().take(MOST_RANGES)]
     known = _read(spark, [parts[i].digests for i in asked], delta.drop("_part"))
-    same = F.col("d._key").eqNullSafe(F.col("k._key"))
-    for c in ("_n", "_x", "_s"):
-        same &= F.col(f"d.{c}").eqNullSafe(F.col(f"k.{c}"))
-    changed = delta.alias("d").join(known.alias("k"), same, "left_anti").where(
-        # A key without rows is changed where it has some stored.
-        "_n > 0"
-    )
-    gone = delta.where("_n = 0").alias("d").join(
-        known.alias("k"), F.col("d._key").eqNullSafe(F.col("k._key")), "left_semi"
-    )
-    changed = spark.read.parquet(_written(changed.unionByName(gone)))
+    # One join tells which keys have changed and what the digests are afterwards.
+    both = spark.read.parquet(_written(_compared(known, delta, lows)))
+    changed = both.where("_changed")
     touched = sorted(row[0] for row in changed.select("_part").distinct().take(MOST_RANGES))
     if not touched:
         return []
@@ -99,13 +94,31 @@ def update_ranged(
     stored = _read(spark, [parts[i].data for i in touched], rows)
     mine = F.col(key).cast("string").eqNullSafe(F.col("_key"))
     merged = stored.join(keys, mine, "left_anti").unionByName(rows.join(keys, mine, "left_semi"))
-    old = _read(spark, [parts[i].digests for i in touched], delta.drop("_part"))
-    kept = old.join(keys.withColumnRenamed("_key", "_c"), F.col("_key").eqNullSafe(F.col("_c")), "left_anti")
-    digests = kept.unionByName(changed.where("_n > 0").drop("_part"))
+    digests = both.where(F.col("_part").isin(touched) & (F.col("_n") > 0)).drop("_part", "_changed")
     change.put(table, _write_parts(change, table, merged, digests, key, lows, touched))
     return touched
 
 
+def _compared(known: DataFrame, delta: DataFrame, lows: list[str | None]) -> DataFrame:
+    """Digests of stored and incoming keys as they are after an update, whether they change, and their range.
+
+    A key without rows is changed where it has some stored; its _n is then 0.
+    """
+    old, new = known.alias("k"), delta.alias("d")
+    columns = ("_n", "_x", "_s")
+    same = reduce(lambda a, b: a & b, [F.col(f"d.{c}").eqNullSafe(F.col(f"k.{c}")) for c in columns])
+    came, stored = F.col("d._n").isNotNull(), F.col("k._n").isNotNull()
+    joined = old.join(new, F.col("k._key").eqNullSafe(F.col("d._key")), "full").select(
+        F.coalesce("d._key", "k._key").alias("_key"),
+        (came & ~same & ((F.col("d._n") > 0) | stored)).alias("_changed"),
+        stored.alias("_stored"),
+        *[F.struct(f"{side}._n", f"{side}._x", f"{side}._s").alias(f"_{side}") for side in "kd"],
+    )
+    picked = [F.when(F.col("_changed"), F.col(f"_d.{c}")).otherwise(F.col(f"_k.{c}")).alias(c) for c in columns]
+    part = range_of(F.col("_key"), lows).alias("_part")
+    return joined.where("_changed OR _stored").select("_key", *picked, "_changed", part)
+
+
 def increment_violations(change: Change, incoming: DataFrame, table: str, parents: DataFrame | None = None) -> DataFrame:
     """What `quality.unique_check` and `reference_check` would find after an update, about its keys.
 
@@ -140,7 +153,8 @@ def _write_parts(
     for df, own, path in ((rows, F.col(key), data), (digests, F.col("_key"), beside)):
         placed = df.withColumn("_part", range_of(own, lows))
         placed.hint("rebalance", "_part").write.partitionBy("_part").parquet(path)
-    filled = {r[0] for r in digests.select(range_of(F.col("_key"), lows)).distinct().take(MOST_RANGES)}
+    written = change.spark.read.parquet(beside) if digests.head(1) else None
+    filled = {r[0] for r in written.select("_part").distinct().take(MOST_RANGES)} if written else set()
     return [
         Entry(
             "table",

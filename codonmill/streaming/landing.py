@@ -66,6 +66,27 @@ def load_new_files(
     )
 
 
+def last_landed(raw: DataFrame, key: str) -> DataFrame:
+    """Of each id, the rows of the file that landed last.
+
+    Most ids stand in one file, which numbers alone tell; only the others are compared by
+    the time and path of their files.
+    """
+    own, path = F.col(key), F.col(f"{LANDED}.file_path")
+    marks = [F.col(f"{LANDED}.file_modification_time"), F.xxhash64(path), F.xxhash64(F.lit(1), path)]
+    ends = [f(m).alias(f"_{f.__name__}{i}") for i, m in enumerate(marks) for f in (F.min, F.max)]
+    unlike = " OR ".join(f"_min{i} <> _max{i}" for i in range(len(marks)))
+    written = shared_folder(raw.sparkSession)
+    raw.groupBy(own.alias("_key")).agg(*ends).where(unlike).select("_key").write.parquet(written)
+    several = raw.sparkSession.read.parquet(written)
+    if several.isEmpty():
+        return raw
+    again = raw.join(several, own.eqNullSafe(F.col("_key")), "left_semi")
+    newest = again.groupBy(own.alias("_key")).agg(F.max(LANDED).alias("_newest"))
+    marked = raw.join(newest, own.eqNullSafe(F.col("_key")), "left")
+    return marked.where(F.col("_newest").isNull() | (F.col(LANDED) == F.col("_newest")))
+
+
 def merge_new_files(
     spark: SparkSession, folder: str, table: str, target: str, checkpoint: str, ranges: int = 64
 ) -> StreamingQuery:
@@ -87,17 +108,17 @@ def merge_new_files(
         done = change.remembered("stream", stream)
         if done and done.batch >= batch:
             return
-        newest = raw.groupBy(F.col(key).alias("_key")).agg(F.max(LANDED).alias("_newest"))
-        last = raw.join(newest, F.col(key).eqNullSafe(F.col("_key")) & (F.col(LANDED) == F.col("_newest")))
         path = shared_folder(spark)
-        last.select(*fv.KEGG_RAW_COLUMNS[table]).write.parquet(path)
+        last_landed(raw, key).select(*fv.KEGG_RAW_COLUMNS[table]).write.parquet(path)
         made = one.run(spark.read.parquet(path))
         main = next((df for name, df in made.items() if name in fv.PRIMARY_KEYS), None)
         with change:
             for name, df in made.items():
                 own = df.columns[0]
                 if change.parts(name):
-                    update_ranged(change, df, name, own, (df if main is None else main).select(own))
+                    # A main or link table has a row of each id that came.
+                    came = None if main is None or df is main else main.select(own)
+                    update_ranged(change, df, name, own, came)
                 else:
                     save_ranged(change, df, name, own, ranges)
             change.remember("stream", stream, batch=batch)

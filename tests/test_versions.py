@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from codonmill.plans import ranged
 from codonmill.plans.refresh import Pipeline
 from codonmill.sources.versions import Conflict, Entry, TableSet
-from codonmill.streaming.landing import merge_new_files
+from codonmill.streaming.landing import LANDED, last_landed, merge_new_files
 
 LINKS = "kegg_human_pathway_gene_lookup"
 
@@ -174,6 +174,39 @@ def test_ranges_against_plain_update(spark, stored):
         assert updated(spark, tables, new)[1] == Counter(rows)
 
 
+def test_update_reads_what_is_stored_once(spark, stored, monkeypatch):
+    """One comparison of digests also gives those that stay; a missing key is one like others."""
+    tables, rows = stored
+    read, paths = ranged._read, []
+    monkeypatch.setattr(ranged, "_read", lambda s, folders, like: (paths.extend(folders), read(s, folders, like))[1])
+    new = [("P100", "new"), (None, "G5")]
+    _, got = updated(spark, tables, new, links(spark, [*new, ("P101", "")]).select("PATHWAY_ID"))
+    assert got == Counter([r for r in rows if r[0] not in ("P100", "P101", None)] + new)
+    assert len(paths) == len(set(paths))
+    assert updated(spark, tables, new)[0] == []
+
+
+def test_last_landed_joins_ids_of_several_files_only(spark):
+    """Without an id in two files, no row is shuffled; ties of time go to the larger path."""
+    frame = lambda given: spark.sql("SELECT timestamp '2024-01-01' AS t").select(
+        F.explode(F.lit(given)).alias("r"), "t"
+    ).select(
+        F.get("r", F.lit(0)).alias("ID"),
+        F.get("r", F.lit(1)).alias("NAME"),
+        F.struct(
+            (F.col("t") + F.make_dt_interval(secs=F.get("r", F.lit(2)).cast("decimal(18,6)"))).alias("file_modification_time"),
+            F.get("r", F.lit(3)).alias("file_path"),
+        ).alias(LANDED),
+    )
+    alone = [["a", "1", "0", "x"], ["a", "2", "0", "x"], ["b", "3", "5", "y"]]
+    last = last_landed(frame(alone), "ID")
+    assert last.count() == 3
+    assert "Exchange" not in last._jdf.queryExecution().executedPlan().toString()
+    late = [["a", "4", "1", "w"], ["b", "5", "5", "z"], ["b", "6", "5", "x"], ["", "7", "1", "x"], ["", "8", "0", "y"]]
+    got = last_landed(frame(alone + late), "ID").select("ID", "NAME").collect()
+    assert sorted(map(tuple, got)) == [("", "7"), ("a", "4"), ("b", "5")]
+
+
 def test_merging_stream(spark, tmp_path):
     landing, base, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
     run = lambda: merge_new_files(spark, str(landing), "disease", base, checkpoint, 4).awaitTermination()
