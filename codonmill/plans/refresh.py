@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codonmill import fixed_values as fv
+from codonmill.operators.dealing import dealt
 from codonmill.operators.ordering import ordered_by
 from codonmill.operators.quality import all_checks, surplus_check, unknown_check
 from codonmill.plans.incremental import replace_keys, upsert
@@ -243,7 +244,7 @@ class Pipeline:
             raw = one.keep(raw)
             if not staged:
                 # Adaptive execution sizes the partitions by what the filter has left.
-                raw = raw.hint("rebalance")
+                raw = dealt(raw)
         if staged:
             # Scans of the staged files pack small ones, so its rows are not shuffled for that.
             raw = self._staged(one, raw)

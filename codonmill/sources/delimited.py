@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codonmill import fixed_values as fv
+from codonmill.operators.dealing import dealt
 
 TAB = "\t"
 POSITION = ["SRC_FILE", "SRC_BLOCK", "SRC_ROW"]
@@ -92,7 +93,7 @@ def read_tab_header(
     df = reduce(DataFrame.unionAll, pages)
     slots = spark.sparkContext.defaultParallelism
     if spread and len(files) < slots:
-        df = df.repartition(slots)
+        df = dealt(df, slots)
     return df
 
 

@@ -135,7 +135,7 @@ def s02_unlike_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = orders(spark, sf_dir)
     layouts = [["o_orderkey", "o_orderstatus", "o_orderpriority"], ["o_orderpriority", "o_orderkey", "o_orderstatus"], ["o_orderkey"]]
     for number, columns in enumerate(layouts):
-        part = rows.where(F.col("o_orderkey") % 3 == number).select(*columns).hint("rebalance")
+        part = rows.where(F.col("o_orderkey") % 3 == number).select(*columns).hint("rebalance", "o_orderkey")
         land_lines(part, f"{path}/{number}", header=True, compression="gzip")
     return read_tab_header(spark, [f"{path}/{number}" for number in range(3)]).select(*layouts[0])
 

@@ -295,7 +295,7 @@ def s03_docsum_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     info = F.struct(
         F.col("o_custkey").cast("int").alias("ChrStart"), F.col("o_orderkey").cast("int").alias("ChrStop")
     )
-    records = _table(spark, sf_dir, "orders").hint("rebalance").select(
+    records = _table(spark, sf_dir, "orders").hint("rebalance", "o_orderkey").select(
         F.col("o_orderkey").cast("string").alias("_uid"),
         F.concat(F.lit("N"), F.col("o_custkey").cast("string")).alias("Name"),
         F.col("o_orderpriority").alias("Description"),

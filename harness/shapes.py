@@ -233,11 +233,11 @@ def tables_in(text: str) -> list[str]:
 def frame(spark: SparkSession, sf_dir: str, text: str, spread: bool = False) -> DataFrame:
     """Run a shape, or any SQL over the given tables, in Spark.
 
-    With `spread`, the rows of the given tables are dealt out while they are narrow, not those of the shape.
+    With `spread`, the rows of the given tables are dealt out by their keys while they are narrow, not those of the shape.
     """
     inputs = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in tables_in(text)}
     if spread:
-        inputs = {name: df.hint("rebalance") for name, df in inputs.items()}
+        inputs = {name: df.hint("rebalance", *df.columns[:2]) for name, df in inputs.items()}
     return spark.sql(text, **inputs)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from codonmill import fixed_values as fv
 from codonmill import session
+from codonmill.operators.dealing import dealt
 from codonmill.plans import refresh
 from codonmill.plans.refresh import Pipeline, main
 from codonmill.session import shared_folder
@@ -334,6 +335,28 @@ def test_kept_rows_are_packed_in_one_shuffle(spark, tmp_path):
     assert text.count("Exchange") == 1 and text.index("Exchange") < text.index("9606")
 
 
+def test_rows_are_dealt_by_content(spark, tmp_path):
+    """Rows dealt in turn would all be sorted in the memory of the task that reads a gzip file."""
+    head, names = "#tax_id\tGeneID\tGO_ID\tEvidence\tQualifier\tGO_term\tPubMed\tCategory", ["Note", "NOTE", "a`b.c"]
+    copies = "9606\t1\tGO:2\tIEA\t-\tt\t-\tP\n" * 3 + "7\t1\tGO:2\tIEA\t-\tt\t-\tP\n"
+    for number in range(5):
+        put(tmp_path / f"in/ncbi_human_gene2go_{number}.gz", f"{head}\n{copies}")
+    odd = read_tab_header(spark, put(tmp_path / "odd.gz", "\t".join(names) + "\nx\ty\tz\nx\ty\tz\n"))
+    assert odd.columns == names and rows(odd) == [("x", "y", "z")] * 2
+    pipeline = Pipeline(spark, "ncbi", str(tmp_path / "in"))
+    pipeline.refresh(["gene2go"])
+    made = pipeline.processed["ncbi_human_gene2go"]
+    assert rows(made) == [("G1", "GO2", "IEA", "-", "t", "P")] * 15
+    landed_rows = landed.shapes.raw(spark, "/root/testdata/sf0.001", "gene2go", spread=True)
+    plain = landed.shapes.raw(spark, "/root/testdata/sf0.001", "gene2go")
+    assert landed_rows.exceptAll(plain).isEmpty() and landed_rows.count() == plain.count()
+    for df in (odd, made, landed_rows):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" in plan and "RoundRobin" not in plan
+    bare = dealt(spark.sql("SELECT map(id, id) AS m FROM range(3)"))
+    assert bare.count() == 3
+
+
 def test_refresh_script(spark, tmp_path, capsys):
     land_kegg(tmp_path / "in")
     main(["kegg", "disease", "--landing", str(tmp_path / "in"), "--target", str(tmp_path / "out"), "--check"])
